@@ -50,11 +50,12 @@ def decode_decimal(variant_col, scale: int = 2, precision: int = 10) -> Column:
 def encode_decimal(col, scale: int = 2) -> Column:
     """Inverse of :func:`decode_b64_decimal`: the minimal two's-complement
     big-endian bytes of the unscaled value, base64 encoded (as Java's
-    ``BigInteger.toByteArray``)."""
+    ``BigInteger.toByteArray``). Used to replay tables as change feeds."""
     unscaled = F.round(_c(col) * F.lit(10 ** scale)).cast("bigint")
     h = F.hex(unscaled)
-    pos = F.when(F.length(h) % 2 == 1, F.concat(F.lit("0"), h)).otherwise(h)
-    pos = F.when(F.substring(pos, 1, 1).isin("8", "9", "A", "B", "C", "D", "E", "F"),
-                 F.concat(F.lit("00"), pos)).otherwise(pos)
+    even = F.when(F.length(h) % 2 == 1, F.concat(F.lit("0"), h)).otherwise(h)
+    pos = F.when(F.substring(even, 1, 1).isin("8", "9", "A", "B", "C", "D", "E", "F"),
+                 F.concat(F.lit("00"), even)).otherwise(even)
+    # negative: hex() gives 16 digits; drop sign-only leading FF bytes
     neg = F.regexp_replace(h, r"^(FF)+(?=[89A-F])", "")
     return F.base64(F.unhex(F.when(unscaled < 0, neg).otherwise(pos)))

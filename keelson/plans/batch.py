@@ -112,3 +112,51 @@ def window_counts(spark: SparkSession, d: str) -> DataFrame:
                               pred=F.col("event_type") == "error", min_count=1,
                               alias="error_count")
     return out
+
+
+def cdc_decode(spark: SparkSession, d: str) -> DataFrame:
+    """Orders replayed as change events (both envelopes,
+    base64 and bare-number amounts), then decoded back to typed rows."""
+    from keelson.sources.changes import after_schema, change_events, read_changes
+    o = read_table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"),
+        F.col("o_totalprice").alias("amount"), "o_orderstatus")
+    feed = change_events(o, ["id", "user_id", "amount"], "amount",
+                         wrapped=F.col("o_orderstatus") != "F",
+                         bare_number=F.col("o_orderstatus") == "P")
+    from pyspark.sql.types import LongType
+    sch = after_schema([("id", LongType()), ("user_id", LongType()), ("amount", "variant")])
+    return read_changes(feed, sch, decimals=["amount"])
+
+
+def cube_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Order counts over every combination of status and priority."""
+    from keelson.operators.precompute import cube_counts as cube
+    return cube(read_table(spark, d, "orders"), ["o_orderstatus", "o_orderpriority"])
+
+
+def token_search(spark: SparkSession, d: str) -> DataFrame:
+    """Whole-word lookup through a token index built over all
+    documents (written range-partitioned by token, then searched)."""
+    from keelson.operators.precompute import build_token_index, search_tokens, write_token_index
+    from keelson.session import scratch_dir
+    path = scratch_dir(spark, "token-index")
+    docs = read_table(spark, d, "documents")
+    write_token_index(build_token_index(docs, "doc_id", "text"), path)
+    return search_tokens(spark.read.parquet(path), ["the"], "doc_id")
+
+
+def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Customer written as headered CSV and bulk-loaded back typed."""
+    from keelson.sources.tables import load_csv, write_csv
+    from keelson.session import scratch_dir
+    cust = read_table(spark, d, "customer")
+    path = scratch_dir(spark, "customer-csv")
+    write_csv(cust, path)
+    return load_csv(spark, path, cust.schema, strict=True)
+
+
+def skew_report(spark: SparkSession, d: str) -> DataFrame:
+    """How unevenly lineitem rows spread over suppliers."""
+    from keelson.operators.report import skew_report as skew
+    return skew(read_table(spark, d, "lineitem"), "l_suppkey")

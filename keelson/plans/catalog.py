@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keelson.plans import batch
+from keelson.plans import batch, streams
 from keelson.plans.oracle import ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -28,6 +28,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_outlier": batch.profile_outlier,
     "velocity_score": batch.velocity_score,
     "window_counts": batch.window_counts,
+    "cdc_decode": batch.cdc_decode,
+    "cube_counts": batch.cube_counts,
+    "token_search": batch.token_search,
+    "csv_roundtrip": batch.csv_roundtrip,
+    "skew_report": batch.skew_report,
+    "window_counts_stream": streams.window_counts_stream,
+    "running_counts_stream": streams.running_counts_stream,
+    "profile_stream": streams.profile_stream,
+    "velocity_stream": streams.velocity_stream,
+    "summary_merge": streams.summary_merge,
 }
 
 

@@ -84,4 +84,36 @@ ORACLE = {
                user_id, count(*) AS error_count
         FROM events WHERE event_type = 'error'
         GROUP BY 1, 2, user_id HAVING count(*) > 1""",
+    "cdc_decode": """
+        SELECT 'c' AS op, o_orderkey AS id, o_custkey AS user_id,
+               CAST(o_totalprice AS DECIMAL(10,2)) AS amount FROM orders""",
+    "window_counts_stream": """
+        SELECT date_trunc('day', ts) AS window_start,
+               date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
+               user_id, count(*) AS error_count
+        FROM events WHERE event_type = 'error'
+        GROUP BY 1, 2, user_id HAVING count(*) > 1""",
+    "running_counts_stream": """
+        SELECT user_id, count(*) AS match_count FROM events WHERE event_type = 'error'
+        GROUP BY user_id ORDER BY match_count DESC, user_id""",
+    "summary_merge": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
+    "cube_counts": """
+        SELECT o_orderstatus, o_orderpriority, count(*) AS n,
+               GROUPING(o_orderstatus, o_orderpriority) AS level
+        FROM orders GROUP BY CUBE (o_orderstatus, o_orderpriority)""",
+    "token_search": r"""
+        SELECT doc_id FROM documents
+        WHERE list_contains(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), 'the')""",
+    "csv_roundtrip": "SELECT * FROM customer",
+    "skew_report": """
+        WITH k AS (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY l_suppkey)
+        SELECT count(*) AS n_keys, sum(n) AS n_rows, min(n) AS min_rows, max(n) AS max_rows,
+               round(avg(n), 6) AS avg_rows, round(max(n) / avg(n), 6) AS skew_ratio,
+               round(max(n) / sum(n), 6) AS top_share
+        FROM k""",
 }
+
+# The streaming forms of the fraud rules answer the same questions as the
+# batch forms, so they share the oracle.
+ORACLE["profile_stream"] = ORACLE["profile_outlier"]
+ORACLE["velocity_stream"] = ORACLE["velocity_score"]

@@ -49,9 +49,34 @@ def configure(spark: SparkSession) -> SparkSession:
     """Settings a session handed to us (e.g. by the driver) must carry."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     checkpoint_root(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``keelson`` importable in Python workers (pandas handlers are
+    pickled by reference): zip the package once per SparkContext and
+    ``addPyFile`` it, which distributes it to every executor."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="keelson-pkg-"), "keelson.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a local one only when none is set."""
     sc = spark.sparkContext
