@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from keelson.functions.text import contains_ci
 from keelson.functions.time import epoch_to_ts, event_time
-from keelson.functions.json import parse_json
+from keelson.functions.json import parse_json_rows
 
 # The log record as produced by the load generator.
 LOG_SCHEMA = ("timestamp BIGINT, status STRING, severity STRING, source_ip STRING, "
@@ -31,8 +31,7 @@ def parse_logs(raw: DataFrame, value_col: str = "value", schema: str = LOG_SCHEM
     Malformed records parse to a null struct and are dropped. ``unit`` is the
     epoch unit of ``ts_field`` (milliseconds for the generator's records).
     """
-    parsed = raw.select(parse_json(value_col, schema).alias("data")) \
-        .filter(F.col("data").isNotNull()).select("data.*")
+    parsed = parse_json_rows(raw, value_col, schema)
     return parsed.withColumn(out_col, epoch_to_ts(F.col(ts_field), unit))
 
 

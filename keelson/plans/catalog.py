@@ -38,6 +38,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_stream": streams.profile_stream,
     "velocity_stream": streams.velocity_stream,
     "summary_merge": streams.summary_merge,
+    "ingest_table": streams.ingest_table,
 }
 
 

@@ -105,6 +105,7 @@ ORACLE = {
         SELECT doc_id FROM documents
         WHERE list_contains(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), 'the')""",
     "csv_roundtrip": "SELECT * FROM customer",
+    "ingest_table": "SELECT * FROM events",
     "skew_report": """
         WITH k AS (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY l_suppkey)
         SELECT count(*) AS n_keys, sum(n) AS n_rows, min(n) AS min_rows, max(n) AS max_rows,

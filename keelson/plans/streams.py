@@ -72,3 +72,24 @@ def summary_merge(spark: SparkSession, d: str) -> DataFrame:
                          trigger={"availableNow": True})
     q.awaitTermination()
     return precompute.read_summary(spark, path, keys)
+
+
+def ingest_table(spark: SparkSession, d: str) -> DataFrame:
+    """Events replayed as JSON records (epoch-microsecond time, as
+    a topic would carry them), ingested by a checkpointed stream into an
+    append-only Parquet table, which is then queried."""
+    from keelson.sources.ingest import ingest_to_table
+    ev = read_table(spark, d, "events")
+    stage = scratch_dir(spark, "ingest-stage")
+    rec = F.to_json(F.struct("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts"),
+                             "user_id", "event_type", "value", "props"))
+    ev.select(rec.alias("value")).write.text(stage)
+    schema = ("event_id BIGINT, ts BIGINT, user_id BIGINT, event_type STRING, "
+              "value DOUBLE, props STRING")
+    path = scratch_dir(spark, "ingest-table")
+    q = ingest_to_table(spark.readStream.text(stage), schema, path,
+                        scratch_dir(spark, "ingest-ck"), ts_field="ts", unit="us")
+    q.awaitTermination()
+    table = spark.read.parquet(path)
+    return table.select("event_id", to_ntz("ts").alias("ts"), "user_id", "event_type",
+                        "value", "props")

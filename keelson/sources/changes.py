@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, StringType, VariantType
 
 from keelson.functions.decimal import decode_decimal, encode_decimal
+from keelson.functions.json import keep_rows
 
 
 def envelope_schema(after: StructType) -> StructType:
@@ -39,11 +40,9 @@ def read_changes(df: DataFrame, after: StructType, value_col: str = "value",
     parsed = df.select(ev)
     row = F.struct(F.coalesce(F.col("e.payload.op"), F.col("e.op")).alias("op"),
                    F.coalesce(F.col("e.payload.after"), F.col("e.after")).alias("after"))
-    # Drop events without `after` inside the generator: a Filter on the
-    # parsed column would be pushed below the projection and re-parse the
-    # JSON per reference; this way each record is parsed once.
-    kept = F.filter(F.array(row), lambda r: r["after"].isNotNull())
-    out = parsed.select(F.inline(kept)).select("op", "after.*")
+    # events without `after` (deletes, malformed JSON) are dropped inside a
+    # generator, so each record is parsed once
+    out = keep_rows(parsed, row, lambda r: r["after"].isNotNull()).select("op", "after.*")
     for c in decimals:
         out = out.withColumn(c, decode_decimal(F.col(c), scale, precision))
     return out

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from keelson.functions.json import parse_json
+from keelson.functions.json import parse_json_rows
 from keelson.functions.time import epoch_to_ts
 
 
@@ -23,8 +23,7 @@ def parse_records(stream: DataFrame, schema: StructType | str, value_col: str =
                   ts_field: str | None = "timestamp", unit: str = "ms",
                   ts_out: str | None = None) -> DataFrame:
     """Typed rows from JSON values; malformed records are dropped."""
-    rows = stream.select(parse_json(value_col, schema).alias("r")) \
-        .filter(F.col("r").isNotNull()).select("r.*")
+    rows = parse_json_rows(stream, value_col, schema)
     if ts_field:
         rows = rows.withColumn(ts_out or ts_field, epoch_to_ts(F.col(ts_field), unit))
     return rows
