@@ -23,8 +23,11 @@ therefore evaluated per ``(user, time chunk)``:
   ``(user, chunk)`` -- the side the rows are already partitioned by.
 
 Per-task work is then bounded by one user's rows within one chunk, not by the
-user's total. ``chunk=None`` gives the plain one-partition-per-user form
-(kept as the reference implementation for tests).
+user's total. ``chunk="auto"`` (the default) first finds the largest user
+with one partial aggregate: if it fits in a task (``max_group_rows``) the
+plain one-partition-per-user form runs (one shuffle); otherwise the chunk
+width is set so the largest user's span splits into pieces of about
+``max_group_rows`` rows. ``chunk=None`` forces the plain form.
 """
 
 from __future__ import annotations
@@ -56,41 +59,78 @@ def _stats(n: Column, s: Column, sq: Column) -> list[Column]:
             mean.cast("double").alias("prior_avg"), stdev.alias("prior_stdev")]
 
 
+def auto_chunk(df: DataFrame, user: str, ts: str, max_group_rows: int,
+               min_width: int = 1_000_000) -> int | None:
+    """Chunk width (microseconds) for the largest user, or None when every
+    user fits in one task.
+
+    One partial aggregate per user brings a single row (the largest user,
+    its time span) to the driver. The width splits that user's span into
+    pieces of about ``max_group_rows`` rows; rows sharing one timestamp
+    cannot be split by time."""
+    top = (df.filter(F.col(ts).isNotNull()).groupBy(user)
+           .agg(F.count(F.lit(1)).alias("n"), F.min(_micros(ts)).alias("lo"),
+                F.max(_micros(ts)).alias("hi"))
+           .orderBy(F.col("n").desc()).limit(1).first())
+    if top is None or top["n"] <= max_group_rows:
+        return None
+    span = top["hi"] - top["lo"] + 1
+    return max(min_width, int(span * max_group_rows // top["n"]))
+
+
+def _prefix_stats(part: list[str], ts: str, id_col: str, depth: int) -> list[Column]:
+    """Count, sum and sum of squares of each valid row's previous ``depth``
+    valid amounts inside one window partition, in O(1) per row.
+
+    Rows are ordered with invalid amounts first, so valid rows form one run.
+    Running totals up to a row are incremental; the frame is the running
+    total before this row minus the running total ``depth`` valid rows
+    earlier (``lag``); a sliding ROWS frame would re-aggregate ``depth`` rows
+    per row instead."""
+    w = Window.partitionBy(*part).orderBy("_v", ts, id_col)
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    a = F.col("_a")
+    cn = F.count(a).over(run)
+    cs = F.sum(a).over(run)
+    cq = F.sum(a * a).over(run)
+    zero = F.lit(0)
+    n = F.least(cn - 1, F.lit(depth))
+    s = (cs - a) - F.coalesce(F.lag(cs, depth + 1).over(w), zero)
+    q = (cq - a * a) - F.coalesce(F.lag(cq, depth + 1).over(w), zero)
+    valid = F.col("_v")
+    return [F.when(valid, n).otherwise(0).alias("_ln"),
+            F.when(valid, s).cast(_SUM).alias("_ls"),
+            F.when(valid, q).cast(_SQ).alias("_lq"),
+            cn.alias("_pos"), F.count(a).over(Window.partitionBy(*part)).alias("_cnt")]
+
+
 def profile(df: DataFrame, user: str, ts: str, id_col: str, amount: str,
-            depth: int = 50, chunk: str | None = "1 day",
-            amount_type: str = _AMT) -> DataFrame:
+            depth: int = 50, chunk: str | None = "auto",
+            amount_type: str = _AMT, max_group_rows: int = 2_000_000) -> DataFrame:
     """Statistics of the previous ``depth`` valid amounts per user.
 
     Adds ``prior_n, prior_sum, prior_avg, prior_stdev``. Rows whose amount is
     null are not part of any history and get ``prior_n = 0``. Sums are exact
     decimals; the mean and deviation are doubles for display.
+
+    ``chunk``: a width such as ``"1 day"``, ``None`` for one window partition
+    per user, or ``"auto"``: per user while the largest user has at most
+    ``max_group_rows`` rows, else chunks sized from that user's time span.
     """
     a = F.col(amount).cast(amount_type)
     base = df.withColumn("_a", a).withColumn("_v", F.col("_a").isNotNull())
     if chunk is None:
         # reference form: one window partition per user
-        w = (Window.partitionBy(user, "_v").orderBy(ts, id_col)
-             .rowsBetween(-depth, -1))
-        n = F.count("_a").over(w)
-        s = F.sum("_a").over(w)
-        sq = F.sum(F.col("_a") * F.col("_a")).over(w)
-        out = base.select("*", *_stats(n, F.coalesce(s, F.lit(0)), F.coalesce(sq, F.lit(0))))
-        return out.drop("_a", "_v")
-
-    cu = span_us(chunk)
+        out = base.select("*", *_prefix_stats([user], ts, id_col, depth))
+        n, s, sq = F.col("_ln"), F.coalesce(F.col("_ls"), F.lit(0)), F.coalesce(F.col("_lq"), F.lit(0))
+        out = out.select(*[F.col(c) for c in df.columns], *_stats(n, s, sq))
+        return out
+
+    cu = auto_chunk(df, user, ts, max_group_rows) if chunk == "auto" else span_us(chunk)
+    if cu is None:
+        return profile(df, user, ts, id_col, amount, depth, None, amount_type)
     base = base.withColumn("_c", _chunk_of(ts, cu))
-    # invalid amounts sort first inside a chunk, so a valid row's frame of
-    # `depth` rows covers exactly its `depth` previous valid rows (or all)
-    wl = Window.partitionBy(user, "_c").orderBy("_v", ts, id_col)
-    frame = wl.rowsBetween(-depth, -1)
-    loc = base.select(
-        "*",
-        F.count("_a").over(frame).alias("_ln"),
-        F.sum("_a").over(frame).alias("_ls"),
-        F.sum(F.col("_a") * F.col("_a")).over(frame).alias("_lq"),
-        F.count("_a").over(wl.rowsBetween(Window.unboundedPreceding, 0)).alias("_pos"),
-        F.count("_a").over(Window.partitionBy(user, "_c")).alias("_cnt"),
-    )
+    loc = base.select("*", *_prefix_stats([user, "_c"], ts, id_col, depth))
     # per chunk: its last `depth` valid amounts, in order
     tails = (loc.filter(F.col("_v") & (F.col("_cnt") - F.col("_pos") < depth))
              .groupBy(user, "_c")
@@ -116,8 +156,7 @@ def profile(df: DataFrame, user: str, ts: str, id_col: str, amount: str,
     n = F.col("_ln") + F.size(halo)
     s = F.coalesce(F.col("_ls"), F.lit(0)).cast(_SUM) + hs
     sq = F.coalesce(F.col("_lq"), F.lit(0)).cast(_SQ) + hq
-    out = joined.select(*[F.col(c) for c in df.columns], "_a", *_stats(n, s, sq))
-    return out.drop("_a")
+    return joined.select(*[F.col(c) for c in df.columns], *_stats(n, s, sq))
 
 
 def flag_outliers(df: DataFrame, amount: str, rule: str = "ratio", ratio: float = 3.0,
@@ -143,23 +182,30 @@ def flag_outliers(df: DataFrame, amount: str, rule: str = "ratio", ratio: float
 
 def velocity(df: DataFrame, user: str, ts: str, id_col: str, span: str = "60 seconds",
              amount: str | None = None, chunk: str | None = "auto",
-             alias: str = "velocity", amount_type: str = _AMT) -> DataFrame:
+             alias: str = "velocity", amount_type: str = _AMT,
+             max_group_rows: int = 2_000_000) -> DataFrame:
     """Per row, the user's events with time in ``[t - span, t]`` (lower
     bound inclusive), counting same-time events only up to this id.
 
     Rows with a null time, or a null ``amount`` when one is given, are not
-    events of the history and get a null velocity.
+    events of the history and get a null velocity. ``chunk`` as in
+    :func:`profile` (a chunk is never narrower than ``span``).
     """
     su = span_us(span)
     valid = F.col(ts).isNotNull()
     if amount is not None:
         valid = valid & F.col(amount).cast(amount_type).isNotNull()
     base = df.withColumn("_v", valid).withColumn("_t", _micros(ts))
-    if chunk is None:
+    cu = None
+    if chunk == "auto":
+        cu = auto_chunk(df, user, ts, max_group_rows)
+    elif chunk is not None:
+        cu = span_us(chunk)
+    if cu is None:
         part = [user, "_v"]
         src = base
     else:
-        cu = max(su, span_us(chunk)) if chunk != "auto" else su * 24
+        cu = max(su, cu)
         c = F.floor(F.col("_t") / F.lit(cu)).cast("bigint")
         near = F.col("_t") >= (c + 1) * F.lit(cu) - F.lit(su)
         src = (base.withColumn("_c", c)
@@ -171,7 +217,7 @@ def velocity(df: DataFrame, user: str, ts: str, id_col: str, span: str = "60 sec
         .rowsBetween(1, Window.unboundedFollowing)
     vel = F.count(F.lit(1)).over(w) - F.count(F.lit(1)).over(later)
     out = src.withColumn(alias, F.when(F.col("_v"), vel))
-    if chunk is not None:
+    if cu is not None:
         out = out.filter(~F.col("_halo")).drop("_c", "_pc", "_halo")
     return out.drop("_v", "_t")
 

@@ -6,9 +6,9 @@
 * cube: counts over every combination of the chosen dimensions in one pass
   (``cube`` expands each row once per grouping set, then partial-aggregates),
   with ``grouping_id`` telling which dimensions a row rolls up.
-* token index: (token, doc) pairs of a text column, written sorted by token so
-  the Parquet row-group statistics prune a lookup to the matching groups;
-  a search is an ``In`` filter on the token column, pushed into the scan.
+* token index: (token, doc) pairs of a text column, hash-bucketed by token
+  into folders and sorted inside each; a search reads the terms' buckets
+  only, with an ``In`` filter on the token pushed into the scan.
 """
 
 from __future__ import annotations
@@ -77,23 +77,34 @@ def build_token_index(df: DataFrame, id_col: str, text: str,
     return df.select(F.explode(tokens(text)).alias("token"), id_col, *extra)
 
 
-def write_token_index(index: DataFrame, path: str, partitions: int | None = None) -> None:
-    """Range-partition by token and sort, so each file holds a token range and
-    row-group min/max statistics prune lookups."""
-    n = partitions or index.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    index.repartitionByRange(int(n), "token").sortWithinPartitions("token") \
-        .write.mode("overwrite").parquet(path)
+def token_bucket(token: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
+
+
+def write_token_index(index: DataFrame, path: str, buckets: int = 16) -> None:
+    """Hash-bucket the index by token into ``bucket=<b>`` folders, one sorted
+    file per bucket: a lookup reads one folder (partition pruning) and, in
+    it, only the row groups whose token range holds the term. Hashing needs
+    no sampling pass over the data, unlike range partitioning."""
+    b = token_bucket(F.col("token"), buckets)
+    index.withColumn("bucket", b).repartition(buckets, "bucket") \
+        .sortWithinPartitions("token").write.mode("overwrite") \
+        .partitionBy("bucket").parquet(path)
 
 
 def search_tokens(index: DataFrame, terms: Sequence[str], id_col: str,
-                  mode: str = "any") -> DataFrame:
+                  mode: str = "any", buckets: int = 16) -> DataFrame:
     """Ids whose text holds the whole word(s): ``any`` term or ``all`` terms.
 
-    The term list is the caller's (small) input and becomes an ``In`` filter
-    pushed into the index scan; no join, no shuffle but the final distinct.
-    """
+    The term list is the caller's (small) input. Each term's bucket is a
+    constant Catalyst folds, so only those folders are listed and read; the
+    ``In`` filter on ``token`` is pushed into the Parquet scan."""
     wanted = sorted({t.lower() for t in terms})
-    hits = index.filter(F.col("token").isin(wanted))
+    hits = index
+    if "bucket" in index.columns:
+        hits = hits.filter(F.col("bucket").isin(
+            *[token_bucket(F.lit(t), buckets) for t in wanted]))
+    hits = hits.filter(F.col("token").isin(wanted))
     if mode == "any":
         return hits.select(id_col).distinct()
     if mode == "all":

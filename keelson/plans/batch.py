@@ -92,7 +92,7 @@ def trailing_avg(spark: SparkSession, d: str) -> DataFrame:
 
 def profile_outlier(spark: SparkSession, d: str) -> DataFrame:
     ev = read_table(spark, d, "events").select("event_id", "user_id", "ts", "value")
-    prof = fraud.profile(ev, "user_id", "ts", "event_id", "value", depth=50, chunk="1 day")
+    prof = fraud.profile(ev, "user_id", "ts", "event_id", "value", depth=50)
     out = fraud.flag_outliers(prof, "value", rule="ratio", ratio=3.0, floor=50.0, min_n=3)
     return out.select("event_id", "user_id", "ts", "value", "prior_n",
                       F.col("prior_sum").cast("double").alias("prior_sum"),
@@ -118,7 +118,8 @@ def cdc_decode(spark: SparkSession, d: str) -> DataFrame:
     """Orders replayed as change events (both envelopes,
     base64 and bare-number amounts), then decoded back to typed rows."""
     from keelson.sources.changes import after_schema, change_events, read_changes
-    o = read_table(spark, d, "orders").select(
+    from keelson.sources.tables import spread
+    o = spread(read_table(spark, d, "orders"), "o_orderkey").select(
         F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"),
         F.col("o_totalprice").alias("amount"), "o_orderstatus")
     feed = change_events(o, ["id", "user_id", "amount"], "amount",
@@ -140,10 +141,11 @@ def token_search(spark: SparkSession, d: str) -> DataFrame:
     documents (written range-partitioned by token, then searched)."""
     from keelson.operators.precompute import build_token_index, search_tokens, write_token_index
     from keelson.session import scratch_dir
+    from keelson.sources.tables import spread
     path = scratch_dir(spark, "token-index")
-    docs = read_table(spark, d, "documents")
-    write_token_index(build_token_index(docs, "doc_id", "text"), path)
-    return search_tokens(spark.read.parquet(path), ["the"], "doc_id")
+    docs = spread(read_table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    write_token_index(build_token_index(docs, "doc_id", "text"), path, buckets=16)
+    return search_tokens(spark.read.parquet(path), ["the"], "doc_id", buckets=16)
 
 
 def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:

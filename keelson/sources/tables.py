@@ -21,6 +21,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def spread(df: DataFrame, key: str | None = None,
+           min_partitions: int | None = None) -> DataFrame:
+    """Rebalance input that arrives in fewer partitions than there are cores
+    (a file written as one huge row group cannot be split), ahead of
+    CPU-heavy row work (parsing, tokenising). Input already split at least
+    that finely -- any large table of many files -- is returned as is, so no
+    shuffle is added at scale. Rows are hashed on ``key`` (a unique column;
+    all columns when absent), which is deterministic under task retries and
+    needs no sort."""
+    if df.isStreaming:
+        return df
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= n:
+        return df
+    return df.repartition(n, *([key] if key else df.columns))
+
+
 def stream_table(spark: SparkSession, sf_dir: str, name: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """The same table as a streaming file source (files are the micro-batches).

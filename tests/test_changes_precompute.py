@@ -70,11 +70,15 @@ def test_token_index_search(spark, tmp):
     docs = spark.createDataFrame([(1, "The cat sat."), (2, "Other things"), (3, "Théâtre: the END"),
                                   (4, "bathe"), (5, None)], "doc_id long, text string")
     path = os.path.join(tmp, "idx")
-    precompute.write_token_index(precompute.build_token_index(docs, "doc_id", "text"), path, 2)
+    precompute.write_token_index(precompute.build_token_index(docs, "doc_id", "text"), path, 3)
     idx = spark.read.parquet(path)
-    ids = sorted(r.doc_id for r in precompute.search_tokens(idx, ["THE"], "doc_id").collect())
+    ids = sorted(r.doc_id for r in precompute.search_tokens(idx, ["THE"], "doc_id", buckets=3).collect())
     assert ids == [1, 3]
-    both = precompute.search_tokens(idx, ["the", "end"], "doc_id", mode="all").collect()
+    both = precompute.search_tokens(idx, ["the", "end"], "doc_id", mode="all", buckets=3).collect()
     assert [r.doc_id for r in both] == [3]
     assert sorted(r.doc_id for r in precompute.search_tokens(
-        idx, ["théâtre", "cat"], "doc_id").collect()) == [1, 3]
+        idx, ["théâtre", "cat"], "doc_id", buckets=3).collect()) == [1, 3]
+    # the lookup reads only the terms' bucket folders
+    plan = precompute.search_tokens(idx, ["the"], "doc_id", buckets=3)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan

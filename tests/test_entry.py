@@ -22,7 +22,7 @@ def test_entry_runs(spark):
 def test_every_query_has_oracle_or_is_listed():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) <= {"stream_progress"}
+    assert set(q) == set(o)
 
 
 def _norm(v):

@@ -44,12 +44,14 @@ def _profile_ref(rows, depth, min_n=3, ratio=3, floor=Decimal("500")):
     return out
 
 
-@pytest.mark.parametrize("depth,chunk", [(5, "10 minutes"), (50, "20 minutes"), (3, "1 minute"),
-                                         (50, None)])
-def test_profile_matches_loop(spark, depth, chunk):
+@pytest.mark.parametrize("depth,chunk,cap", [(5, "10 minutes", 0), (50, "20 minutes", 0),
+                                             (3, "1 minute", 0), (50, None, 0),
+                                             (5, "auto", 10_000), (5, "auto", 40)])
+def test_profile_matches_loop(spark, depth, chunk, cap):
     rows = _events()
     df = _frame(spark, rows)
-    prof = fraud.profile(df, "user", "ts", "id", "amount", depth=depth, chunk=chunk)
+    prof = fraud.profile(df, "user", "ts", "id", "amount", depth=depth, chunk=chunk,
+                         max_group_rows=cap or 2_000_000)
     flagged = fraud.flag_outliers(prof, "amount", floor=500.0, min_n=3)
     got = {r.id: (r.prior_n, r.prior_sum, r.is_outlier) for r in flagged.collect()}
     assert got == _profile_ref(rows, depth)
@@ -92,14 +94,15 @@ def _velocity_ref(rows, span_s):
     return out
 
 
-@pytest.mark.parametrize("span,span_s,chunk", [("60 seconds", 60, "2 minutes"),
-                                               ("60 seconds", 60, "auto"),
-                                               ("15 minutes", 900, "15 minutes"),
-                                               ("60 seconds", 60, None)])
-def test_velocity_matches_loop(spark, span, span_s, chunk):
+@pytest.mark.parametrize("span,span_s,chunk,cap", [("60 seconds", 60, "2 minutes", 0),
+                                                   ("60 seconds", 60, "auto", 30),
+                                                   ("60 seconds", 60, "auto", 0),
+                                                   ("15 minutes", 900, "15 minutes", 0),
+                                                   ("60 seconds", 60, None, 0)])
+def test_velocity_matches_loop(spark, span, span_s, chunk, cap):
     rows = _events(seed=5, n=500)
     v = fraud.velocity(_frame(spark, rows), "user", "ts", "id", span=span, amount="amount",
-                       chunk=chunk)
+                       chunk=chunk, max_group_rows=cap or 2_000_000)
     got = {r.id: r.velocity for r in v.collect()}
     assert got == _velocity_ref(rows, span_s)
 
@@ -119,3 +122,11 @@ def test_score_boundaries(spark):
     df = spark.createDataFrame(rows, "id long, velocity long, amount decimal(10,2)")
     got = {r.id: (r.score, r.alert) for r in fraud.fraud_score(df, "amount").collect()}
     assert got == {1: (0, False), 2: (40, False), 3: (90, True), 4: (50, False), 5: (0, False)}
+
+
+def test_auto_chunk_splits_only_hot_users(spark):
+    df = _frame(spark, _events())
+    assert fraud.auto_chunk(df, "user", "ts", 10_000) is None
+    width = fraud.auto_chunk(df, "user", "ts", 40)
+    # the hot user (~240 rows over ~3 hours) is cut into pieces of ~40 rows
+    assert 1_000_000 <= width < 3 * 3600 * 1_000_000 / 4
