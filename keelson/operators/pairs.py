@@ -38,11 +38,14 @@ def pair_count_join(left: DataFrame, key: str, right: DataFrame | None = None,
     shuffles otherwise, and for a self-join the second side reuses the first
     side's exchange.
     """
-    rk = right_key or key
-    l_cnt = _key_counts(left, key, "_l_cnt").withColumnRenamed(key, "_k")
-    r_cnt = _key_counts(right if right is not None else left, rk, "_r_cnt") \
-        .withColumnRenamed(rk, "_k")
-    joined = l_cnt.join(r_cnt, on="_k", how="inner")
+    counts = _key_counts(left, key, "_l_cnt").withColumnRenamed(key, "_k")
+    if right is None:
+        # self-join: both sides are the one count table (one scan, one shuffle)
+        r_cnt = counts.select(F.col("_k").alias("_k2"), F.col("_l_cnt").alias("_r_cnt"))
+    else:
+        rk = right_key or key
+        r_cnt = _key_counts(right, rk, "_r_cnt").withColumnRenamed(rk, "_k2")
+    joined = counts.join(r_cnt, F.col("_k") == F.col("_k2"), how="inner")
     total = F.sum((F.col("_l_cnt") * F.col("_r_cnt")).cast(_DEC))
     return joined.agg(F.coalesce(total, F.lit(0).cast(_DEC)).cast(_DEC).alias(alias))
 

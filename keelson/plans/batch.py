@@ -87,7 +87,8 @@ def json_avg(spark: SparkSession, d: str) -> DataFrame:
 
 def trailing_avg(spark: SparkSession, d: str) -> DataFrame:
     ev = read_table(spark, d, "events")
-    return sensors.trailing_avg(ev, "ts", "value", sensors.latest(ev, "ts"), "1 day")
+    as_of = sensors.latest_value(ev, "ts")
+    return sensors.trailing_avg(ev, "ts", "value", F.lit(as_of).cast("timestamp_ntz"), "1 day")
 
 
 def profile_outlier(spark: SparkSession, d: str) -> DataFrame:

@@ -52,41 +52,50 @@ def _stdev_cents(a: np.ndarray, lo: np.ndarray, hi: np.ndarray, depth: int) -> n
     return out
 
 
+def _one_frame(pdfs: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    frames = list(pdfs)
+    return frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+
+
 def _profile_handler(user: str, ts: str, id_col: str, depth: int, min_n: int,
                      ratio: float, floor: float, out_cols: list[str]):
     def handle(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
         hist = np.asarray(state.get[0] if state.exists else [], dtype=np.int64)
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        pdf = pdf.sort_values([ts, id_col], kind="stable", ignore_index=True)
-        cents = pdf["_cents"]
-        valid = cents.notna().to_numpy()
-        v = cents[valid].to_numpy(dtype=np.int64)
+        pdf = _one_frame(pdfs)
+        t = pdf[ts].to_numpy()
+        order = np.lexsort((pdf[id_col].to_numpy(), t))
+        if not np.array_equal(order, np.arange(len(order))):
+            pdf = pdf.iloc[order].reset_index(drop=True)
+        cents = pdf["_cents"].to_numpy(dtype=np.float64, na_value=np.nan)
+        valid = ~np.isnan(cents)
+        v = cents[valid].astype(np.int64)
         a = np.concatenate([hist, v])
         pos = len(hist) + np.arange(len(v))          # index of each valid row in a
         lo = np.maximum(pos - depth, 0)
         csum = np.concatenate([[0], np.cumsum(a, dtype=np.int64)])
         n = pos - lo
         s = csum[pos] - csum[lo]
-        sd = _stdev_cents(a, lo, pos, depth)
-        prior_n = np.zeros(len(pdf), dtype=np.int32)
-        prior_sum = np.full(len(pdf), np.nan)
-        prior_avg = np.full(len(pdf), np.nan)
-        prior_sd = np.zeros(len(pdf))
-        flag = np.zeros(len(pdf), dtype=bool)
+        rows = len(pdf)
+        prior_n = np.zeros(rows, dtype=np.int32)
+        prior_sum = np.full(rows, np.nan)
+        prior_avg = np.full(rows, np.nan)
+        prior_sd = np.zeros(rows)
+        flag = np.zeros(rows, dtype=bool)
         prior_n[valid] = n
-        with np.errstate(invalid="ignore", divide="ignore"):
-            prior_sum[valid] = np.where(n > 0, s / 100.0, np.nan)
-            prior_avg[valid] = np.where(n > 0, s / np.maximum(n, 1) / 100.0, np.nan)
-        # as the batch form: deviation 0 for fewer than two amounts
-        prior_sd[valid] = np.where(n > 1, sd / 100.0, 0.0)
+        has = n > 0
+        nz = np.maximum(n, 1)
+        prior_sum[valid] = np.where(has, s / 100.0, np.nan)
+        prior_avg[valid] = np.where(has, s / nz / 100.0, np.nan)
+        if (n > 1).any():
+            # as the batch form: deviation 0 for fewer than two amounts
+            sd = _stdev_cents(a, lo, pos, depth)
+            prior_sd[valid] = np.where(n > 1, sd / 100.0, 0.0)
         flag[valid] = (n >= min_n) & (v * n > ratio * s) & (v > floor * 100)
-        pdf["prior_n"] = prior_n
-        pdf["prior_sum"] = prior_sum
-        pdf["prior_avg"] = prior_avg
-        pdf["prior_stdev"] = prior_sd
-        pdf["is_outlier"] = flag
-        state.update(([int(x) for x in a[-depth:]],))
-        yield pdf[out_cols]
+        out = pdf[out_cols[:-5]].assign(prior_n=prior_n, prior_sum=prior_sum,
+                                       prior_avg=prior_avg, prior_stdev=prior_sd,
+                                       is_outlier=flag)
+        state.update((a[-depth:].tolist(),))
+        yield out
     return handle
 
 
@@ -120,12 +129,12 @@ def _velocity_handler(ts_us: str, id_col: str, su: int, alias: str, out_cols: li
             st_t = np.asarray(st_t, dtype=np.int64)
             st_i = np.asarray(st_i, dtype=np.int64)
         else:
-            st_t = np.zeros(0, dtype=np.int64)
-            st_i = np.zeros(0, dtype=np.int64)
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        valid = (pdf[ts_us].notna() & pdf["_valid"]).to_numpy()
-        bt = pdf.loc[valid, ts_us].to_numpy(dtype=np.int64)
-        bi = pdf.loc[valid, id_col].to_numpy(dtype=np.int64)
+            st_t = st_i = np.zeros(0, dtype=np.int64)
+        pdf = _one_frame(pdfs)
+        tt = pdf[ts_us].to_numpy(dtype=np.float64, na_value=np.nan)
+        valid = ~np.isnan(tt) & pdf["_valid"].to_numpy(dtype=bool)
+        bt = tt[valid].astype(np.int64)
+        bi = pdf[id_col].to_numpy()[valid].astype(np.int64)
         t = np.concatenate([st_t, bt])
         i = np.concatenate([st_i, bi])
         order = np.lexsort((i, t))
@@ -134,13 +143,13 @@ def _velocity_handler(ts_us: str, id_col: str, su: int, alias: str, out_cols: li
         rank[order] = np.arange(len(t))
         mine = rank[len(st_t):]                       # sorted position of batch rows
         lo = np.searchsorted(t_sorted, bt - su, side="left")
-        vel = np.full(len(pdf), np.nan)
+        vel = pd.array(np.full(len(pdf), None), dtype="Int64")
         vel[valid] = mine + 1 - lo
-        pdf[alias] = pd.array(np.where(np.isnan(vel), None, vel), dtype="Int64")
+        out = pdf[out_cols[:-1]].assign(**{alias: vel})
         if len(t):
             keep = t >= t.max() - su
-            state.update(([int(x) for x in t[keep]], [int(x) for x in i[keep]]))
-        yield pdf[out_cols]
+            state.update((t[keep].tolist(), i[keep].tolist()))
+        yield out
     return handle
 
 

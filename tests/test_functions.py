@@ -64,3 +64,32 @@ def test_epoch_units(spark):
                   epoch_to_ts(F.col("s") * 1000000, "us").alias("c")).first()
     want = dt.datetime(2026, 1, 20, 8, 53, 50)
     assert r.a.replace(tzinfo=None) == want == r.b.replace(tzinfo=None) == r.c.replace(tzinfo=None)
+
+
+def test_limb_sums_exact_for_large_and_negative(spark):
+    from keelson.functions.decimal import limb_sums, limb_total
+    vals = [9_000_000_000_000_000_000, 9_000_000_000_000_000_000, -5, 123456789012345,
+            -9_000_000_000_000_000_000, 1, (1 << 21) - 1, -(1 << 42)]
+    df = spark.createDataFrame([(i % 2, v) for i, v in enumerate(vals)], "g int, v long")
+    out = df.groupBy("g").agg(*limb_sums("v", "x")).select("g", limb_total("x").alias("t"))
+    got = {r.g: r.t for r in out.collect()}
+    want = {g: sum(v for i, v in enumerate(vals) if i % 2 == g) for g in (0, 1)}
+    assert got == {g: Decimal(w) for g, w in want.items()}
+    # a plain bigint sum of the same rows overflows (ANSI raises)
+    assert sum(vals[0:2]) > (1 << 63) - 1
+
+
+def test_units_and_scaled_total(spark):
+    from keelson.functions.decimal import limb_sums, limb_total, units
+    df = spark.createDataFrame([(0.1, 3.0), (0.2, 3.0), (104997.88, 50.0)], "p double, q double")
+    r = df.agg(*limb_sums(units("p") * units("q"), "r")).select(limb_total("r", 4).alias("t")).first()
+    assert r.t == Decimal("0.9") + Decimal("5249894.00")
+
+
+def test_spread_only_when_under_split(spark):
+    from keelson.sources.tables import spread
+    one = spark.range(1000).coalesce(1)
+    assert spread(one, "id", 4).rdd.getNumPartitions() == 4
+    many = spark.range(1000, numPartitions=8)
+    assert spread(many, "id", 4) is many
+    assert sorted(r.id for r in spread(one, "id", 4).collect()) == list(range(1000))
