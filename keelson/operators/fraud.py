@@ -46,8 +46,13 @@ def _micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
+def _floor_div(c: Column, n: int) -> Column:
+    """Exact integer floor division (also for times before 1970)."""
+    return ((c - F.pmod(c, F.lit(n))) / F.lit(n)).cast("bigint")
+
+
 def _chunk_of(ts: str, chunk_us: int) -> Column:
-    return F.floor(_micros(ts) / F.lit(chunk_us)).cast("bigint")
+    return _floor_div(_micros(ts), chunk_us)
 
 
 def _stats(n: Column, s: Column, sq: Column) -> list[Column]:
@@ -206,7 +211,7 @@ def velocity(df: DataFrame, user: str, ts: str, id_col: str, span: str = "60 sec
         src = base
     else:
         cu = max(su, cu)
-        c = F.floor(F.col("_t") / F.lit(cu)).cast("bigint")
+        c = _floor_div(F.col("_t"), cu)
         near = F.col("_t") >= (c + 1) * F.lit(cu) - F.lit(su)
         src = (base.withColumn("_c", c)
                .withColumn("_pc", F.explode(F.when(near, F.array(c, c + 1)).otherwise(F.array(c))))
@@ -215,8 +220,10 @@ def velocity(df: DataFrame, user: str, ts: str, id_col: str, span: str = "60 sec
     w = Window.partitionBy(*part).orderBy("_t").rangeBetween(-su, 0)
     later = Window.partitionBy(*part, "_t").orderBy(id_col) \
         .rowsBetween(1, Window.unboundedFollowing)
-    vel = F.count(F.lit(1)).over(w) - F.count(F.lit(1)).over(later)
-    out = src.withColumn(alias, F.when(F.col("_v"), vel))
+    # the (time, id) window first: its sort also serves the time-only window
+    out = src.withColumn("_later", F.count(F.lit(1)).over(later))
+    vel = F.count(F.lit(1)).over(w) - F.col("_later")
+    out = out.withColumn(alias, F.when(F.col("_v"), vel)).drop("_later")
     if cu is not None:
         out = out.filter(~F.col("_halo")).drop("_c", "_pc", "_halo")
     return out.drop("_v", "_t")

@@ -82,13 +82,17 @@ def token_bucket(token: Column, buckets: int) -> Column:
 
 
 def write_token_index(index: DataFrame, path: str, buckets: int = 16) -> None:
-    """Hash-bucket the index by token into ``bucket=<b>`` folders, one sorted
-    file per bucket: a lookup reads one folder (partition pruning) and, in
-    it, only the row groups whose token range holds the term. Hashing needs
-    no sampling pass over the data, unlike range partitioning."""
+    """Hash-bucket the index by token into ``bucket=<b>`` folders, sorted by
+    token inside each file: a lookup reads one folder (partition pruning)
+    and, in it, only the row groups whose token range holds the term.
+    Hashing needs no sampling pass over the data, unlike range partitioning.
+
+    A common word can hold a large share of all (token, id) rows, so the
+    shuffle is a ``rebalance`` on the bucket: AQE splits a skewed bucket over
+    several tasks (several files in its folder) and merges small ones."""
     b = token_bucket(F.col("token"), buckets)
-    index.withColumn("bucket", b).repartition(buckets, "bucket") \
-        .sortWithinPartitions("token").write.mode("overwrite") \
+    index.withColumn("bucket", b).hint("rebalance", buckets, "bucket") \
+        .sortWithinPartitions("bucket", "token").write.mode("overwrite") \
         .partitionBy("bucket").parquet(path)
 
 
