@@ -39,6 +39,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "velocity_stream": streams.velocity_stream,
     "summary_merge": streams.summary_merge,
     "ingest_table": streams.ingest_table,
+    "cdc_velocity_alerts": streams.cdc_velocity_alerts,
+    "cdc_profile_alerts": streams.cdc_profile_alerts,
 }
 
 

@@ -114,6 +114,26 @@ ORACLE = {
         FROM k""",
 }
 
+ORACLE["cdc_velocity_alerts"] = """
+    WITH v AS (
+        SELECT e1.o_orderkey AS id, e1.o_custkey AS user_id, e1.o_totalprice, count(*) AS velocity
+        FROM orders e1 JOIN orders e2
+          ON e1.o_custkey = e2.o_custkey
+         AND e2.o_orderdate >= e1.o_orderdate - INTERVAL 30 DAY AND e2.o_orderdate <= e1.o_orderdate
+         AND (e2.o_orderdate < e1.o_orderdate OR e2.o_orderkey <= e1.o_orderkey)
+        GROUP BY e1.o_orderkey, e1.o_custkey, e1.o_totalprice)
+    SELECT id, user_id, CAST(o_totalprice AS DECIMAL(10,2)) AS amount, velocity, 90 AS score
+    FROM v WHERE velocity > 1 AND CAST(o_totalprice AS DECIMAL(10,2)) > 400000"""
+ORACLE["cdc_profile_alerts"] = """
+    WITH f AS (
+        SELECT o_orderkey AS id, o_custkey AS user_id, CAST(o_totalprice AS DECIMAL(10,2)) AS a,
+               count(*) OVER w AS n, sum(CAST(o_totalprice AS DECIMAL(10,2))) OVER w AS s
+        FROM orders
+        WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
+                     ROWS BETWEEN 50 PRECEDING AND 1 PRECEDING))
+    SELECT id, user_id, a AS amount, CAST(n AS INTEGER) AS prior_n, CAST(s AS DOUBLE) AS prior_sum
+    FROM f WHERE n >= 3 AND a * n > 3 * s AND a > 500"""
+
 # The streaming forms of the fraud rules answer the same questions as the
 # batch forms, so they share the oracle.
 ORACLE["profile_stream"] = ORACLE["profile_outlier"]

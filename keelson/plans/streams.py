@@ -93,3 +93,83 @@ def ingest_table(spark: SparkSession, d: str) -> DataFrame:
     table = spark.read.parquet(path)
     return table.select("event_id", to_ntz("ts").alias("ts"), "user_id", "event_type",
                         "value", "props")
+
+
+# ---- change feed -> fraud agents -> alerts (S5, S6, F8, T4, T5, K6) ------
+
+_FEED_AFTER = [("id", "bigint"), ("user_id", "bigint"), ("amount", "variant"),
+               ("created_at", "bigint")]
+
+
+def _stage_order_feed(spark: SparkSession, d: str) -> str:
+    """Orders replayed as change events (payload envelope, base64 amounts,
+    creation time in epoch microseconds), one JSON record per line."""
+    from keelson.sources.changes import change_events
+    from keelson.sources.tables import spread
+    o = spread(read_table(spark, d, "orders"), "o_orderkey").select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"),
+        F.col("o_totalprice").alias("amount"),
+        F.unix_micros(F.col("o_orderdate").cast("timestamp")).alias("created_at"))
+    stage = scratch_dir(spark, "order-feed")
+    change_events(o, ["id", "user_id", "amount", "created_at"], "amount").write.text(stage)
+    return stage
+
+
+def _feed_reader(spark: SparkSession, stage: str):
+    from pyspark.sql.types import LongType
+    from keelson.functions.time import epoch_to_ts
+    from keelson.sources.changes import after_schema, read_changes
+    sch = after_schema([(n, LongType() if t == "bigint" else t) for n, t in _FEED_AFTER])
+
+    def read() -> DataFrame:
+        rows = read_changes(spark.readStream.text(stage), sch, decimals=["amount"])
+        return rows.withColumn("created_at", epoch_to_ts(F.col("created_at"), "us"))
+    return read
+
+
+def _velocity_agent(rows: DataFrame) -> DataFrame:
+    from keelson.operators.fraud import fraud_score
+    vel = stateful.velocity_stream(rows.select("id", "user_id", "amount", "created_at"),
+                                   "user_id", "created_at", "id", span="30 days",
+                                   amount="amount")
+    scored = fraud_score(vel, "amount", max_velocity=1, max_amount=400000.0)
+    return scored.filter("alert").select("id", "user_id", "amount", "velocity", "score")
+
+
+def _profile_agent(rows: DataFrame) -> DataFrame:
+    prof = stateful.profile_stream(rows.select("id", "user_id", "amount", "created_at"),
+                                   "user_id", "created_at", "id", "amount",
+                                   depth=50, min_n=3, ratio=3.0, floor=500.0)
+    return prof.filter("is_outlier").select("id", "user_id", "amount", "prior_n", "prior_sum")
+
+
+def _agent_alerts(spark: SparkSession, d: str, name: str, agent) -> DataFrame:
+    stage = _stage_order_feed(spark, d)
+    root = scratch_dir(spark, f"agents-{name}")
+    outs = run.fan_out(spark, _feed_reader(spark, stage), {name: agent}, root)
+    cols = agent(_feed_reader(spark, stage)()).columns
+    return spark.read.parquet(outs[name]).select(*cols)
+
+
+def cdc_velocity_alerts(spark: SparkSession, d: str) -> DataFrame:
+    """The velocity agent as a stream over the change feed
+    of orders; alerts where the customer placed another order within 30 days
+    and the amount exceeds 400000."""
+    return _agent_alerts(spark, d, "velocity", _velocity_agent)
+
+
+def cdc_profile_alerts(spark: SparkSession, d: str) -> DataFrame:
+    """The spending-profile agent over the same feed;
+    alerts where an order exceeds 3x the customer's mean of up to 50
+    previous orders and 500."""
+    return _agent_alerts(spark, d, "profile", _profile_agent)
+
+
+def cdc_agents(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Both agents as independent consumers of one staged feed."""
+    stage = _stage_order_feed(spark, d)
+    root = scratch_dir(spark, "agents")
+    agents = {"velocity": _velocity_agent, "profile": _profile_agent}
+    outs = run.fan_out(spark, _feed_reader(spark, stage), agents, root)
+    return {k: spark.read.parquet(v).select(*agents[k](_feed_reader(spark, stage)()).columns)
+            for k, v in outs.items()}

@@ -109,3 +109,31 @@ def route_alerts(stream: DataFrame, handler: Callable[[DataFrame, int], None],
     replay does not duplicate."""
     return start(stream, "append", checkpoint=checkpoint, trigger=trigger,
                  foreach_batch=handler)
+
+
+def fan_out(spark: SparkSession, source: Callable[[], DataFrame],
+            consumers: dict[str, Callable[[DataFrame], DataFrame]], root: str,
+            mode: str = "append", trigger: dict | None = None,
+            wait: bool = True) -> dict[str, str]:
+    """Independent consumers of one feed. Each consumer is its own
+    streaming query over its own read of the source, with its own checkpoint
+    (its consumer group and progress) and its own output table, so one can
+    lag, fail or restart without touching the others. Returns the output
+    folder per consumer."""
+    outs, queries = {}, []
+    for name, build in consumers.items():
+        out = f"{root}/{name}/out"
+        stream = build(source())
+        spark.createDataFrame([], stream.schema).write.mode("overwrite") \
+            .parquet(f"{out}/batch_id=-1")
+        q = start(stream, mode, checkpoint=f"{root}/{name}/ck",
+                  trigger=trigger or {"availableNow": True},
+                  foreach_batch=batch_writer(out), query_name=None)
+        outs[name] = out
+        queries.append(q)
+    if wait:
+        for q in queries:
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise RuntimeError(str(q.exception()))
+    return outs

@@ -128,3 +128,23 @@ def test_complete_mode_running_count(spark, tmp):
     res = run.run_to_table(spark, agg, "t-complete", "complete",
                            out=os.path.join(tmp, "o"), checkpoint=os.path.join(tmp, "c"))
     assert [(r.source_ip, r.match_count) for r in res.collect()] == [("10.0.0.1", 3)]
+
+
+def test_fan_out_independent_consumers(spark, tmp):
+    src = os.path.join(tmp, "feed")
+    os.makedirs(src)
+    _feed(spark, src, [[_log(MS0, "a"), _log(MS0, "b", content="ok")], [_log(MS0, "a")]])
+
+    def source():
+        return logs.parse_logs(spark.readStream.option("recursiveFileLookup", "true")
+                               .option("maxFilesPerTrigger", 1).text(src))
+
+    consumers = {"crashes": lambda s: s.filter(logs.crash_filter()).select("user_id"),
+                 "nothing": lambda s: s.filter("false").select("user_id")}
+    outs = run.fan_out(spark, source, consumers, os.path.join(tmp, "agents"))
+    crashes = spark.read.parquet(outs["crashes"]).select("user_id").collect()
+    assert sorted(r.user_id for r in crashes) == ["a", "a"]
+    assert spark.read.parquet(outs["nothing"]).count() == 0
+    # each consumer keeps its own progress
+    assert os.path.isdir(os.path.join(tmp, "agents", "crashes", "ck", "offsets"))
+    assert os.path.isdir(os.path.join(tmp, "agents", "nothing", "ck", "offsets"))
