@@ -122,8 +122,13 @@ def profile_stream(stream: DataFrame, user: str, ts: str, id_col: str, amount: s
         handler, out_schema, "h array<bigint>", "append", GroupStateTimeout.NoTimeout)
 
 
-def _velocity_handler(ts_us: str, id_col: str, su: int, alias: str, out_cols: list[str]):
+def _velocity_handler(ts_us: str, id_col: str, su: int, alias: str, out_cols: list[str],
+                      timeout: bool):
     def handle(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
+        if state.hasTimedOut:
+            # watermark passed the user's last event + span: nothing left to count
+            state.remove()
+            return
         if state.exists:
             st_t, st_i = state.get
             st_t = np.asarray(st_t, dtype=np.int64)
@@ -147,28 +152,39 @@ def _velocity_handler(ts_us: str, id_col: str, su: int, alias: str, out_cols: li
         vel[valid] = mine + 1 - lo
         out = pdf[out_cols[:-1]].assign(**{alias: vel})
         if len(t):
-            keep = t >= t.max() - su
+            newest = int(t.max())
+            keep = t >= newest - su
             state.update((t[keep].tolist(), i[keep].tolist()))
+            if timeout:
+                state.setTimeoutTimestamp((newest + su) // 1000 + 1)
         yield out
     return handle
 
 
 def velocity_stream(stream: DataFrame, user: str, ts: str, id_col: str,
                     span: str = "60 seconds", amount: str | None = None,
-                    alias: str = "velocity") -> DataFrame:
+                    alias: str = "velocity", watermark: str | None = None) -> DataFrame:
     """T4: the streaming form of ``velocity``: events of the user in
-    ``[t - span, t]``, same-time events counted up to this id."""
+    ``[t - span, t]``, same-time events counted up to this id.
+
+    With ``watermark`` (e.g. ``"30 seconds"``) a user's state expires once the
+    watermark passes its newest event + ``span`` (event-time timeout), so
+    state is bounded by the users active within the span; rows behind the
+    watermark are dropped as late."""
     su = span_us(span)
     valid = F.lit(True)
     if amount is not None:
         valid = F.col(amount).cast("decimal(10,2)").isNotNull()
-    src = (stream.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
+    src = stream
+    if watermark:
+        src = src.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
+    src = (src.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
            .withColumn("_valid", valid))
     in_cols = [f for f in src.schema.fields if f.name not in ("_t", "_valid")]
     out_cols = [f.name for f in in_cols] + [alias]
     out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in in_cols)
     out_schema += f", {alias} bigint"
-    handler = _velocity_handler("_t", id_col, su, alias, out_cols)
+    handler = _velocity_handler("_t", id_col, su, alias, out_cols, bool(watermark))
+    timeout = GroupStateTimeout.EventTimeTimeout if watermark else GroupStateTimeout.NoTimeout
     return src.groupBy(user).applyInPandasWithState(
-        handler, out_schema, "t array<bigint>, i array<bigint>", "append",
-        GroupStateTimeout.NoTimeout)
+        handler, out_schema, "t array<bigint>, i array<bigint>", "append", timeout)

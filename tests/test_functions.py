@@ -93,3 +93,19 @@ def test_spread_only_when_under_split(spark):
     many = spark.range(1000, numPartitions=8)
     assert spread(many, "id", 4) is many
     assert sorted(r.id for r in spread(one, "id", 4).collect()) == list(range(1000))
+
+
+def test_decode_random_values_property(spark):
+    from hypothesis import given, settings, strategies as st
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(st.integers(min_value=-(1 << 63), max_value=(1 << 63) - 1),
+                    min_size=1, max_size=60))
+    def check(vals):
+        df = spark.createDataFrame([(v, _b64_of_cents(v)) for v in vals], "c long, s string")
+        for r in df.select("c", decode_b64_decimal("s", 2, 38).alias("d"),
+                           encode_decimal(F.col("c").cast("decimal(20,0)") / 100).alias("e"),
+                           "s").collect():
+            assert r.d == Decimal(r.c) / 100
+            assert r.e == r.s
+    check()

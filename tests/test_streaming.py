@@ -148,3 +148,28 @@ def test_fan_out_independent_consumers(spark, tmp):
     # each consumer keeps its own progress
     assert os.path.isdir(os.path.join(tmp, "agents", "crashes", "ck", "offsets"))
     assert os.path.isdir(os.path.join(tmp, "agents", "nothing", "ck", "offsets"))
+
+
+def test_velocity_state_expires_with_watermark(spark, tmp):
+    schema = "id long, user long, ts timestamp, amount decimal(10,2)"
+    t0 = dt.datetime(2024, 1, 1)
+    batches = [[(1, 1, t0, Decimal("1")), (2, 2, t0, Decimal("1"))],
+               [(3, 1, t0 + dt.timedelta(seconds=30), Decimal("1"))],
+               [(4, 1, t0 + dt.timedelta(minutes=10), Decimal("1"))],
+               [(5, 1, t0 + dt.timedelta(minutes=11), Decimal("1"))]]
+    src = os.path.join(tmp, "v")
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(os.path.join(src, f"p{k}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1) \
+        .option("recursiveFileLookup", "true").parquet(src)
+    vel = stateful.velocity_stream(stream, "user", "ts", "id", "60 seconds",
+                                   amount="amount", watermark="10 seconds")
+    q = run.start(vel, "append", checkpoint=os.path.join(tmp, "ck"),
+                  trigger={"availableNow": True},
+                  foreach_batch=run.batch_writer(os.path.join(tmp, "out")))
+    q.awaitTermination()
+    got = {r.id: r.velocity for r in spark.read.parquet(os.path.join(tmp, "out")).collect()}
+    assert got == {1: 1, 2: 1, 3: 2, 4: 1, 5: 2}
+    states = [r.state_rows for r in progress_report(spark, q).collect()]
+    # user 2's state is gone once the watermark passed its last event + span
+    assert states[0] == 2 and min(states[2:]) == 1
