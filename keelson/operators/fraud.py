@@ -32,6 +32,8 @@ width is set so the largest user's span splits into pieces of about
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +44,12 @@ _SUM = "decimal(20,2)"
 _SQ = "decimal(30,4)"
 
 
+def _dec(x) -> Column:
+    """An exact decimal literal (a float literal would turn the comparison
+    into a double comparison, which can flip at equality)."""
+    return F.lit(Decimal(str(x)))
+
+
 def _micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
@@ -176,12 +184,12 @@ def flag_outliers(df: DataFrame, amount: str, rule: str = "ratio", ratio: float
     a = F.col(amount).cast(amount_type)
     enough = F.col("prior_n") >= min_n
     if rule == "ratio":
-        big = a * F.col("prior_n") > F.lit(ratio) * F.col("prior_sum")
+        big = a * F.col("prior_n") > _dec(ratio) * F.col("prior_sum")
     elif rule == "sigma":
-        big = a.cast("double") > F.col("prior_avg") + F.lit(k) * F.col("prior_stdev")
+        big = a.cast("double") > F.col("prior_avg") + F.lit(float(k)) * F.col("prior_stdev")
     else:
         raise ValueError("rule is 'ratio' or 'sigma'")
-    flag = enough & big & (a > F.lit(floor))
+    flag = enough & big & (a > _dec(floor))
     return df.withColumn(alias, F.coalesce(flag, F.lit(False)))
 
 
@@ -239,7 +247,7 @@ def fraud_score(df: DataFrame, amount: str, velocity_col: str = "velocity",
     """
     a = F.col(amount).cast(amount_type)
     score = (F.when(F.col(velocity_col) > max_velocity, velocity_points).otherwise(0)
-             + F.when(a > F.lit(max_amount), amount_points).otherwise(0))
+             + F.when(a > _dec(max_amount), amount_points).otherwise(0))
     score = F.when(a.isNull(), 0).otherwise(score)
     return df.withColumn("score", score.cast("int")) \
         .withColumn("alert", F.col("score") > threshold)

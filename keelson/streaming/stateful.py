@@ -57,45 +57,62 @@ def _one_frame(pdfs: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
 
 
-def _profile_handler(user: str, ts: str, id_col: str, depth: int, min_n: int,
-                     ratio: float, floor: float, out_cols: list[str]):
+def _with(pdf: pd.DataFrame, new: dict) -> pd.DataFrame:
+    """``pdf`` plus new columns, built in one construction (inserting columns
+    one by one costs far more per group than the arithmetic)."""
+    cols = {c: pdf[c].to_numpy() for c in pdf.columns}
+    cols.update(new)
+    return pd.DataFrame(cols, copy=False)
+
+
+def _in_order(pdf: pd.DataFrame, ts: str, id_col: str) -> pd.DataFrame:
+    """Rows of one group sorted by (time, id); untouched when already so."""
+    t = pdf[ts].to_numpy()
+    i = pdf[id_col].to_numpy()
+    if len(t) > 1:
+        dt_ = np.diff(t.astype("datetime64[us]").astype(np.int64)) if t.dtype.kind == "M" \
+            else np.diff(t)
+        if (dt_ < 0).any() or ((dt_ == 0) & (np.diff(i) < 0)).any():
+            order = np.lexsort((i, t))
+            return pdf.iloc[order].reset_index(drop=True)
+    return pdf
+
+
+def _profile_handler(ts: str, id_col: str, depth: int, min_n: int, ratio: float,
+                     floor: float):
     def handle(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
         hist = np.asarray(state.get[0] if state.exists else [], dtype=np.int64)
-        pdf = _one_frame(pdfs)
-        t = pdf[ts].to_numpy()
-        order = np.lexsort((pdf[id_col].to_numpy(), t))
-        if not np.array_equal(order, np.arange(len(order))):
-            pdf = pdf.iloc[order].reset_index(drop=True)
+        pdf = _in_order(_one_frame(pdfs), ts, id_col)
         cents = pdf["_cents"].to_numpy(dtype=np.float64, na_value=np.nan)
         valid = ~np.isnan(cents)
-        v = cents[valid].astype(np.int64)
-        a = np.concatenate([hist, v])
+        all_valid = bool(valid.all())
+        v = (cents if all_valid else cents[valid]).astype(np.int64)
+        a = np.concatenate([hist, v]) if len(hist) else v
         pos = len(hist) + np.arange(len(v))          # index of each valid row in a
         lo = np.maximum(pos - depth, 0)
         csum = np.concatenate([[0], np.cumsum(a, dtype=np.int64)])
         n = pos - lo
         s = csum[pos] - csum[lo]
-        rows = len(pdf)
-        prior_n = np.zeros(rows, dtype=np.int32)
-        prior_sum = np.full(rows, np.nan)
-        prior_avg = np.full(rows, np.nan)
-        prior_sd = np.zeros(rows)
-        flag = np.zeros(rows, dtype=bool)
-        prior_n[valid] = n
-        has = n > 0
         nz = np.maximum(n, 1)
-        prior_sum[valid] = np.where(has, s / 100.0, np.nan)
-        prior_avg[valid] = np.where(has, s / nz / 100.0, np.nan)
-        if (n > 1).any():
-            # as the batch form: deviation 0 for fewer than two amounts
-            sd = _stdev_cents(a, lo, pos, depth)
-            prior_sd[valid] = np.where(n > 1, sd / 100.0, 0.0)
-        flag[valid] = (n >= min_n) & (v * n > ratio * s) & (v > floor * 100)
-        out = pdf[out_cols[:-5]].assign(prior_n=prior_n, prior_sum=prior_sum,
-                                       prior_avg=prior_avg, prior_stdev=prior_sd,
-                                       is_outlier=flag)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            psum = np.where(n > 0, s / 100.0, np.nan)
+            pavg = np.where(n > 0, s / nz / 100.0, np.nan)
+        # as the batch form: deviation 0 for fewer than two amounts
+        psd = np.where(n > 1, _stdev_cents(a, lo, pos, depth) / 100.0, 0.0) \
+            if (n > 1).any() else np.zeros(len(v))
+        flag = (n >= min_n) & (v * n > ratio * s) & (v > floor * 100)
+        if all_valid:
+            cols = (n.astype(np.int32), psum, pavg, psd, flag)
+        else:
+            cols = []
+            for arr, fill in ((n.astype(np.int32), 0), (psum, np.nan), (pavg, np.nan),
+                              (psd, 0.0), (flag, False)):
+                full = np.full(len(pdf), fill, dtype=arr.dtype)
+                full[valid] = arr
+                cols.append(full)
         state.update((a[-depth:].tolist(),))
-        yield out
+        yield _with(pdf, dict(zip(("prior_n", "prior_sum", "prior_avg", "prior_stdev",
+                                   "is_outlier"), cols)))
     return handle
 
 
@@ -109,21 +126,16 @@ def profile_stream(stream: DataFrame, user: str, ts: str, id_col: str, amount: s
     """
     cents = F.round(F.col(amount).cast("decimal(10,2)") * 100).cast("bigint")
     src = stream.withColumn("_cents", cents)
-    in_cols = [f for f in src.schema.fields]
-    out_cols = [f.name for f in in_cols if f.name != "_cents"]
-    out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in in_cols
-                           if f.name != "_cents")
+    out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields)
     out_schema += (", prior_n int, prior_sum double, prior_avg double, "
                    "prior_stdev double, is_outlier boolean")
-    handler = _profile_handler(user, ts, id_col, depth, min_n, ratio, floor,
-                               out_cols + ["prior_n", "prior_sum", "prior_avg",
-                                           "prior_stdev", "is_outlier"])
+    handler = _profile_handler(ts, id_col, depth, min_n, ratio, floor)
     return src.groupBy(user).applyInPandasWithState(
-        handler, out_schema, "h array<bigint>", "append", GroupStateTimeout.NoTimeout)
+        handler, out_schema, "h array<bigint>", "append",
+        GroupStateTimeout.NoTimeout).drop("_cents")
 
 
-def _velocity_handler(ts_us: str, id_col: str, su: int, alias: str, out_cols: list[str],
-                      timeout: bool):
+def _velocity_handler(ts_us: str, id_col: str, su: int, alias: str, timeout: bool):
     def handle(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
         if state.hasTimedOut:
             # watermark passed the user's last event + span: nothing left to count
@@ -138,26 +150,30 @@ def _velocity_handler(ts_us: str, id_col: str, su: int, alias: str, out_cols: li
         pdf = _one_frame(pdfs)
         tt = pdf[ts_us].to_numpy(dtype=np.float64, na_value=np.nan)
         valid = ~np.isnan(tt) & pdf["_valid"].to_numpy(dtype=bool)
-        bt = tt[valid].astype(np.int64)
-        bi = pdf[id_col].to_numpy()[valid].astype(np.int64)
+        all_valid = bool(valid.all())
+        bt = (tt if all_valid else tt[valid]).astype(np.int64)
+        ids = pdf[id_col].to_numpy()
+        bi = (ids if all_valid else ids[valid]).astype(np.int64)
         t = np.concatenate([st_t, bt])
         i = np.concatenate([st_i, bi])
         order = np.lexsort((i, t))
-        t_sorted = t[order]
         rank = np.empty(len(t), dtype=np.int64)
         rank[order] = np.arange(len(t))
         mine = rank[len(st_t):]                       # sorted position of batch rows
-        lo = np.searchsorted(t_sorted, bt - su, side="left")
-        vel = pd.array(np.full(len(pdf), None), dtype="Int64")
-        vel[valid] = mine + 1 - lo
-        out = pdf[out_cols[:-1]].assign(**{alias: vel})
+        lo = np.searchsorted(t[order], bt - su, side="left")
+        vel = mine + 1 - lo
+        if not all_valid:
+            full = np.full(len(pdf), np.nan)
+            full[valid] = vel
+            vel = full                                # NaN -> null on the way out
         if len(t):
             newest = int(t.max())
             keep = t >= newest - su
             state.update((t[keep].tolist(), i[keep].tolist()))
             if timeout:
                 state.setTimeoutTimestamp((newest + su) // 1000 + 1)
-        yield out
+        pdf[alias] = vel                              # one new column: insert in place
+        yield pdf
     return handle
 
 
@@ -180,11 +196,10 @@ def velocity_stream(stream: DataFrame, user: str, ts: str, id_col: str,
         src = src.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
     src = (src.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
            .withColumn("_valid", valid))
-    in_cols = [f for f in src.schema.fields if f.name not in ("_t", "_valid")]
-    out_cols = [f.name for f in in_cols] + [alias]
-    out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in in_cols)
+    out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields)
     out_schema += f", {alias} bigint"
-    handler = _velocity_handler("_t", id_col, su, alias, out_cols, bool(watermark))
+    handler = _velocity_handler("_t", id_col, su, alias, bool(watermark))
     timeout = GroupStateTimeout.EventTimeTimeout if watermark else GroupStateTimeout.NoTimeout
     return src.groupBy(user).applyInPandasWithState(
-        handler, out_schema, "t array<bigint>, i array<bigint>", "append", timeout)
+        handler, out_schema, "t array<bigint>, i array<bigint>", "append",
+        timeout).drop("_t", "_valid")

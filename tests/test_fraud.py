@@ -130,3 +130,23 @@ def test_auto_chunk_splits_only_hot_users(spark):
     width = fraud.auto_chunk(df, "user", "ts", 40)
     # the hot user (~240 rows over ~3 hours) is cut into pieces of ~40 rows
     assert 1_000_000 <= width < 3 * 3600 * 1_000_000 / 4
+
+
+def test_ratio_rule_exact_at_equality(spark):
+    # 3 x mean(33.35, 33.35, 33.35) == 100.05 exactly: not an outlier
+    rows = [(i, 1, T0 + dt.timedelta(seconds=i), Decimal("33.35")) for i in range(3)]
+    rows += [(9, 1, T0 + dt.timedelta(seconds=9), Decimal("100.05")),
+             (10, 1, T0 + dt.timedelta(seconds=10), Decimal("9999.99"))]
+    prof = fraud.profile(_frame(spark, rows), "user", "ts", "id", "amount", chunk=None)
+    got = {r.id: r.is_outlier for r in fraud.flag_outliers(prof, "amount", floor=0.1).collect()}
+    assert got[9] is False and got[10] is True
+
+
+def test_sigma_rule(spark):
+    rows = [(i, 1, T0 + dt.timedelta(seconds=i), Decimal(v))
+            for i, v in enumerate(["100.00", "110.00", "90.00", "100.00", "131.00", "900.00"])]
+    prof = fraud.profile(_frame(spark, rows), "user", "ts", "id", "amount", chunk=None)
+    got = {r.id: r.is_outlier for r in fraud.flag_outliers(prof, "amount", rule="sigma",
+                                                           k=3.0, floor=0.0).collect()}
+    # mean 100, stdev 8.165: 131 > 124.5 flags; 900 flags; earlier rows lack history
+    assert got == {0: False, 1: False, 2: False, 3: False, 4: True, 5: True}
