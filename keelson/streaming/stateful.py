@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -33,6 +33,30 @@ from keelson.functions.spans import span_us
 _BLOCK = 65536
 
 
+def _numeric_only(df: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """Columns as Python sees them cheaply: decimals as unscaled longs and
+    timestamps as epoch microseconds (zero-copy numpy arrays instead of
+    per-value ``Decimal`` / datetime objects); plus the expressions that
+    restore the original types on the JVM side afterwards."""
+    from pyspark.sql.types import DecimalType, TimestampNTZType, TimestampType
+    cols, restore = [], []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, DecimalType) and f.dataType.precision <= 18:
+            scale = f.dataType.scale
+            cols.append((c * F.lit(10 ** scale)).cast("bigint").alias(f.name))
+            restore.append((F.col(f"`{f.name}`").cast(f"decimal({f.dataType.precision},0)")
+                            / F.lit(10 ** scale)).cast(f.dataType).alias(f.name))
+        elif isinstance(f.dataType, (TimestampType, TimestampNTZType)):
+            cols.append(F.unix_micros(c.cast("timestamp")).alias(f.name))
+            restore.append(F.timestamp_micros(F.col(f"`{f.name}`"))
+                           .cast(f.dataType).alias(f.name))
+        else:
+            cols.append(c)
+            restore.append(F.col(f"`{f.name}`"))
+    return df.select(*cols), restore
+
+
 def _stdev_cents(a: np.ndarray, lo: np.ndarray, hi: np.ndarray, depth: int) -> np.ndarray:
     """Sample deviation of a[lo:hi] per row, two-pass (stable), blockwise."""
     out = np.full(len(lo), np.nan)
@@ -125,14 +149,15 @@ def profile_stream(stream: DataFrame, user: str, ts: str, id_col: str, amount: s
     is exact (cents) and returned as double.
     """
     cents = F.round(F.col(amount).cast("decimal(10,2)") * 100).cast("bigint")
-    src = stream.withColumn("_cents", cents)
+    src, restore = _numeric_only(stream.withColumn("_cents", cents))
     out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields)
+    added = ["prior_n", "prior_sum", "prior_avg", "prior_stdev", "is_outlier"]
     out_schema += (", prior_n int, prior_sum double, prior_avg double, "
                    "prior_stdev double, is_outlier boolean")
     handler = _profile_handler(ts, id_col, depth, min_n, ratio, floor)
-    return src.groupBy(user).applyInPandasWithState(
-        handler, out_schema, "h array<bigint>", "append",
-        GroupStateTimeout.NoTimeout).drop("_cents")
+    out = src.groupBy(user).applyInPandasWithState(
+        handler, out_schema, "h array<bigint>", "append", GroupStateTimeout.NoTimeout)
+    return out.select(*restore, *added).drop("_cents")
 
 
 def _velocity_handler(ts_us: str, id_col: str, su: int, alias: str, timeout: bool):
@@ -196,10 +221,14 @@ def velocity_stream(stream: DataFrame, user: str, ts: str, id_col: str,
         src = src.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
     src = (src.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
            .withColumn("_valid", valid))
+    if watermark:
+        restore = [F.col(f"`{f.name}`") for f in src.schema.fields]
+    else:
+        src, restore = _numeric_only(src)
     out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields)
     out_schema += f", {alias} bigint"
     handler = _velocity_handler("_t", id_col, su, alias, bool(watermark))
     timeout = GroupStateTimeout.EventTimeTimeout if watermark else GroupStateTimeout.NoTimeout
-    return src.groupBy(user).applyInPandasWithState(
-        handler, out_schema, "t array<bigint>, i array<bigint>", "append",
-        timeout).drop("_t", "_valid")
+    out = src.groupBy(user).applyInPandasWithState(
+        handler, out_schema, "t array<bigint>, i array<bigint>", "append", timeout)
+    return out.select(*restore, alias).drop("_t", "_valid")
