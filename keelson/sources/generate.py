@@ -96,3 +96,30 @@ def make_orders(spark: SparkSession, n: int, seed: int = 42, names: int = 1056,
         price.alias("price_per_unit"),
         F.date_add(F.lit("2024-01-01").cast("date"), days).alias("order_date"),
         _pick([f"Country {i + 1:02d}" for i in range(countries)], _u(seed, "cn")).alias("country"))
+
+
+# Severities of log records, and the content phrases.
+SEVERITIES = ["Low", "Medium", "High", "Critical"]
+CONTENTS = ["User login ok", "App CRASH on start", "crash in payment module",
+            "Timeout contacting service", "vulnerability scan finished", "Page rendered"]
+
+
+def make_logs(spark: SparkSession, n: int, seed: int = 42, users: int = 2000,
+              start_ms: int = 1768899230000, rate_per_s: int = 50_000,
+              partitions: int | None = None) -> DataFrame:
+    """Log records as JSON text (the topic value of the log stream), one
+    ``value`` column: ``timestamp`` (epoch ms, ``rate_per_s`` records per
+    second of event time with up to 5 s of disorder), ``status``,
+    ``severity``, ``source_ip``, ``user_id``, ``content``."""
+    base = spark.range(0, n, numPartitions=partitions) if partitions else spark.range(n)
+    ts = (F.lit(start_ms) + (F.col("id") * 1000 / rate_per_s).cast("bigint")
+          - F.floor(_u(seed, "late") * 5000).cast("bigint"))
+    rec = F.struct(
+        ts.alias("timestamp"),
+        F.when(_u(seed, "st") < 0.9, "200").otherwise("500").alias("status"),
+        _pick(SEVERITIES, _u(seed, "sev")).alias("severity"),
+        F.concat(F.lit("10.0."), F.floor(_u(seed, "ip") * 256).cast("string"), F.lit("."),
+                 F.floor(_u(seed, "ip2") * 256).cast("string")).alias("source_ip"),
+        F.concat(F.lit("user_"), F.floor(_u(seed, "u") * users).cast("string")).alias("user_id"),
+        _pick(CONTENTS, _u(seed, "c")).alias("content"))
+    return base.select(F.to_json(rec).alias("value"))
