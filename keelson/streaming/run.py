@@ -137,3 +137,34 @@ def fan_out(spark: SparkSession, source: Callable[[], DataFrame],
             if q.exception() is not None:
                 raise RuntimeError(str(q.exception()))
     return outs
+
+
+# ---- K6: ready-made per-batch writers for route_alerts / fan_out ----------
+
+def parquet_writer(path: str) -> Callable[[DataFrame, int], None]:
+    """Alerts to a Parquet table, one ``batch_id=<n>`` folder per micro-batch
+    (overwritten on replay: exactly once at the table)."""
+    return batch_writer(path)
+
+
+def topic_writer(servers, topic: str, key: str | None = None) -> Callable[[DataFrame, int], None]:
+    """Alerts to a topic, keyed for per-key order. A replayed batch is sent
+    again (at least once); consumers dedupe on the ``batch_id`` field added
+    to each message."""
+    from keelson.sources.topic import write_topic
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_topic(batch.withColumn("batch_id", F.lit(batch_id)), servers, topic, key)
+    return write
+
+
+def jdbc_writer(url: str, table: str, props: dict | None = None,
+                batchsize: int = 1000) -> Callable[[DataFrame, int], None]:
+    """Alerts appended to a database table with a ``batch_id`` column; a
+    replayed batch appends again (at least once), so the table should carry a
+    unique key on the alert id, or readers take the latest ``batch_id``."""
+    from keelson.sources.jdbc import append_jdbc
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_jdbc(batch.withColumn("batch_id", F.lit(batch_id)), url, table, props, batchsize)
+    return write
