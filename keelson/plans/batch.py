@@ -10,10 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.functions.text import contains_ci, contains_cs
+from pyspark.sql.types import LongType
+
 from keelson.functions.json import parse_json
-from keelson.operators import basic, fraud, logs, pairs, sensors
-from keelson.sources.tables import read_table
+from keelson.functions.text import contains_ci, contains_cs
+from keelson.operators import basic, fraud, logs, pairs, precompute, report, sensors
+from keelson.session import scratch_dir
+from keelson.sources.changes import after_schema, change_events, read_changes
+from keelson.sources.tables import load_csv, read_table, spread, write_csv
 
 
 def row_count(spark: SparkSession, d: str) -> DataFrame:
@@ -118,41 +122,34 @@ def window_counts(spark: SparkSession, d: str) -> DataFrame:
 def cdc_decode(spark: SparkSession, d: str) -> DataFrame:
     """Orders replayed as change events (both envelopes,
     base64 and bare-number amounts), then decoded back to typed rows."""
-    from keelson.sources.changes import after_schema, change_events, read_changes
-    from keelson.sources.tables import spread
     o = spread(read_table(spark, d, "orders"), "o_orderkey").select(
         F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"),
         F.col("o_totalprice").alias("amount"), "o_orderstatus")
     feed = change_events(o, ["id", "user_id", "amount"], "amount",
                          wrapped=F.col("o_orderstatus") != "F",
                          bare_number=F.col("o_orderstatus") == "P")
-    from pyspark.sql.types import LongType
     sch = after_schema([("id", LongType()), ("user_id", LongType()), ("amount", "variant")])
     return read_changes(feed, sch, decimals=["amount"])
 
 
 def cube_counts(spark: SparkSession, d: str) -> DataFrame:
     """Order counts over every combination of status and priority."""
-    from keelson.operators.precompute import cube_counts as cube
-    return cube(read_table(spark, d, "orders"), ["o_orderstatus", "o_orderpriority"])
+    return precompute.cube_counts(read_table(spark, d, "orders"),
+                                  ["o_orderstatus", "o_orderpriority"])
 
 
 def token_search(spark: SparkSession, d: str) -> DataFrame:
     """Whole-word lookup through a token index built over all
     documents (written range-partitioned by token, then searched)."""
-    from keelson.operators.precompute import build_token_index, search_tokens, write_token_index
-    from keelson.session import scratch_dir
-    from keelson.sources.tables import spread
     path = scratch_dir(spark, "token-index")
     docs = spread(read_table(spark, d, "documents").select("doc_id", "text"), "doc_id")
-    write_token_index(build_token_index(docs, "doc_id", "text"), path, buckets=16)
-    return search_tokens(spark.read.parquet(path), ["the"], "doc_id", buckets=16)
+    precompute.write_token_index(precompute.build_token_index(docs, "doc_id", "text"), path,
+                                 buckets=16)
+    return precompute.search_tokens(spark.read.parquet(path), ["the"], "doc_id", buckets=16)
 
 
 def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Customer written as headered CSV and bulk-loaded back typed."""
-    from keelson.sources.tables import load_csv, write_csv
-    from keelson.session import scratch_dir
     cust = read_table(spark, d, "customer")
     path = scratch_dir(spark, "customer-csv")
     write_csv(cust, path)
@@ -161,5 +158,4 @@ def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 def skew_report(spark: SparkSession, d: str) -> DataFrame:
     """How unevenly lineitem rows spread over suppliers."""
-    from keelson.operators.report import skew_report as skew
-    return skew(read_table(spark, d, "lineitem"), "l_suppkey")
+    return report.skew_report(read_table(spark, d, "lineitem"), "l_suppkey")

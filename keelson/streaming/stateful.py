@@ -20,6 +20,7 @@ Output rows equal the batch operators in :mod:`keelson.operators.fraud`.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,11 @@ from keelson.functions.spans import span_us
 
 _BLOCK = 65536
 
+# PySpark's own output serializer concatenates per-group frames and pandas
+# warns about a future dtype rule on every call; it does not affect results.
+warnings.filterwarnings("ignore", category=FutureWarning,
+                        message="The behavior of DataFrame concatenation with empty")
+
 
 def _numeric_only(df: DataFrame) -> tuple[DataFrame, list[Column]]:
     """Columns as Python sees them cheaply: decimals as unscaled longs and
