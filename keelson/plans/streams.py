@@ -154,8 +154,22 @@ def _agent_alerts(spark: SparkSession, d: str, name: str, agent) -> DataFrame:
 def cdc_velocity_alerts(spark: SparkSession, d: str) -> DataFrame:
     """The velocity agent as a stream over the change feed
     of orders; alerts where the customer placed another order within 30 days
-    and the amount exceeds 400000."""
-    return _agent_alerts(spark, d, "velocity", _velocity_agent)
+    and the amount exceeds 400000. The 30-day window state is a tail table
+    between micro-batches (JVM windows, no Python per customer)."""
+    from keelson.operators.fraud import fraud_score
+    from keelson.streaming import tails
+    stage = _stage_order_feed(spark, d)
+    rows = _feed_reader(spark, stage)().select("id", "user_id", "amount", "created_at")
+    out = scratch_dir(spark, "velocity-tails")
+    q = tails.velocity_batches(rows, "user_id", "created_at", "id", out,
+                               scratch_dir(spark, "velocity-tails-ck"), span="30 days",
+                               amount="amount")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    scored = fraud_score(tails.read_velocity(spark, out), "amount", max_velocity=1,
+                         max_amount=400000.0)
+    return scored.filter("alert").select("id", "user_id", "amount", "velocity", "score")
 
 
 def cdc_profile_alerts(spark: SparkSession, d: str) -> DataFrame:

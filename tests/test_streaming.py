@@ -173,3 +173,24 @@ def test_velocity_state_expires_with_watermark(spark, tmp):
     states = [r.state_rows for r in progress_report(spark, q).collect()]
     # user 2's state is gone once the watermark passed its last event + span
     assert states[0] == 2 and min(states[2:]) == 1
+
+
+def test_velocity_tail_table_equals_batch(spark, tmp):
+    from keelson.streaming import tails
+    rows = sorted(_tx(seed=21), key=lambda r: r[2])
+    schema = "id long, user long, ts timestamp_ntz, amount decimal(10,2)"
+    src = os.path.join(tmp, "tx")
+    for k in range(4):  # four ordered micro-batches
+        part = rows[k * 100:(k + 1) * 100]
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(os.path.join(src, f"p{k}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1) \
+        .option("recursiveFileLookup", "true").parquet(src)
+    out = os.path.join(tmp, "out")
+    q = tails.velocity_batches(stream, "user", "ts", "id", out, os.path.join(tmp, "ck"),
+                               span="60 seconds", amount="amount")
+    q.awaitTermination()
+    assert len(q.recentProgress) >= 4
+    got = {r.id: r.velocity for r in tails.read_velocity(spark, out).collect()}
+    want = fraud.velocity(spark.createDataFrame(rows, schema), "user", "ts", "id",
+                          "60 seconds", amount="amount")
+    assert got == {r.id: r.velocity for r in want.collect()}
