@@ -18,9 +18,10 @@ therefore evaluated per ``(user, time chunk)``:
   counted there, and dropped from the output.
 * ``profile``: a ROWS frame of ``depth`` may reach arbitrarily far back, so
   each chunk's last ``depth`` amounts are gathered per chunk (bounded), the
-  history entering a chunk is assembled from the previous ``depth`` non-empty
-  chunks (a window over the small per-chunk table), and joined back on
-  ``(user, chunk)`` -- the side the rows are already partitioned by.
+  history entering a chunk is assembled from just the previous chunks that
+  hold its last ``depth`` positions (a RANGE frame over the small per-chunk
+  table), and joined back on ``(user, chunk)`` -- the side the rows are
+  already partitioned by.
 
 Per-task work is then bounded by one user's rows within one chunk, not by the
 user's total. ``chunk="auto"`` (the default) first finds the largest user
@@ -147,17 +148,27 @@ def profile(df: DataFrame, user: str, ts: str, id_col: str, amount: str,
     # per chunk: its last `depth` valid amounts, in order
     tails = (loc.filter(F.col("_v") & (F.col("_cnt") - F.col("_pos") < depth))
              .groupBy(user, "_c")
-             .agg(F.sort_array(F.collect_list(F.struct(F.col(ts).alias("t"),
-                                                      F.col(id_col).alias("i"),
-                                                      F.col("_a").alias("a")))).alias("_tail")))
-    # history entering a chunk: the last `depth` amounts of the previous
-    # `depth` non-empty chunks (each contributes at least one)
-    wc = Window.partitionBy(user).orderBy("_c").rowsBetween(-depth, -1)
-    hist = tails.select(
-        user, "_c",
-        F.flatten(F.collect_list("_tail").over(wc)).alias("_h"))
+             .agg(F.transform(F.sort_array(F.collect_list(F.struct(
+                 F.col(ts).alias("t"), F.col(id_col).alias("i"), F.col("_a").alias("a")))),
+                 lambda x: x["a"]).alias("_tail")))
+    # Number the tail amounts of a user 1, 2, ... in chunk order (`_end` is
+    # the position of a chunk's last one). The history entering chunk c is
+    # positions (start_c - depth, start_c], start_c = end of the previous
+    # chunk: exactly the chunks whose end lies in [start_c - depth + 1,
+    # start_c]. A RANGE frame over positions collects just those (usually
+    # one or two for a busy user) instead of the previous `depth` chunks.
+    run = Window.partitionBy(user).orderBy("_c").rowsBetween(Window.unboundedPreceding, 0)
+    tails = tails.withColumn("_end", F.sum(F.size("_tail")).over(run))
+    ends = tails.select(user, F.col("_end").alias("_key"),
+                        F.lit(None).cast("bigint").alias("_c"), "_tail")
+    starts = tails.select(user, (F.col("_end") - F.size("_tail")).alias("_key"), "_c",
+                          F.lit(None).cast(f"array<{amount_type}>").alias("_tail"))
+    wq = Window.partitionBy(user).orderBy("_key").rangeBetween(-(depth - 1), 0)
+    hist = (ends.unionByName(starts)
+            .select(user, "_c", F.flatten(F.collect_list("_tail").over(wq)).alias("_h"))
+            .filter(F.col("_c").isNotNull()))
     last = F.when(F.size("_h") > depth, F.slice("_h", -depth, depth)).otherwise(F.col("_h"))
-    hist = hist.select(user, "_c", F.transform(last, lambda x: x["a"]).alias("_h"))
+    hist = hist.select(user, "_c", last.alias("_h"))
     joined = loc.join(hist, on=[user, "_c"], how="left")
     need = F.lit(depth) - F.col("_ln")
     hsize = F.coalesce(F.size("_h"), F.lit(0))
