@@ -122,7 +122,9 @@ def _feed_reader(spark: SparkSession, stage: str):
     sch = after_schema([(n, LongType() if t == "bigint" else t) for n, t in _FEED_AFTER])
 
     def read() -> DataFrame:
-        rows = read_changes(spark.readStream.text(stage), sch, decimals=["amount"])
+        # the agents take inserts and snapshot reads as new transactions
+        rows = read_changes(spark.readStream.text(stage), sch, decimals=["amount"],
+                            ops=("c", "r"))
         return rows.withColumn("created_at", epoch_to_ts(F.col("created_at"), "us"))
     return read
 

@@ -27,13 +27,20 @@ def envelope_schema(after: StructType) -> StructType:
                        StructField("op", StringType()), StructField("after", after)])
 
 
+# Change operations that carry a new row -- create, snapshot
+# read, update (a delete carries no ``after``).
+NEW_ROW_OPS = ("c", "r", "u")
+
+
 def read_changes(df: DataFrame, after: StructType, value_col: str = "value",
                  decimals: Sequence[str] = (), scale: int = 2,
-                 precision: int = 10) -> DataFrame:
+                 precision: int = 10, ops: Sequence[str] | None = None) -> DataFrame:
     """Change events -> ``op`` + the flat ``after`` columns.
 
     Columns named in ``decimals`` must be ``variant`` in ``after``; they are
-    decoded to ``decimal(precision, scale)``, null when undecodable.
+    decoded to ``decimal(precision, scale)``, null when undecodable. ``ops``
+    keeps only those operations (e.g. ``("c", "r")``: inserts and snapshot
+    reads, for consumers that treat each event as a new transaction).
     """
     ev = F.from_json(F.col(value_col).cast("string"), envelope_schema(after),
                      {"mode": "PERMISSIVE"}).alias("e")
@@ -42,7 +49,9 @@ def read_changes(df: DataFrame, after: StructType, value_col: str = "value",
                    F.coalesce(F.col("e.payload.after"), F.col("e.after")).alias("after"))
     # events without `after` (deletes, malformed JSON) are dropped inside a
     # generator, so each record is parsed once
-    out = keep_rows(parsed, row, lambda r: r["after"].isNotNull()).select("op", "after.*")
+    keep = (lambda r: r["after"].isNotNull()) if ops is None else \
+        (lambda r: r["after"].isNotNull() & r["op"].isin(*ops))
+    out = keep_rows(parsed, row, keep).select("op", "after.*")
     for c in decimals:
         out = out.withColumn(c, decode_decimal(F.col(c), scale, precision))
     return out

@@ -51,7 +51,7 @@ def start(df: DataFrame, mode: str = "append", fmt: str = "console",
     return w.start(path) if path else w.start()
 
 
-def to_console(df: DataFrame, mode: str = "update", rows: int = 50,
+def to_console(df: DataFrame, mode: str = "append", rows: int = 50,
                checkpoint: str | None = None, trigger: dict | None = None):
     """K4: untruncated console output, up to ``rows`` rows per batch."""
     return start(df, mode, "console", checkpoint, trigger,

@@ -82,3 +82,11 @@ def test_token_index_search(spark, tmp):
     plan = precompute.search_tokens(idx, ["the"], "doc_id", buckets=3)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "PartitionFilters: [isnotnull(bucket" in plan
+
+
+def test_op_filter(spark):
+    msgs = [json.dumps({"op": o, "after": {"id": i, "user_id": 1, "amount": "AMNQ"}})
+            for i, o in enumerate(["c", "r", "u", "d", "c"])]
+    df = spark.createDataFrame([(m,) for m in msgs], "value string")
+    got = sorted(r.id for r in read_changes(df, AFTER, decimals=["amount"], ops=("c", "r")).collect())
+    assert got == [0, 1, 4]
