@@ -159,3 +159,51 @@ def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 def skew_report(spark: SparkSession, d: str) -> DataFrame:
     """How unevenly lineitem rows spread over suppliers."""
     return report.skew_report(read_table(spark, d, "lineitem"), "l_suppkey")
+
+
+def profile_sigma(spark: SparkSession, d: str) -> DataFrame:
+    """W2/W3 sigma rule: amount above mean + 3 sample deviations of the
+    previous up to 50 amounts (and above 50), with at least 3 of them."""
+    ev = read_table(spark, d, "events").select("event_id", "user_id", "ts", "value")
+    prof = fraud.profile(ev, "user_id", "ts", "event_id", "value", depth=50)
+    out = fraud.flag_outliers(prof, "value", rule="sigma", k=3.0, floor=50.0, min_n=3)
+    return out.select("event_id", "user_id", "ts", "value", "is_outlier")
+
+
+def trailing_avg_key(spark: SparkSession, d: str) -> DataFrame:
+    """P10/A8 with a key: purchases only, trailing 3 days."""
+    ev = read_table(spark, d, "events")
+    as_of = sensors.latest_value(ev, "ts")
+    return sensors.trailing_avg(ev, "ts", "value", F.lit(as_of).cast("timestamp_ntz"),
+                                "3 days", key="event_type", key_value="purchase")
+
+
+def cube_level(spark: SparkSession, d: str) -> DataFrame:
+    """A11 lookup: a one-dimension question answered from the cube."""
+    dims = ["o_orderstatus", "o_orderpriority"]
+    cube = precompute.cube_counts(read_table(spark, d, "orders"), dims)
+    return precompute.cube_level(cube, dims, ["o_orderpriority"])
+
+
+def token_search_all(spark: SparkSession, d: str) -> DataFrame:
+    """P16 with two terms, documents holding both whole words."""
+    path = scratch_dir(spark, "token-index")
+    docs = spread(read_table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    precompute.write_token_index(precompute.build_token_index(docs, "doc_id", "text"), path,
+                                 buckets=16)
+    return precompute.search_tokens(spark.read.parquet(path), ["the", "of"], "doc_id",
+                                    mode="all", buckets=16)
+
+
+def join_count(spark: SparkSession, d: str) -> DataFrame:
+    """J1 across two tables: rows of customer JOIN supplier ON nation."""
+    return pairs.pair_count_join(read_table(spark, d, "customer"), "c_nationkey",
+                                 read_table(spark, d, "supplier"), "s_nationkey")
+
+
+def velocity_alerts_day(spark: SparkSession, d: str) -> DataFrame:
+    """W4/W5/P14 over a one-day span, where both score branches fire."""
+    ev = read_table(spark, d, "events").select("event_id", "user_id", "ts", "value")
+    v = fraud.velocity(ev, "user_id", "ts", "event_id", span="1 day", amount="value")
+    out = fraud.fraud_score(v, "value", max_velocity=5, max_amount=100.0)
+    return out.select("event_id", "user_id", "ts", "velocity", "score", "alert")

@@ -29,6 +29,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "velocity_score": batch.velocity_score,
     "window_counts": batch.window_counts,
     "cdc_decode": batch.cdc_decode,
+    "profile_sigma": batch.profile_sigma,
+    "trailing_avg_key": batch.trailing_avg_key,
+    "cube_level": batch.cube_level,
+    "token_search_all": batch.token_search_all,
+    "join_count": batch.join_count,
+    "velocity_alerts_day": batch.velocity_alerts_day,
     "cube_counts": batch.cube_counts,
     "token_search": batch.token_search,
     "csv_roundtrip": batch.csv_roundtrip,

@@ -134,6 +134,45 @@ ORACLE["cdc_profile_alerts"] = """
     SELECT id, user_id, a AS amount, CAST(n AS INTEGER) AS prior_n, CAST(s AS DOUBLE) AS prior_sum
     FROM f WHERE n >= 3 AND a * n > 3 * s AND a > 500"""
 
+ORACLE["profile_sigma"] = """
+    WITH f AS (
+        SELECT event_id, user_id, ts, value, CAST(value AS DECIMAL(10,2)) AS a,
+               count(CAST(value AS DECIMAL(10,2))) OVER w AS n,
+               avg(CAST(value AS DECIMAL(10,2))) OVER w AS m,
+               stddev_samp(CAST(value AS DECIMAL(10,2))) OVER w AS sd
+        FROM events
+        WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id
+                     ROWS BETWEEN 50 PRECEDING AND 1 PRECEDING))
+    SELECT event_id, user_id, ts, value,
+           coalesce(n >= 3 AND CAST(a AS DOUBLE) > m + 3 * sd AND a > 50, false) AS is_outlier
+    FROM f"""
+ORACLE["trailing_avg_key"] = """
+    SELECT round(avg(value), 2) AS avg_value, count(*) AS n_rows FROM events
+    WHERE event_type = 'purchase' AND ts >= (SELECT max(ts) FROM events) - INTERVAL 3 DAY"""
+ORACLE["cube_level"] = """
+    SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY o_orderpriority"""
+ORACLE["token_search_all"] = r"""
+    SELECT doc_id FROM documents
+    WHERE list_has_all(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), ['the', 'of'])"""
+ORACLE["join_count"] = """
+    SELECT CAST(count(*) AS DECIMAL(38,0)) AS pair_count
+    FROM customer c JOIN supplier s ON c.c_nationkey = s.s_nationkey"""
+
+ORACLE["velocity_alerts_day"] = """
+    WITH v AS (
+        SELECT e1.event_id, e1.user_id, e1.ts, e1.value, count(*) AS velocity
+        FROM events e1 JOIN events e2
+          ON e1.user_id = e2.user_id
+         AND e2.ts >= e1.ts - INTERVAL 1 DAY AND e2.ts <= e1.ts
+         AND (e2.ts < e1.ts OR e2.event_id <= e1.event_id)
+        GROUP BY e1.event_id, e1.user_id, e1.ts, e1.value)
+    SELECT event_id, user_id, ts, velocity,
+           CAST((CASE WHEN velocity > 5 THEN 40 ELSE 0 END)
+              + (CASE WHEN CAST(value AS DECIMAL(10,2)) > 100 THEN 50 ELSE 0 END) AS INTEGER) AS score,
+           (CASE WHEN velocity > 5 THEN 40 ELSE 0 END)
+              + (CASE WHEN CAST(value AS DECIMAL(10,2)) > 100 THEN 50 ELSE 0 END) > 70 AS alert
+    FROM v"""
+
 # The streaming forms of the fraud rules answer the same questions as the
 # batch forms, so they share the oracle.
 ORACLE["profile_stream"] = ORACLE["profile_outlier"]
