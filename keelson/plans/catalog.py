@@ -43,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "running_counts_stream": streams.running_counts_stream,
     "profile_stream": streams.profile_stream,
     "velocity_stream": streams.velocity_stream,
+    "velocity_stream_tails": streams.velocity_stream_tails,
     "summary_merge": streams.summary_merge,
     "ingest_table": streams.ingest_table,
     "cdc_velocity_alerts": streams.cdc_velocity_alerts,

@@ -177,3 +177,4 @@ ORACLE["velocity_alerts_day"] = """
 # batch forms, so they share the oracle.
 ORACLE["profile_stream"] = ORACLE["profile_outlier"]
 ORACLE["velocity_stream"] = ORACLE["velocity_score"]
+ORACLE["velocity_stream_tails"] = ORACLE["velocity_score"]

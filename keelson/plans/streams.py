@@ -189,3 +189,20 @@ def cdc_agents(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     outs = run.fan_out(spark, _feed_reader(spark, stage), agents, root)
     return {k: spark.read.parquet(v).select(*agents[k](_feed_reader(spark, stage)()).columns)
             for k, v in outs.items()}
+
+
+def velocity_stream_tails(spark: SparkSession, d: str) -> DataFrame:
+    """T4 as a tail table between micro-batches (JVM windows), then W5."""
+    from keelson.operators.fraud import fraud_score
+    from keelson.streaming import tails
+    ev = stream_table(spark, d, "events").select("event_id", "user_id", "ts", "value")
+    out = scratch_dir(spark, "velocity-tails-ev")
+    q = tails.velocity_batches(ev, "user_id", "ts", "event_id", out,
+                               scratch_dir(spark, "velocity-tails-ev-ck"), span="1 hour",
+                               amount="value")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    scored = fraud_score(tails.read_velocity(spark, out), "value", max_velocity=5,
+                         max_amount=400.0)
+    return scored.select("event_id", "user_id", "ts", "velocity", "score", "alert")
