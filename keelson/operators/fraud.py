@@ -145,7 +145,8 @@ def profile(df: DataFrame, user: str, ts: str, id_col: str, amount: str,
         return profile(df, user, ts, id_col, amount, depth, None, amount_type)
     base = base.withColumn("_c", _chunk_of(ts, cu))
     loc = base.select("*", *_prefix_stats([user, "_c"], ts, id_col, depth))
-    # per chunk: its last `depth` valid amounts, in order
+    # per chunk: its last `depth` valid amounts, in order (this branch reads
+    # and shuffles the narrow (user, time, id, amount) rows a second time)
     tails = (loc.filter(F.col("_v") & (F.col("_cnt") - F.col("_pos") < depth))
              .groupBy(user, "_c")
              .agg(F.transform(F.sort_array(F.collect_list(F.struct(
@@ -159,13 +160,18 @@ def profile(df: DataFrame, user: str, ts: str, id_col: str, amount: str,
     # one or two for a busy user) instead of the previous `depth` chunks.
     run = Window.partitionBy(user).orderBy("_c").rowsBetween(Window.unboundedPreceding, 0)
     tails = tails.withColumn("_end", F.sum(F.size("_tail")).over(run))
-    ends = tails.select(user, F.col("_end").alias("_key"),
-                        F.lit(None).cast("bigint").alias("_c"), "_tail")
-    starts = tails.select(user, (F.col("_end") - F.size("_tail")).alias("_key"), "_c",
-                          F.lit(None).cast(f"array<{amount_type}>").alias("_tail"))
+    # each chunk gives two rows: its tail at its end position, and a query
+    # row at its start position (one generator, so `tails` is computed once)
+    none_arr = F.lit(None).cast(f"array<{amount_type}>")
+    marks = F.array(
+        F.struct(F.col("_end").alias("k"), F.lit(None).cast("bigint").alias("c"),
+                 F.col("_tail").alias("a")),
+        F.struct((F.col("_end") - F.size("_tail")).alias("k"), F.col("_c").alias("c"),
+                 none_arr.alias("a")))
+    both = tails.select(user, F.inline(marks)).withColumnsRenamed(
+        {"k": "_key", "c": "_c", "a": "_tail"})
     wq = Window.partitionBy(user).orderBy("_key").rangeBetween(-(depth - 1), 0)
-    hist = (ends.unionByName(starts)
-            .select(user, "_c", F.flatten(F.collect_list("_tail").over(wq)).alias("_h"))
+    hist = (both.select(user, "_c", F.flatten(F.collect_list("_tail").over(wq)).alias("_h"))
             .filter(F.col("_c").isNotNull()))
     last = F.when(F.size("_h") > depth, F.slice("_h", -depth, depth)).otherwise(F.col("_h"))
     hist = hist.select(user, "_c", last.alias("_h"))
