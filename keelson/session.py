@@ -58,11 +58,15 @@ _SHIPPED: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``keelson`` importable in Python workers (pandas handlers are
-    pickled by reference): zip the package once per SparkContext and
-    ``addPyFile`` it, which distributes it to every executor."""
+    pickled by reference).
+
+    In local mode the package is zipped once per SparkContext and added with
+    ``addPyFile``. On a cluster it ships with the job instead
+    (``spark-submit --py-files keelson.zip`` or an installed package), so no
+    machine-local folder is involved."""
     sc = spark.sparkContext
     app = sc.applicationId
-    if app in _SHIPPED:
+    if app in _SHIPPED or not sc.master.startswith("local"):
         return
     import zipfile
     pkg = os.path.dirname(os.path.abspath(__file__))
