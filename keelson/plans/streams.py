@@ -141,7 +141,7 @@ def _velocity_agent(rows: DataFrame) -> DataFrame:
 def _profile_agent(rows: DataFrame) -> DataFrame:
     prof = stateful.profile_stream(rows.select("id", "user_id", "amount", "created_at"),
                                    "user_id", "created_at", "id", "amount",
-                                   depth=50, min_n=3, ratio=3.0, floor=500.0)
+                                   depth=50, min_n=3, ratio=3.0, floor=500.0, stdev=False)
     return prof.filter("is_outlier").select("id", "user_id", "amount", "prior_n", "prior_sum")
 
 

@@ -87,14 +87,6 @@ def _one_frame(pdfs: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
 
 
-def _with(pdf: pd.DataFrame, new: dict) -> pd.DataFrame:
-    """``pdf`` plus new columns, built in one construction (inserting columns
-    one by one costs far more per group than the arithmetic)."""
-    cols = {c: pdf[c].to_numpy() for c in pdf.columns}
-    cols.update(new)
-    return pd.DataFrame(cols, copy=False)
-
-
 def _in_order(pdf: pd.DataFrame, ts: str, id_col: str) -> pd.DataFrame:
     """Rows of one group sorted by (time, id); untouched when already so."""
     t = pdf[ts].to_numpy()
@@ -109,11 +101,25 @@ def _in_order(pdf: pd.DataFrame, ts: str, id_col: str) -> pd.DataFrame:
 
 
 def _profile_handler(ts: str, id_col: str, depth: int, min_n: int, ratio: float,
-                     floor: float):
+                     floor: float, stdev: bool = True):
     def handle(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
         hist = np.asarray(state.get[0] if state.exists else [], dtype=np.int64)
-        pdf = _in_order(_one_frame(pdfs), ts, id_col)
-        cents = pdf["_cents"].to_numpy(dtype=np.float64, na_value=np.nan)
+        pdf = _one_frame(pdfs)
+        names = list(pdf.columns)
+        if all(d == np.int64 for d in pdf.dtypes):
+            # no nulls, all longs: one 2D array instead of per-column access
+            arr = pdf.to_numpy()
+            t, i = arr[:, names.index(ts)], arr[:, names.index(id_col)]
+            order = np.lexsort((i, t))
+            if not (order[1:] > order[:-1]).all():
+                arr = arr[order]
+            out = {c: arr[:, j] for j, c in enumerate(names)}
+            cents = arr[:, names.index("_cents")].astype(np.float64)
+        else:
+            pdf = _in_order(pdf, ts, id_col)
+            out = {c: pdf[c].to_numpy() for c in names}
+            cents = pdf["_cents"].to_numpy(dtype=np.float64, na_value=np.nan)
+        rows = len(cents)
         valid = ~np.isnan(cents)
         all_valid = bool(valid.all())
         v = (cents if all_valid else cents[valid]).astype(np.int64)
@@ -128,31 +134,36 @@ def _profile_handler(ts: str, id_col: str, depth: int, min_n: int, ratio: float,
             psum = np.where(n > 0, s / 100.0, np.nan)
             pavg = np.where(n > 0, s / nz / 100.0, np.nan)
         # as the batch form: deviation 0 for fewer than two amounts
-        psd = np.where(n > 1, _stdev_cents(a, lo, pos, depth) / 100.0, 0.0) \
-            if (n > 1).any() else np.zeros(len(v))
+        if not stdev:
+            psd = np.full(len(v), np.nan)
+        elif (n > 1).any():
+            psd = np.where(n > 1, _stdev_cents(a, lo, pos, depth) / 100.0, 0.0)
+        else:
+            psd = np.zeros(len(v))
         flag = (n >= min_n) & (v * n > ratio * s) & (v > floor * 100)
         if all_valid:
             cols = (n.astype(np.int32), psum, pavg, psd, flag)
         else:
             cols = []
-            for arr, fill in ((n.astype(np.int32), 0), (psum, np.nan), (pavg, np.nan),
+            for res, fill in ((n.astype(np.int32), 0), (psum, np.nan), (pavg, np.nan),
                               (psd, 0.0), (flag, False)):
-                full = np.full(len(pdf), fill, dtype=arr.dtype)
-                full[valid] = arr
+                full = np.full(rows, fill, dtype=res.dtype)
+                full[valid] = res
                 cols.append(full)
         state.update((a[-depth:].tolist(),))
-        yield _with(pdf, dict(zip(("prior_n", "prior_sum", "prior_avg", "prior_stdev",
-                                   "is_outlier"), cols)))
+        out.update(zip(("prior_n", "prior_sum", "prior_avg", "prior_stdev", "is_outlier"), cols))
+        yield pd.DataFrame(out, copy=False)
     return handle
 
 
 def profile_stream(stream: DataFrame, user: str, ts: str, id_col: str, amount: str,
                    depth: int = 50, min_n: int = 3, ratio: float = 3.0,
-                   floor: float = 500.0) -> DataFrame:
+                   floor: float = 500.0, stdev: bool = True) -> DataFrame:
     """T5: the streaming form of ``profile`` + ``flag_outliers`` (ratio rule).
 
     Adds ``prior_n, prior_sum, prior_avg, prior_stdev, is_outlier``; the sum
-    is exact (cents) and returned as double.
+    is exact (cents) and returned as double. ``stdev=False`` skips the
+    deviation (null), which the ratio rule does not need.
     """
     cents = F.round(F.col(amount).cast("decimal(10,2)") * 100).cast("bigint")
     src, restore = _numeric_only(stream.withColumn("_cents", cents))
@@ -160,7 +171,7 @@ def profile_stream(stream: DataFrame, user: str, ts: str, id_col: str, amount: s
     added = ["prior_n", "prior_sum", "prior_avg", "prior_stdev", "is_outlier"]
     out_schema += (", prior_n int, prior_sum double, prior_avg double, "
                    "prior_stdev double, is_outlier boolean")
-    handler = _profile_handler(ts, id_col, depth, min_n, ratio, floor)
+    handler = _profile_handler(ts, id_col, depth, min_n, ratio, floor, stdev)
     out = src.groupBy(user).applyInPandasWithState(
         handler, out_schema, "h array<bigint>", "append", GroupStateTimeout.NoTimeout)
     return out.select(*restore, *added).drop("_cents")
