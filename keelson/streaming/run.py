@@ -25,6 +25,15 @@ from pyspark.sql.types import LongType, StructField, StructType
 from keelson.session import scratch_dir
 
 
+def _state_partitions(spark: SparkSession) -> int:
+    """Shuffle (and state-store) partitions for a new stream: the session's
+    value, capped at twice the cluster's cores. A stream fixes this number in
+    its checkpoint at first start, and every state partition commits files
+    each micro-batch, so far more partitions than cores only adds overhead."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(n, 2 * spark.sparkContext.defaultParallelism))
+
+
 def start(df: DataFrame, mode: str = "append", fmt: str = "console",
           checkpoint: str | None = None, trigger: dict | None = None,
           options: dict | None = None, query_name: str | None = None,
@@ -33,8 +42,21 @@ def start(df: DataFrame, mode: str = "append", fmt: str = "console",
 
     ``mode`` is append (K9), update (K7) or complete (K8); ``trigger`` e.g.
     ``{"processingTime": "10 seconds"}`` (K10) or ``{"availableNow": True}``;
-    ``checkpoint`` makes it restart where it stopped (K11).
+    ``checkpoint`` makes it restart where it stopped (K11). A restarted query
+    keeps the partition count recorded in its checkpoint.
     """
+    spark = df.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(_state_partitions(spark)))
+    try:
+        return _start(df, mode, fmt, checkpoint, trigger, options, query_name,
+                      foreach_batch, path)
+    finally:  # the stream cloned the session at start; restore the caller's
+        spark.conf.set(key, before)
+
+
+def _start(df, mode, fmt, checkpoint, trigger, options, query_name, foreach_batch, path):
     w = df.writeStream.outputMode(mode)
     if foreach_batch is not None:
         w = w.foreachBatch(foreach_batch)
