@@ -194,3 +194,22 @@ def test_velocity_tail_table_equals_batch(spark, tmp):
     want = fraud.velocity(spark.createDataFrame(rows, schema), "user", "ts", "id",
                           "60 seconds", amount="amount")
     assert got == {r.id: r.velocity for r in want.collect()}
+
+
+def test_start_caps_state_partitions_and_restores_conf(spark, tmp):
+    src = os.path.join(tmp, "in")
+    spark.createDataFrame([(1, "a"), (2, "b")], "id int, k string").write.parquet(src)
+    stream = spark.readStream.schema("id int, k string").parquet(src)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "500")
+    try:
+        q = run.start(stream.groupBy("k").count(), "complete", checkpoint=os.path.join(tmp, "ck"),
+                      trigger={"availableNow": True},
+                      foreach_batch=run.batch_writer(os.path.join(tmp, "out")))
+        q.awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "500"
+        cap = 2 * spark.sparkContext.defaultParallelism
+        state = q.lastProgress["stateOperators"][0]
+        assert state["numShufflePartitions"] <= cap
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
