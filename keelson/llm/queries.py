@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from keelson.llm import decontaminate, simhash_pivots, soft_mixing, target_ratio, two_pass_shuffle
+from keelson.llm import decontaminate, link_graph, secret_grammar, simhash_pivots, soft_mixing, target_ratio, two_pass_shuffle
 from keelson.llm.sql import ORACLE
 from keelson.llm.text import small_batches
 
@@ -16,6 +16,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by the rules, else by its host's trust and distrust."""
+    out = link_graph.judge(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page.page_id", "host", "path", "rule", "verdict", "trust", "distrust")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark words in every document, by broadcast hash sets of the items' windows."""
     found = decontaminate.benchmark_hits(_table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -26,6 +32,16 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         decontaminate.contaminated().alias("contaminated"))
 
 
+def op3_secret_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: the listed patterns, and candidates of a learned format."""
+    out = secret_grammar.find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"] != secret_grammar.ADDED)
+    return out.select("doc.doc_id", *(F.expr(f"size(filter(spans, s -> s.kind = '{k}'))").cast("long").alias(f"n_{k}")
+                                      for k in secret_grammar.KINDS),
+                      F.sha2(F.encode(joined(base), "UTF-8"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def op4_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash_pivots.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -57,7 +73,7 @@ def op10_target_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_decontaminate, op4_simhash_pivots, op8_two_pass_shuffle, op9_soft_mixing, op10_target_ratio)}
+    f.__name__: f for f in (op1_link_graph, op2_decontaminate, op3_secret_grammar, op4_simhash_pivots, op8_two_pass_shuffle, op9_soft_mixing, op10_target_ratio)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

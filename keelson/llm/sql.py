@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from keelson.llm.link_graph import DAMPING, LINK, RULES, STEPS, THRESHOLD, UNIT
+
 _LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PLAIN = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
@@ -15,8 +17,8 @@ windows AS (SELECT rid, i, size, array_to_string(w[i:i + size - 1], ' ') AS gram
             FROM (SELECT rid, w, size, unnest(range(1, len(w) - size + 2)) AS i
                   FROM d, (SELECT DISTINCT size FROM g) WHERE len(w) >= size)),
 hits AS (SELECT rid, i, g.size, item FROM windows JOIN g USING (size, gram)),
-n AS (SELECT rid, count(DISTINCT at) AS n_hit
-      FROM (SELECT rid, unnest(range(i, i + size)) AS at FROM hits) GROUP BY rid),
+n AS (SELECT rid, count(DISTINCT spot) AS n_hit
+      FROM (SELECT rid, unnest(range(i, i + size)) AS spot FROM hits) GROUP BY rid),
 items AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
           FROM (SELECT DISTINCT rid, item FROM hits WHERE item IS NOT NULL) GROUP BY rid)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
@@ -25,4 +27,44 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN n USING (rid) LEFT JOIN items USING (rid)
 """
 
-ORACLE: dict[str, str] = {"op2_decontaminate": OP2}
+
+
+def _op1() -> str:
+    """The link graph's steps, each a table of its own."""
+    rest = "CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END"
+    link = LINK.replace("'", "''")
+    fits = {f"{h}{p}": (f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')", v) for v, h, p in RULES}
+    longest = sorted(fits, key=lambda r: -len(r))
+    case = lambda value: "CASE " + " ".join(f"WHEN {fits[r][0]} THEN '{value(r)}'" for r in longest) + " END"
+    steps = "".join(f""",
+m{k + 1} AS MATERIALIZED (SELECT kind, host, CAST(sum(mass) AS BIGINT) AS mass FROM (
+    SELECT kind, next AS host, CAST(floor(CAST(mass AS DOUBLE) * CAST({DAMPING} AS DOUBLE) * part) AS BIGINT) AS mass
+    FROM m{k} JOIN arcs USING (kind, host)
+    UNION ALL SELECT kind, host, CAST(floor(CAST(mass AS DOUBLE) * (CAST(1 AS DOUBLE) - CAST({DAMPING} AS DOUBLE))) AS BIGINT)
+    FROM m0) GROUP BY ALL)""" for k in range(STEPS))
+    return f"""
+WITH rest AS (SELECT page_id, html, coalesce({rest}, '') AS rest FROM pages),
+parts AS (SELECT page_id, html,
+                 translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                 regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+ruled AS MATERIALIZED (SELECT page_id, host, path, {case(lambda r: r)} AS rule, {case(lambda r: fits[r][1])} AS said FROM parts),
+links AS (SELECT src, dst, count(*) AS n FROM (
+    SELECT host AS src, unnest(list_distinct(list_transform(regexp_extract_all(html, '{link}', 1), lambda x:
+           translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')))) AS dst FROM parts)
+    WHERE src <> '' AND src <> dst GROUP BY ALL),
+ways AS (SELECT 'trust' AS kind, src AS host, dst AS next, n FROM links UNION ALL SELECT 'distrust', dst, src, n FROM links),
+arcs AS MATERIALIZED (SELECT kind, host, next, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY kind, host) AS part FROM ways),
+counts AS (SELECT CASE WHEN said = 'allow' THEN 'trust' ELSE 'distrust' END AS kind, host, count(*) AS n
+           FROM ruled WHERE rule IS NOT NULL GROUP BY ALL),
+m0 AS MATERIALIZED (SELECT kind, host, CAST(floor(CAST({UNIT} AS DOUBLE) * n / sum(n) OVER (PARTITION BY kind)) AS BIGINT) AS mass
+                    FROM counts){steps},
+hosts AS (SELECT host, CAST(sum(CASE WHEN kind = 'trust' THEN mass ELSE 0 END) AS BIGINT) AS trust,
+                 CAST(sum(CASE WHEN kind = 'distrust' THEN mass ELSE 0 END) AS BIGINT) AS distrust FROM m{STEPS} GROUP BY host)
+SELECT page_id, host, path, rule,
+       coalesce(said, CASE WHEN coalesce(distrust, 0) > coalesce(trust, 0) * CAST({THRESHOLD} AS DOUBLE) THEN 'block' ELSE 'allow' END) AS verdict,
+       coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust
+FROM ruled LEFT JOIN hosts USING (host)
+"""
+
+
+ORACLE: dict[str, str] = {"op1_link_graph": _op1(), "op2_decontaminate": OP2}
