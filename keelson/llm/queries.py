@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from keelson.llm import decontaminate, link_graph, secret_grammar, simhash_pivots, soft_mixing, target_ratio, two_pass_shuffle
+from keelson.llm import (
+    arc_to_warc, decontaminate, link_graph, secret_grammar, simhash_pivots, soft_mixing, target_ratio, toxicity, two_pass_shuffle)
 from keelson.llm.sql import ORACLE
 from keelson.llm.text import small_batches
 
@@ -49,6 +50,17 @@ def op4_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled rows that are not held out."""
+    out = toxicity.score(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"))
+    return out.select("doc.doc_id", "held_out", "score", "predicted")
+
+
+def op7_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived as ARC, converted to WARC and read back."""
+    return arc_to_warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op8_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shuffled shards, by key."""
     out = two_pass_shuffle.shuffle_into_shards(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -73,7 +85,8 @@ def op10_target_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_link_graph, op2_decontaminate, op3_secret_grammar, op4_simhash_pivots, op8_two_pass_shuffle, op9_soft_mixing, op10_target_ratio)}
+    f.__name__: f for f in (
+        op1_link_graph, op2_decontaminate, op3_secret_grammar, op4_simhash_pivots, op5_toxicity, op7_arc_to_warc, op8_two_pass_shuffle, op9_soft_mixing, op10_target_ratio)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -28,6 +28,23 @@ FROM d LEFT JOIN n USING (rid) LEFT JOIN items USING (rid)
 """
 
 
+_BITS = ", ".join(f"'{i:04b}'" for i in range(16))
+OP7 = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+bits AS (SELECT page_id, html, array_to_string(list_transform(regexp_extract_all(sha1(html), '.'),
+                lambda c: list_extract([{_BITS}], strpos('0123456789abcdef', c))), '') AS b FROM p),
+digests AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, array_to_string(list_transform(range(0, 32),
+                lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+                    16 * CAST(substr(b, 5 * i + 1, 1) AS INT) + 8 * CAST(substr(b, 5 * i + 2, 1) AS INT)
+                    + 4 * CAST(substr(b, 5 * i + 3, 1) AS INT) + 2 * CAST(substr(b, 5 * i + 4, 1) AS INT)
+                    + CAST(substr(b, 5 * i + 5, 1) AS INT) + 1 AS INT), 1)), '') AS payload_digest FROM bits),
+firsts AS (SELECT payload_digest, max(page_id) AS first FROM digests GROUP BY ALL)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first IS NULL OR page_id = first THEN NULL ELSE first END AS refers_to
+FROM digests JOIN firsts USING (payload_digest)
+"""
+
 
 def _op1() -> str:
     """The link graph's steps, each a table of its own."""
@@ -67,4 +84,4 @@ FROM ruled LEFT JOIN hosts USING (host)
 """
 
 
-ORACLE: dict[str, str] = {"op1_link_graph": _op1(), "op2_decontaminate": OP2}
+ORACLE: dict[str, str] = {"op1_link_graph": _op1(), "op2_decontaminate": OP2, "op7_arc_to_warc": OP7}

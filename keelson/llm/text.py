@@ -36,6 +36,8 @@ def class_table(dropped: list[tuple[int, int]]) -> np.ndarray:
 SPACED = class_table([(0x20, 0x20), (0x09, 0x0D)])
 #: ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` of lower-cased text
 PLAIN = class_table([(0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F)])
+#: letters of lower-cased text
+LETTERS = class_table([(0x00, 0x60), (0x7B, 0x7F)])
 
 
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:
@@ -83,10 +85,14 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word's bytes."""
-        out = np.zeros(len(self.starts), dtype=U64)
+        return self.prefix_hashes(())[0]
+
+    def prefix_hashes(self, cuts: tuple[int, ...]) -> list[np.ndarray]:
+        """Hashes of each word, and of its first ``c`` bytes for each ``c`` of ``cuts``."""
+        out = [np.zeros(len(self.starts), dtype=U64) for _ in range(len(cuts) + 1)]
         buf = np.frombuffer(self.data, dtype=np.uint8)
-        a = 0
-        while a < len(out):
+        a, n = 0, len(self.starts)
+        while a < n:
             b = max(a + 1, int(np.searchsorted(self.ends, self.starts[a] + _CHUNK, "right")))
             lo = int(self.starts[a])
             part = buf[lo:int(self.ends[b - 1])]
@@ -94,9 +100,10 @@ class Words:
             total = np.zeros(len(part) + 1, dtype=U64)
             np.cumsum((part.astype(U64) + U64(1)) * power[:len(part)], out=total[1:])
             s, e = self.starts[a:b] - lo, self.ends[a:b] - lo
-            out[a:b] = (total[e] - total[s]) * inverse[s]
+            for h, cut in zip(out, (None, *cuts)):
+                h[a:b] = (total[e if cut is None else np.minimum(e, s + cut)] - total[s]) * inverse[s]
             a = b
-        return mixed(out)
+        return [mixed(h) for h in out]
 
 
 _POWERS: list[np.ndarray] = []
