@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from keelson.llm import (
-    arc_to_warc, decontaminate, link_graph, secret_grammar, simhash_pivots, soft_mixing, target_ratio, toxicity, two_pass_shuffle)
+    arc_to_warc, decontaminate, link_graph, secret_grammar, simhash_pivots, soft_mixing, substring_dedup, target_ratio,
+    toxicity, two_pass_shuffle)
 from keelson.llm.sql import ORACLE
 from keelson.llm.text import small_batches
 
@@ -56,6 +57,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc.doc_id", "held_out", "score", "predicted")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of windows that start earlier in the corpus."""
+    out = substring_dedup.dedup_substrings(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc.doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op7_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page archived as ARC, converted to WARC and read back."""
     return arc_to_warc.round_trip(_table(spark, sf_dir, "pages"))
@@ -86,7 +93,7 @@ def op10_target_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_link_graph, op2_decontaminate, op3_secret_grammar, op4_simhash_pivots, op5_toxicity, op7_arc_to_warc, op8_two_pass_shuffle, op9_soft_mixing, op10_target_ratio)}
+        op1_link_graph, op2_decontaminate, op3_secret_grammar, op4_simhash_pivots, op5_toxicity, op6_substring_dedup, op7_arc_to_warc, op8_two_pass_shuffle, op9_soft_mixing, op10_target_ratio)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -28,6 +28,20 @@ FROM d LEFT JOIN n USING (rid) LEFT JOIN items USING (rid)
 """
 
 
+OP6 = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT rid, doc_id, i, array_to_string(w[i:i + 19], ' ') AS gram
+            FROM (SELECT rid, doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+ranked AS (SELECT rid, i, (doc_id, i) <> min((doc_id, i)) OVER (PARTITION BY gram) AS later FROM windows),
+gone AS (SELECT DISTINCT rid, unnest(range(i, i + 20)) AS spot FROM ranked WHERE later),
+lists AS (SELECT rid, list(spot) AS spots FROM gone GROUP BY rid),
+kept AS (SELECT doc_id, w, spots, CASE WHEN spots IS NULL THEN w ELSE
+                list_filter(w, lambda x, k: NOT list_contains(spots, k)) END AS words FROM d LEFT JOIN lists USING (rid))
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - len(words) AS BIGINT) AS n_removed,
+       sha256(array_to_string(words, ' ')) AS kept_sha256
+FROM kept
+"""
+
 _BITS = ", ".join(f"'{i:04b}'" for i in range(16))
 OP7 = f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
@@ -84,4 +98,5 @@ FROM ruled LEFT JOIN hosts USING (host)
 """
 
 
-ORACLE: dict[str, str] = {"op1_link_graph": _op1(), "op2_decontaminate": OP2, "op7_arc_to_warc": OP7}
+ORACLE: dict[str, str] = {"op1_link_graph": _op1(), "op2_decontaminate": OP2, "op6_substring_dedup": OP6,
+                          "op7_arc_to_warc": OP7}
