@@ -2,12 +2,13 @@
 
 Three listed patterns find credentials of known kinds (the base). Their
 matches label strings by kind; from a bounded choice of them, one probabilistic
-automaton per kind is inferred over character classes (``grammar``), and one
-more from candidates that no pattern finds. Every candidate of every text, a
-run of 16 or more credential characters with a digit, is then scored by its
-mean log-likelihood under the best kind's automaton against that of the
-ordinary ones, and added as kind ``grammar`` where it is as likely as nearly
-all labelled credentials of that kind and likelier than an ordinary string.
+automaton per kind is inferred over character classes (``grammar``). Every
+candidate of every text, a run of 16 or more credential characters with a
+digit, is then scored by its mean log-likelihood under a kind's automaton, and
+added as kind ``grammar`` where it is as likely as nearly all labelled
+credentials of that kind and likelier than by the plain class frequencies of
+candidates that no pattern finds. (Those may hold unlabelled credentials, so
+their structure is not learned, only their mix of characters.)
 
 Base spans are never changed; a candidate that overlaps one is not added.
 Spans count code points, end exclusive, and cover a pattern's whole match.
@@ -19,13 +20,15 @@ scanned each; columns beside the text pass through in struct ``doc``.
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from keelson.llm.grammar import Automaton, infer
+from keelson.llm.grammar import UNSEEN, Automaton, infer
 from keelson.session import scratch_dir
 
 KINDS = ("assign", "access", "hex")
@@ -47,6 +50,7 @@ MARGIN = 0.25
 #: Character classes: digits, lower case a-f and beyond, upper case A-F and beyond; signs stand for themselves.
 _CLASSES = str.maketrans({c: k for k, cs in {"0": "0123456789", "a": "abcdef", "g": "ghijklmnopqrstuvwxyz",
                                              "A": "ABCDEF", "G": "GHIJKLMNOPQRSTUVWXYZ"}.items() for c in cs})
+_ALPHABET = "0agAG+/_.=-"
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 _SPANS_SQL = "array<struct<kind:string,start:bigint,end:bigint>>"
 
@@ -94,7 +98,9 @@ class Formats:
         by_kind: dict[str, list[str]] = {}
         for kind, x in strings:
             by_kind.setdefault(kind, []).append(x.translate(_CLASSES))
-        self.ordinary: Automaton | None = infer((x, 1) for x in by_kind["ordinary"]) if by_kind.get("ordinary") else None
+        plain = Counter("".join(by_kind.get("ordinary", ())))
+        total = sum(plain.values()) + len(_ALPHABET)
+        self.ordinary = {c: math.log((plain[c] + 1) / total) for c in _ALPHABET}
         self.kinds: list[tuple[Automaton, float]] = []
         for kind in KINDS:
             if kind in by_kind:
@@ -104,7 +110,7 @@ class Formats:
 
     def accepts(self, string: str) -> bool:
         symbols = string.translate(_CLASSES)
-        usual = self.ordinary.likelihood(symbols) if self.ordinary else float("-inf")
+        usual = sum(self.ordinary.get(c, UNSEEN) for c in symbols) / (len(symbols) + 1)
         return any(p >= least and p >= usual + MARGIN
                    for p, least in ((a.likelihood(symbols), least) for a, least in self.kinds))
 
