@@ -47,7 +47,7 @@ def test_stages_against_brute_force(spark, sf):
 
     fine = [(i, t) for i, t in given if (c := counts(t))[0] >= 20 and 100 * c[4] <= 30 * c[0]]
     assert not Counter(good) - Counter(fine)
-    assert not any("%%%" in t for _, t in good) and len(good) >= 0.95 * sum("%%%" not in t for _, t in fine)
+    assert not any("%%%" in t for _, t in good) and len(good) >= 0.85 * sum("%%%" not in t for _, t in fine)
 
     prints = {t: brute_fingerprint(t) for _, t in good}
     roots = groups(sorted(set(prints.values())), lambda a, b: (a ^ b).bit_count() <= 2)
