@@ -10,12 +10,10 @@
 
 Skew. ``Window.partitionBy(user)`` sends all of one user's rows to one task;
 with a user holding a third of the data that task is the job. Both frames are
-therefore evaluated per ``(user, time chunk)``:
+therefore evaluated per ``(user, time chunk)`` where a user is large:
 
-* ``velocity``: a RANGE frame of width ``span`` only reaches into the previous
-  chunk when chunk width >= span, so rows within ``span`` of a chunk's end are
-  copied into the next chunk as halo rows (fraction span/chunk of the data),
-  counted there, and dropped from the output.
+* ``velocity``: rows within ``span`` before a chunk's start are copied into it
+  as halo rows, counted there, and dropped from the output.
 * ``profile``: a ROWS frame of ``depth`` may reach arbitrarily far back, so
   each chunk's last ``depth`` amounts are gathered per chunk (bounded), the
   history entering a chunk is assembled from just the previous chunks that
@@ -23,12 +21,17 @@ therefore evaluated per ``(user, time chunk)``:
   table), and joined back on ``(user, chunk)`` -- the side the rows are
   already partitioned by.
 
-Per-task work is then bounded by one user's rows within one chunk, not by the
-user's total. ``chunk="auto"`` (the default) first finds the largest user
-with one partial aggregate: if it fits in a task (``max_group_rows``) the
-plain one-partition-per-user form runs (one shuffle); otherwise the chunk
-width is set so the largest user's span splits into pieces of about
-``max_group_rows`` rows. ``chunk=None`` forces the plain form.
+With ``chunk="auto"`` (the default) one partial aggregate finds the largest
+user. If it fits in a task (``max_group_rows``) the plain
+one-partition-per-user form runs (one shuffle). Otherwise the chunk edges of
+each large user are quantiles of its own times, so a burst is split as finely
+as a steady flow; only rows of one user at one time stay together. ``chunk=None``
+forces the plain form, a width such as ``"1 day"`` equal chunks. All forms give
+the same rows and values: null users form a group of their own, and rows with a
+null time come first in a profile's history and have no velocity.
+
+Every frame is a running total (or the difference of two), so the cost is
+linear in the rows of a chunk.
 """
 
 from __future__ import annotations
@@ -73,23 +76,37 @@ def _stats(n: Column, s: Column, sq: Column) -> list[Column]:
             mean.cast("double").alias("prior_avg"), stdev.alias("prior_stdev")]
 
 
-def auto_chunk(df: DataFrame, user: str, ts: str, max_group_rows: int,
-               min_width: int = 1_000_000) -> int | None:
-    """Chunk width (microseconds) for the largest user, or None when every
-    user fits in one task.
-
-    One partial aggregate per user brings a single row (the largest user,
-    its time span) to the driver. The width splits that user's span into
-    pieces of about ``max_group_rows`` rows; rows sharing one timestamp
-    cannot be split by time."""
-    top = (df.filter(F.col(ts).isNotNull()).groupBy(user)
-           .agg(F.count(F.lit(1)).alias("n"), F.min(_micros(ts)).alias("lo"),
-                F.max(_micros(ts)).alias("hi"))
-           .orderBy(F.col("n").desc()).limit(1).first())
-    if top is None or top["n"] <= max_group_rows:
+_BEFORE = -(1 << 62)
+
+
+def chunk_edges(df: DataFrame, user: str, ts: str, max_group_rows: int) -> DataFrame | None:
+    """(``_user``, ``_edges``) of the users with over ``max_group_rows`` timed
+    rows: the times that split a user's rows into pieces of at most about that
+    many (approximate quantiles). None when every user fits in one task.
+
+    One number (the largest count) reaches the driver."""
+    timed = df.filter(F.col(ts).isNotNull()).select(F.col(user).alias("_user"), _micros(ts).alias("_t"))
+    sizes = timed.groupBy("_user").agg(F.count(F.lit(1)).alias("n"))
+    top = sizes.agg(F.max("n")).first()[0]
+    if top is None or top <= max_group_rows:
         return None
-    span = top["hi"] - top["lo"] + 1
-    return max(min_width, int(span * max_group_rows // top["n"]))
+    pieces = -(-top // max_group_rows) + 1
+    hot = sizes.filter(F.col("n") > max_group_rows).select(F.col("_user").alias("_hot"))
+    cuts = F.array(*(F.lit(k / pieces) for k in range(1, pieces)))
+    return (timed.join(hot, F.col("_user").eqNullSafe(F.col("_hot")), "left_semi").groupBy("_user")
+            .agg(F.array_distinct(F.percentile_approx("_t", cuts, 20 * pieces)).alias("_edges")))
+
+
+def _with_edges(base: DataFrame, user: str, edges: DataFrame) -> DataFrame:
+    """``base`` with each row's ``_edges`` (none for users that fit in a task).
+    Only large users have a row in ``edges``; the planner sends it to all tasks
+    when it is small and splits the large users otherwise."""
+    return base.join(edges, base[user].eqNullSafe(edges["_user"]), "left").drop("_user")
+
+
+def _edge_chunk(t: Column) -> Column:
+    """Number of the row's chunk: how many edges are not after ``t``."""
+    return F.coalesce(F.size(F.filter("_edges", lambda e: e <= t)), F.lit(0)).cast("bigint")
 
 
 def _prefix_stats(part: list[str], ts: str, id_col: str, depth: int) -> list[Column]:
@@ -140,10 +157,14 @@ def profile(df: DataFrame, user: str, ts: str, id_col: str, amount: str,
         out = out.select(*[F.col(c) for c in df.columns], *_stats(n, s, sq))
         return out
 
-    cu = auto_chunk(df, user, ts, max_group_rows) if chunk == "auto" else span_us(chunk)
-    if cu is None:
-        return profile(df, user, ts, id_col, amount, depth, None, amount_type)
-    base = base.withColumn("_c", _chunk_of(ts, cu))
+    if chunk == "auto":
+        edges = chunk_edges(df, user, ts, max_group_rows)
+        if edges is None:
+            return profile(df, user, ts, id_col, amount, depth, None, amount_type)
+        base = _with_edges(base, user, edges).withColumn("_c", _edge_chunk(_micros(ts))).drop("_edges")
+    else:
+        base = base.withColumn("_c", _chunk_of(ts, span_us(chunk)))
+    base = base.withColumn("_c", F.when(F.col(ts).isNull(), F.lit(_BEFORE)).otherwise(F.col("_c")))
     loc = base.select("*", *_prefix_stats([user, "_c"], ts, id_col, depth))
     # per chunk: its last `depth` valid amounts, in order (this branch reads
     # and shuffles the narrow (user, time, id, amount) rows a second time)
@@ -175,7 +196,8 @@ def profile(df: DataFrame, user: str, ts: str, id_col: str, amount: str,
             .filter(F.col("_c").isNotNull()))
     last = F.when(F.size("_h") > depth, F.slice("_h", -depth, depth)).otherwise(F.col("_h"))
     hist = hist.select(user, "_c", last.alias("_h"))
-    joined = loc.join(hist, on=[user, "_c"], how="left")
+    hist = hist.select(F.col(user).alias("_hu"), F.col("_c").alias("_hc"), "_h")
+    joined = loc.join(hist, loc[user].eqNullSafe(hist["_hu"]) & (loc["_c"] == hist["_hc"]), "left")
     need = F.lit(depth) - F.col("_ln")
     hsize = F.coalesce(F.size("_h"), F.lit(0))
     take = F.least(need, hsize)
@@ -226,32 +248,28 @@ def velocity(df: DataFrame, user: str, ts: str, id_col: str, span: str = "60 sec
     if amount is not None:
         valid = valid & F.col(amount).cast(amount_type).isNotNull()
     base = df.withColumn("_v", valid).withColumn("_t", _micros(ts))
-    cu = None
-    if chunk == "auto":
-        cu = auto_chunk(df, user, ts, max_group_rows)
-    elif chunk is not None:
-        cu = span_us(chunk)
-    if cu is None:
-        part = [user, "_v"]
-        src = base
+    edges = chunk_edges(df, user, ts, max_group_rows) if chunk == "auto" else None
+    if edges is not None:
+        src = _with_edges(base, user, edges).withColumns(
+            {"_c": _edge_chunk(F.col("_t")), "_to": _edge_chunk(F.col("_t") + F.lit(su))}).drop("_edges")
+    elif chunk is not None and chunk != "auto":
+        cu = max(su, span_us(chunk))
+        src = base.withColumns({"_c": _floor_div(F.col("_t"), cu), "_to": _floor_div(F.col("_t") + F.lit(su), cu)})
     else:
-        cu = max(su, cu)
-        c = _floor_div(F.col("_t"), cu)
-        near = F.col("_t") >= (c + 1) * F.lit(cu) - F.lit(su)
-        src = (base.withColumn("_c", c)
-               .withColumn("_pc", F.explode(F.when(near, F.array(c, c + 1)).otherwise(F.array(c))))
-               .withColumn("_halo", F.col("_pc") != F.col("_c")))
-        part = [user, "_v", "_pc"]
-    w = Window.partitionBy(*part).orderBy("_t").rangeBetween(-su, 0)
-    later = Window.partitionBy(*part, "_t").orderBy(id_col) \
-        .rowsBetween(1, Window.unboundedFollowing)
-    # the (time, id) window first: its sort also serves the time-only window
-    out = src.withColumn("_later", F.count(F.lit(1)).over(later))
-    vel = F.count(F.lit(1)).over(w) - F.col("_later")
-    out = out.withColumn(alias, F.when(F.col("_v"), vel)).drop("_later")
-    if cu is not None:
-        out = out.filter(~F.col("_halo")).drop("_c", "_pc", "_halo")
-    return out.drop("_v", "_t")
+        src = base.withColumns({"_c": F.lit(0).cast("bigint"), "_to": F.lit(0).cast("bigint")})
+    # rows that are no events stay in the output, in a chunk of their own
+    here = F.when(F.col("_v"), F.sequence("_c", "_to")).otherwise(F.array(F.lit(_BEFORE)))
+    src = src.withColumn("_pc", F.explode(here)).withColumn(
+        "_halo", F.col("_v") & (F.col("_pc") != F.coalesce("_c", F.lit(_BEFORE))))
+    part = [user, "_v", "_pc"]
+    # events up to this one in (time, id) order, less those before the span:
+    # both are running totals, so a row costs the same whatever the span holds
+    upto = Window.partitionBy(*part).orderBy("_t", id_col).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*part).orderBy("_t").rangeBetween(Window.unboundedPreceding, -(su + 1))
+    out = src.withColumn("_upto", F.count(F.lit(1)).over(upto))
+    vel = F.col("_upto") - F.count(F.lit(1)).over(before)
+    out = out.withColumn(alias, F.when(F.col("_v"), vel))
+    return out.filter(~F.col("_halo")).drop("_v", "_t", "_c", "_to", "_pc", "_halo", "_upto")
 
 
 def fraud_score(df: DataFrame, amount: str, velocity_col: str = "velocity",

@@ -124,12 +124,57 @@ def test_score_boundaries(spark):
     assert got == {1: (0, False), 2: (40, False), 3: (90, True), 4: (50, False), 5: (0, False)}
 
 
-def test_auto_chunk_splits_only_hot_users(spark):
+def test_edges_split_only_hot_users(spark):
     df = _frame(spark, _events())
-    assert fraud.auto_chunk(df, "user", "ts", 10_000) is None
-    width = fraud.auto_chunk(df, "user", "ts", 40)
-    # the hot user (~240 rows over ~3 hours) is cut into pieces of ~40 rows
-    assert 1_000_000 <= width < 3 * 3600 * 1_000_000 / 4
+    assert fraud.chunk_edges(df, "user", "ts", 10_000) is None
+    edges = {r["_user"]: r["_edges"] for r in fraud.chunk_edges(df, "user", "ts", 100).collect()}
+    assert list(edges) == [9] and 1 < len(edges[9]) < 5  # ~240 rows
+
+
+def _awkward():
+    """Null users, null times, null amounts, a burst within seconds, and many equal times."""
+    rnd = random.Random(8)
+    rows = []
+    for i in range(900):
+        u = rnd.choice([1, 2, None])
+        t = None if i % 11 == 0 else T0 + dt.timedelta(seconds=rnd.randrange(86400))
+        rows.append((i, u, t, None if i % 13 == 0 else Decimal(rnd.randrange(1, 900))))
+    rows += [(1000 + i, 5, T0 + dt.timedelta(seconds=rnd.randrange(20)), Decimal("7.00")) for i in range(600)]
+    rows += [(2000 + i, 6, T0 + dt.timedelta(days=40), Decimal("9.00")) for i in range(500)]
+    rows += [(3000 + i, 5, T0 + dt.timedelta(days=58, seconds=i), Decimal("8.00")) for i in range(3)]
+    return rows
+
+
+@pytest.mark.parametrize("chunk", ["auto", "1 day"])
+def test_chunked_forms_equal_plain_on_awkward_rows(spark, chunk):
+    df = _frame(spark, _awkward())
+    for form in (lambda c: fraud.profile(df, "user", "ts", "id", "amount", depth=20, chunk=c, max_group_rows=50),
+                 lambda c: fraud.velocity(df, "user", "ts", "id", "60 seconds", amount="amount", chunk=c, max_group_rows=50)):
+        plain, split = form(None), form(chunk)
+        assert split.count() == df.count()
+        assert plain.exceptAll(split).count() == 0
+    rows = {r.id: r.velocity for r in fraud.velocity(df, "user", "ts", "id", amount="amount", max_group_rows=50).collect()}
+    assert rows[0] is None and rows[2499] == 500 and rows[3002] == 3
+
+
+def test_edges_split_a_burst(spark):
+    df = _frame(spark, _awkward())
+    edges = fraud.chunk_edges(df, "user", "ts", 50)
+    chunks = (fraud._with_edges(df, "user", edges).withColumn("c", fraud._edge_chunk(fraud._micros("ts")))
+              .where("user = 5").groupBy("c").count().agg({"count": "max"}).first()[0])
+    assert chunks <= 100  # 600 rows in 20 seconds of a 58-day span
+
+
+def test_velocity_cost_is_linear(spark):
+    """40,000 rows of one user inside one span, at distinct and at equal times."""
+    import time
+    from pyspark.sql import functions as F
+    df = spark.range(40_000).select("id", F.lit(1).alias("user"), F.timestamp_seconds(F.col("id") % 80_000).alias("ts"))
+    for ts in (F.col("ts"), F.lit(T0)):
+        began = time.time()
+        out = fraud.velocity(df.withColumn("ts", ts), "user", "ts", "id", "1 day", chunk=None)
+        assert out.agg({"velocity": "max"}).first()[0] == 40_000
+        assert time.time() - began < 10  # the sliding frame took 8 s (distinct) and 21 s (equal) on an idle machine
 
 
 def test_ratio_rule_exact_at_equality(spark):

@@ -23,12 +23,10 @@ def _skewed(spark, n=9000, seed=1):
 def test_hot_user_is_split_into_bounded_chunks(spark):
     df = _skewed(spark)
     cap = 400
-    width = fraud.auto_chunk(df, "user", "ts", cap)
-    assert width is not None
-    sizes = (df.withColumn("_c", fraud._chunk_of("ts", width))
+    edges = fraud.chunk_edges(df, "user", "ts", cap)
+    sizes = (fraud._with_edges(df, "user", edges).withColumn("_c", fraud._edge_chunk(fraud._micros("ts")))
              .groupBy("user", "_c").count().agg(F.max("count")).first()[0])
-    # the hot user's 3000 rows spread evenly over time: pieces near the cap
-    assert sizes <= 2 * cap
+    assert sizes <= 1.5 * cap
 
 
 def test_chunked_forms_equal_plain_under_skew(spark):
