@@ -6,6 +6,8 @@ Both directions are pure column expressions, so they stay in codegen.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ def decode_b64_decimal(col, scale: int = 2, precision: int = 10) -> Column:
     undecodable -> null, never an error.
 
     Null for: foreign characters, a length not a multiple of 4, the empty
-    string, more than 8 bytes, or a value outside the target precision.
+    string, more than 16 bytes, or a value outside the target precision.
     """
     s = _c(col)
     raw = F.try_to_binary(s, F.lit("base64"))
@@ -30,10 +32,18 @@ def decode_b64_decimal(col, scale: int = 2, precision: int = 10) -> Column:
     # sign-extend to 64 bits, then read as a signed 64-bit number
     h16 = F.when(negative, F.lpad(h, 16, "F")).otherwise(F.lpad(h, 16, "0"))
     unscaled = F.conv(h16, 16, -10).cast("decimal(20,0)")
-    ok = (s.rlike(_B64) & (F.length(s) % 4 == 0) & raw.isNotNull()
-          & (F.length(raw) >= 1) & (F.length(raw) <= 8))
+    well = s.rlike(_B64) & (F.length(s) % 4 == 0) & raw.isNotNull()
     value = (unscaled / F.lit(10 ** scale).cast("decimal(20,0)"))
-    return F.when(ok, value.try_cast(f"decimal({precision},{scale})"))
+    target = f"decimal({precision},{scale})"
+    # 9 to 16 bytes: the signed upper half times 2^64, plus the unsigned lower half
+    h32 = F.when(negative, F.lpad(h, 32, "F")).otherwise(F.lpad(h, 32, "0"))
+    upper = F.conv(F.substring(h32, 1, 16), 16, -10).cast("decimal(38,0)")
+    lower = F.conv(F.substring(h32, 17, 16), 16, 10).cast("decimal(38,0)")
+    wide = F.try_add(F.try_multiply(upper, F.lit(Decimal(1 << 64)).cast("decimal(38,0)")), lower)
+    wide = F.try_multiply(wide, F.lit(Decimal(1).scaleb(-scale)))
+    size = F.length(raw)
+    return (F.when(well & (size >= 1) & (size <= 8), value.try_cast(target))
+            .when(well & (size > 8) & (size <= 16), wide.try_cast(target)))
 
 
 def decode_decimal(variant_col, scale: int = 2, precision: int = 10) -> Column:
@@ -91,5 +101,12 @@ def limb_total(prefix: str, scale: int = 0) -> Column:
 
 def units(col, scale: int = 2) -> Column:
     """A value with at most ``scale`` decimals as an integer count of
-    ``10^-scale`` units (cents for 2)."""
-    return F.round(_c(col) * F.lit(10 ** scale)).cast("bigint")
+    ``10^-scale`` units (cents for 2). A value with more decimals, or one too
+    large to tell, is an error, never rounded: the count divided by
+    ``10^scale`` has to give back the value itself."""
+    c = _c(col)
+    n = F.round(c * F.lit(10 ** scale)).cast("bigint")
+    back = n.cast("double") / F.lit(float(10 ** scale))
+    fits = (back == c.cast("double")) & (F.abs(n) < F.lit(1 << 53))
+    return F.when(c.isNull() | fits, n).otherwise(F.raise_error(F.concat(
+        F.lit(f"more than {scale} decimals: "), c.cast("string"))).cast("bigint"))

@@ -31,10 +31,12 @@ def keep_rows(df: DataFrame, row: Column, cond) -> DataFrame:
 
 def parse_json_rows(df: DataFrame, col, schema: StructType | str) -> DataFrame:
     """JSON values -> typed columns; malformed records are dropped
-    (detected through the corrupt-record column, each record parsed once)."""
+    (detected through the corrupt-record column, each record parsed once), and
+    so are null and blank values."""
     st = _struct(schema)
     with_bad = StructType(list(st.fields) + [StructField(CORRUPT, StringType())])
     c = F.col(col) if isinstance(col, str) else col
-    parsed = F.from_json(c.cast("string"), with_bad,
+    text = F.when(F.trim(c.cast("string")) != "", c.cast("string"))
+    parsed = F.from_json(text, with_bad,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return keep_rows(df, parsed, lambda r: r[CORRUPT].isNull()).drop(CORRUPT)
+    return keep_rows(df, parsed, lambda r: r.isNotNull() & r[CORRUPT].isNull()).drop(CORRUPT)

@@ -73,32 +73,23 @@ def top_sum(df: DataFrame, key: str, val: str, k: int = 3,
     return out.orderBy(_desc(alias), _asc(key)).limit(k)
 
 
-def exact_product(price: str, qty: str, price_type: str = "decimal(10,2)",
-                  qty_type: str = "decimal(8,2)") -> Column:
-    """``price * qty`` in decimals, so sums are exact and engine-independent.
-
-    The default types (money as ``NUMERIC(10,2)``) keep the product at
-    precision 18, which Spark computes on longs; wider types fall back to
-    ``BigDecimal`` per row (about 3x slower). A value too large for the type
-    fails the cast under ANSI mode rather than being truncated."""
-    return F.col(price).cast(price_type) * F.col(qty).cast(qty_type)
-
-
 def revenue_by(df: DataFrame, key: str, price: str, qty: str,
-               alias: str = "revenue", exact: bool = True) -> DataFrame:
+               alias: str = "revenue", exact: bool = True,
+               decimals: tuple[int, int] = (3, 3)) -> DataFrame:
     """A5/O3: revenue per group, all groups, largest first.
 
-    With ``exact`` (price and quantity with at most 2 decimals) the products
-    are integer 1e-4 units and the sum is exact via long limbs
+    With ``exact`` the products are whole units (``decimals`` of price and
+    quantity together) and the sum is exact via long limbs
     (:func:`keelson.functions.decimal.limb_sums`), cast to double only at the
     end; float sums differ in the last digits between engines and between
-    runs with different partitioning."""
+    runs with different partitioning. A value with more decimals than stated
+    is an error."""
     if not exact:
         out = df.groupBy(key).agg(F.sum(F.col(price) * F.col(qty)).alias(alias))
     else:
-        prod = units(price, 2) * units(qty, 2)
+        prod = units(price, decimals[0]) * units(qty, decimals[1])
         out = df.groupBy(key).agg(*limb_sums(prod, "_rev")) \
-            .select(key, limb_total("_rev", 4).cast("double").alias(alias))
+            .select(key, limb_total("_rev", sum(decimals)).cast("double").alias(alias))
     return out.orderBy(_desc(alias), _asc(key))
 
 

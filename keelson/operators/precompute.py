@@ -42,13 +42,6 @@ def read_summary(spark: SparkSession, path: str, keys: Sequence[str],
     return spark.read.parquet(path).groupBy(*keys).agg(F.sum(alias).alias(alias))
 
 
-def compact_summary(spark: SparkSession, path: str, out: str, keys: Sequence[str],
-                    alias: str = "n") -> None:
-    """Fold all partials into one table (run now and then to keep reads cheap)."""
-    read_summary(spark, path, keys, alias).write.mode("overwrite") \
-        .parquet(f"{out}/batch_id=0")
-
-
 # ---- A11: dimension cube ------------------------------------------------
 
 def cube_counts(df: DataFrame, dims: Sequence[str], alias: str = "n",

@@ -17,7 +17,7 @@ from keelson.functions.text import contains_ci, contains_cs
 from keelson.operators import basic, fraud, logs, pairs, precompute, report, sensors
 from keelson.session import scratch_dir
 from keelson.sources.changes import after_schema, change_events, read_changes
-from keelson.sources.tables import load_csv, read_table, spread, write_csv
+from keelson.sources.tables import load_csv, read_table, register, save_table, spread, write_csv
 
 
 def row_count(spark: SparkSession, d: str) -> DataFrame:
@@ -95,22 +95,33 @@ def trailing_avg(spark: SparkSession, d: str) -> DataFrame:
     return sensors.trailing_avg(ev, "ts", "value", F.lit(as_of).cast("timestamp_ntz"), "1 day")
 
 
-def profile_outlier(spark: SparkSession, d: str) -> DataFrame:
+def profile_outlier(spark: SparkSession, d: str, max_group_rows: int = 2_000_000) -> DataFrame:
     ev = read_table(spark, d, "events").select("event_id", "user_id", "ts", "value")
-    prof = fraud.profile(ev, "user_id", "ts", "event_id", "value", depth=50)
+    prof = fraud.profile(ev, "user_id", "ts", "event_id", "value", depth=50, max_group_rows=max_group_rows)
     out = fraud.flag_outliers(prof, "value", rule="ratio", ratio=3.0, floor=50.0, min_n=3)
     return out.select("event_id", "user_id", "ts", "value", "prior_n",
                       F.col("prior_sum").cast("double").alias("prior_sum"),
                       F.round("prior_stdev", 4).alias("prior_stdev"), "is_outlier")
 
 
-def velocity_score(spark: SparkSession, d: str) -> DataFrame:
+def velocity_score(spark: SparkSession, d: str, max_group_rows: int = 2_000_000) -> DataFrame:
     ev = read_table(spark, d, "events").select("event_id", "user_id", "ts", "value")
-    v = fraud.velocity(ev, "user_id", "ts", "event_id", span="1 hour", amount="value")
+    v = fraud.velocity(ev, "user_id", "ts", "event_id", span="1 hour", amount="value",
+                       max_group_rows=max_group_rows)
     out = fraud.fraud_score(v, "value", max_velocity=5, max_amount=400.0)
     return out.select("event_id", "user_id", "ts", "velocity", "score", "alert")
 
 
+def profile_chunked(spark: SparkSession, d: str) -> DataFrame:
+    """W1-W3 as for a table of hot users: over 8 rows make a user large."""
+    return profile_outlier(spark, d, max_group_rows=8)
+
+
+def velocity_chunked(spark: SparkSession, d: str) -> DataFrame:
+    """W4/W5 as for a table of hot users."""
+    return velocity_score(spark, d, max_group_rows=8)
+
+
 def window_counts(spark: SparkSession, d: str) -> DataFrame:
     ev = read_table(spark, d, "events")
     out = logs.windowed_count(ev, "ts", "1 day", keys=["user_id"],
@@ -138,14 +149,27 @@ def cube_counts(spark: SparkSession, d: str) -> DataFrame:
                                   ["o_orderstatus", "o_orderpriority"])
 
 
+_INDEXES: dict[tuple[str, str], str] = {}
+
+
+def token_index(spark: SparkSession, d: str, buckets: int | None = None) -> tuple[DataFrame, int]:
+    """The word index over all documents, and its number of buckets (by
+    default the session's shuffle partitions, which grow with the data). It is
+    built once per application and table, and read by every later search."""
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = (spark.sparkContext.applicationId, f"{d}#{n}")
+    if key not in _INDEXES:
+        path = scratch_dir(spark, "token-index")
+        docs = spread(read_table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+        precompute.write_token_index(precompute.build_token_index(docs, "doc_id", "text"), path, buckets=n)
+        _INDEXES[key] = path
+    return spark.read.parquet(_INDEXES[key]), n
+
+
 def token_search(spark: SparkSession, d: str) -> DataFrame:
-    """Whole-word lookup through a token index built over all
-    documents (written range-partitioned by token, then searched)."""
-    path = scratch_dir(spark, "token-index")
-    docs = spread(read_table(spark, d, "documents").select("doc_id", "text"), "doc_id")
-    precompute.write_token_index(precompute.build_token_index(docs, "doc_id", "text"), path,
-                                 buckets=16)
-    return precompute.search_tokens(spark.read.parquet(path), ["the"], "doc_id", buckets=16)
+    """Whole-word lookup through the token index (hash-bucketed by token)."""
+    index, n = token_index(spark, d)
+    return precompute.search_tokens(index, ["the"], "doc_id", buckets=n)
 
 
 def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
@@ -187,12 +211,8 @@ def cube_level(spark: SparkSession, d: str) -> DataFrame:
 
 def token_search_all(spark: SparkSession, d: str) -> DataFrame:
     """P16 with two terms, documents holding both whole words."""
-    path = scratch_dir(spark, "token-index")
-    docs = spread(read_table(spark, d, "documents").select("doc_id", "text"), "doc_id")
-    precompute.write_token_index(precompute.build_token_index(docs, "doc_id", "text"), path,
-                                 buckets=16)
-    return precompute.search_tokens(spark.read.parquet(path), ["the", "of"], "doc_id",
-                                    mode="all", buckets=16)
+    index, n = token_index(spark, d)
+    return precompute.search_tokens(index, ["the", "of"], "doc_id", mode="all", buckets=n)
 
 
 def join_count(spark: SparkSession, d: str) -> DataFrame:
@@ -207,3 +227,20 @@ def velocity_alerts_day(spark: SparkSession, d: str) -> DataFrame:
     v = fraud.velocity(ev, "user_id", "ts", "event_id", span="1 day", amount="value")
     out = fraud.fraud_score(v, "value", max_velocity=5, max_amount=100.0)
     return out.select("event_id", "user_id", "ts", "velocity", "score", "alert")
+
+
+def sql_view_revenue(spark: SparkSession, d: str) -> DataFrame:
+    """The revenue question asked in SQL over a registered view."""
+    register(read_table(spark, d, "lineitem"), "keelson_lineitem")
+    return spark.sql("""
+        SELECT l_returnflag, CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_quantity AS DECIMAL(8,2))) AS DOUBLE)
+                   AS revenue, count(*) AS n_rows
+        FROM keelson_lineitem GROUP BY l_returnflag""")
+
+
+def save_table_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """K2: orders written as a typed, partitioned table and read back."""
+    path = scratch_dir(spark, "orders-table")
+    orders = read_table(spark, d, "orders")
+    save_table(orders, path, partition_by=["o_orderstatus"])
+    return spark.read.schema(orders.schema).parquet(path).select(orders.columns)

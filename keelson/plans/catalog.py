@@ -48,6 +48,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_table": streams.ingest_table,
     "cdc_velocity_alerts": streams.cdc_velocity_alerts,
     "cdc_profile_alerts": streams.cdc_profile_alerts,
+    "profile_chunked": batch.profile_chunked,
+    "velocity_chunked": batch.velocity_chunked,
+    "sql_view_revenue": batch.sql_view_revenue,
+    "save_table_roundtrip": batch.save_table_roundtrip,
+    "profile_stream_batches": streams.profile_stream_batches,
+    "velocity_stream_batches": streams.velocity_stream_batches,
+    "cdc_agents_both": streams.cdc_agents_both,
+    "cdc_undecodable": streams.cdc_undecodable,
+    "crash_windows_append": streams.crash_windows_append,
+    "restart_stream": streams.restart_stream,
+    "progress_rows": streams.progress_rows,
 }
 
 

@@ -178,3 +178,29 @@ ORACLE["velocity_alerts_day"] = """
 ORACLE["profile_stream"] = ORACLE["profile_outlier"]
 ORACLE["velocity_stream"] = ORACLE["velocity_score"]
 ORACLE["velocity_stream_tails"] = ORACLE["velocity_score"]
+
+# The same questions over several micro-batches, or split as for hot users.
+ORACLE["profile_stream_batches"] = ORACLE["profile_chunked"] = ORACLE["profile_outlier"]
+ORACLE["velocity_stream_batches"] = ORACLE["velocity_chunked"] = ORACLE["velocity_score"]
+
+ORACLE["cdc_agents_both"] = f"""
+    SELECT 'velocity' AS agent, id, user_id, amount FROM ({ORACLE["cdc_velocity_alerts"]})
+    UNION ALL SELECT 'profile', id, user_id, amount FROM ({ORACLE["cdc_profile_alerts"]})"""
+ORACLE["cdc_undecodable"] = """
+    SELECT o_orderkey AS id,
+           CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_totalprice AS DECIMAL(10,2)) END AS amount
+    FROM orders"""
+ORACLE["crash_windows_append"] = """
+    WITH w AS (
+        SELECT date_trunc('day', ts) AS window_start, user_id AS u, count(*) AS crash_count
+        FROM events WHERE event_type = 'error' GROUP BY 1, 2)
+    SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, concat('user_', u) AS user_id, crash_count
+    FROM w, (SELECT max(ts) AS newest FROM events)
+    WHERE crash_count > 1 AND window_start + INTERVAL 1 DAY <= newest - INTERVAL 30 SECOND"""
+ORACLE["restart_stream"] = "SELECT event_type, count(*) AS n FROM events GROUP BY event_type"
+ORACLE["progress_rows"] = "SELECT CAST(4 AS BIGINT) AS batches, count(*) AS input_rows FROM events"
+ORACLE["sql_view_revenue"] = """
+    SELECT l_returnflag, CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_quantity AS DECIMAL(8,2))) AS DOUBLE)
+               AS revenue, count(*) AS n_rows
+    FROM lineitem GROUP BY l_returnflag"""
+ORACLE["save_table_roundtrip"] = "SELECT * FROM orders"

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from keelson.functions.time import to_ntz
 from keelson.operators import basic, logs, precompute
+from keelson.operators.fraud import fraud_score
+from keelson.operators.report import progress_report
 from keelson.session import scratch_dir
 from keelson.sources.tables import read_table, stream_table
-from keelson.streaming import run, stateful
+from keelson.streaming import run, stateful, tails
 
 
 def window_counts_stream(spark: SparkSession, d: str) -> DataFrame:
@@ -42,35 +44,70 @@ def profile_stream(spark: SparkSession, d: str) -> DataFrame:
     ev = stream_table(spark, d, "events").select("event_id", "user_id", "ts", "value")
     prof = stateful.profile_stream(ev, "user_id", "ts", "event_id", "value",
                                    depth=50, min_n=3, ratio=3.0, floor=50.0)
-    out = run.run_to_table(spark, prof, "profile_stream", "append")
-    return out.select("event_id", "user_id", "ts", "value", "prior_n", "prior_sum",
-                      F.round("prior_stdev", 4).alias("prior_stdev"), "is_outlier")
+    return _profiled(run.run_to_table(spark, prof, "profile_stream", "append"))
 
 
 def velocity_stream(spark: SparkSession, d: str) -> DataFrame:
     """T4: the velocity count as per-user stream state, then the score."""
-    from keelson.operators.fraud import fraud_score
     ev = stream_table(spark, d, "events").select("event_id", "user_id", "ts", "value")
     vel = stateful.velocity_stream(ev, "user_id", "ts", "event_id", span="1 hour",
-                                   amount="value")
-    out = run.run_to_table(spark, vel, "velocity_stream", "append")
+                                   amount="value", watermark="1 hour")
+    return _scored(run.run_to_table(spark, vel, "velocity_stream", "append"))
+
+
+def _scored(out: DataFrame) -> DataFrame:
     out = fraud_score(out, "value", max_velocity=5, max_amount=400.0)
-    return out.select("event_id", "user_id", "ts", "velocity", "score", "alert")
+    return out.select("event_id", "user_id", to_ntz("ts").alias("ts"), "velocity", "score", "alert")
+
+
+def _profiled(out: DataFrame) -> DataFrame:
+    return out.select("event_id", "user_id", "ts", "value", "prior_n", "prior_sum",
+                      F.round("prior_stdev", 4).alias("prior_stdev"), "is_outlier")
+
+
+def _by_time(df: DataFrame, ts: str, parts: int = 4) -> list[DataFrame]:
+    """The table in ``parts`` pieces of equal time span, in order; every row in one."""
+    t = F.unix_micros(F.col(ts).cast("timestamp"))
+    lo, hi = df.agg(F.min(t), F.max(t)).first()
+    step = ((hi or 0) - (lo or 0)) // parts + 1
+    part = F.coalesce(F.floor((t - F.lit(lo or 0)) / F.lit(step)), F.lit(0))
+    return [df.filter(part == k) for k in range(parts)]
+
+
+def profile_stream_batches(spark: SparkSession, d: str) -> DataFrame:
+    """T5 over four micro-batches in time order, the stream started again from
+    its checkpoint for each: every history is read back from state (K11)."""
+    ev = read_table(spark, d, "events").select("event_id", "user_id", "ts", "value")
+    build = lambda s: stateful.profile_stream(s, "user_id", "ts", "event_id", "value", depth=50, min_n=3,
+                                              ratio=3.0, floor=50.0)
+    return _profiled(run.run_parts(spark, _by_time(ev, "ts"), ev.schema, build, "profile_batches"))
+
+
+def velocity_stream_batches(spark: SparkSession, d: str) -> DataFrame:
+    """T4 over four micro-batches, as :func:`profile_stream_batches`."""
+    ev = read_table(spark, d, "events").select("event_id", "user_id", "ts", "value")
+    build = lambda s: stateful.velocity_stream(s, "user_id", "ts", "event_id", span="1 hour",
+                                               amount="value", watermark="1 hour")
+    return _scored(run.run_parts(spark, _by_time(ev, "ts"), ev.schema, build, "velocity_batches"))
 
 
 def summary_merge(spark: SparkSession, d: str) -> DataFrame:
     """A10/K6: event counts per type kept as a summary that each micro-batch
-    of new rows refreshes (four batches: the table staged as four files)."""
+    of new rows refreshes (four batches: each task stages four files, split by
+    a hash of the id, and a batch takes as many files as there were tasks)."""
     stage = scratch_dir(spark, "summary-stage")
-    read_table(spark, d, "events").repartition(4, "event_id").write.parquet(stage)
-    schema = read_table(spark, d, "events").schema
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(stage)
+    ev = read_table(spark, d, "events")
+    (ev.withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(4)))
+     .write.partitionBy("part").parquet(stage))
+    files = len(spark.read.parquet(stage).inputFiles())
+    src = (spark.readStream.schema(ev.schema).option("recursiveFileLookup", "true")
+           .option("maxFilesPerTrigger", max(1, files // 4)).parquet(stage))
     path = scratch_dir(spark, "summary")
     keys = ["event_type"]
     q = run.route_alerts(src, lambda b, i: precompute.merge_summary(path, b, i, keys),
                          checkpoint=scratch_dir(spark, "summary-ck"),
                          trigger={"availableNow": True})
-    q.awaitTermination()
+    run.finish(q)
     return precompute.read_summary(spark, path, keys)
 
 
@@ -89,7 +126,7 @@ def ingest_table(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_dir(spark, "ingest-table")
     q = ingest_to_table(spark.readStream.text(stage), schema, path,
                         scratch_dir(spark, "ingest-ck"), ts_field="ts", unit="us")
-    q.awaitTermination()
+    run.finish(q)
     table = spark.read.parquet(path)
     return table.select("event_id", to_ntz("ts").alias("ts"), "user_id", "event_type",
                         "value", "props")
@@ -130,7 +167,6 @@ def _feed_reader(spark: SparkSession, stage: str):
 
 
 def _velocity_agent(rows: DataFrame) -> DataFrame:
-    from keelson.operators.fraud import fraud_score
     vel = stateful.velocity_stream(rows.select("id", "user_id", "amount", "created_at"),
                                    "user_id", "created_at", "id", span="30 days",
                                    amount="amount")
@@ -145,31 +181,19 @@ def _profile_agent(rows: DataFrame) -> DataFrame:
     return prof.filter("is_outlier").select("id", "user_id", "amount", "prior_n", "prior_sum")
 
 
-def _agent_alerts(spark: SparkSession, d: str, name: str, agent) -> DataFrame:
-    stage = _stage_order_feed(spark, d)
-    root = scratch_dir(spark, f"agents-{name}")
-    outs = run.fan_out(spark, _feed_reader(spark, stage), {name: agent}, root)
-    cols = agent(_feed_reader(spark, stage)()).columns
-    return spark.read.parquet(outs[name]).select(*cols)
-
-
 def cdc_velocity_alerts(spark: SparkSession, d: str) -> DataFrame:
     """The velocity agent as a stream over the change feed
     of orders; alerts where the customer placed another order within 30 days
     and the amount exceeds 400000. The 30-day window state is a tail table
     between micro-batches (JVM windows, no Python per customer)."""
-    from keelson.operators.fraud import fraud_score
-    from keelson.streaming import tails
     stage = _stage_order_feed(spark, d)
     rows = _feed_reader(spark, stage)().select("id", "user_id", "amount", "created_at")
     out = scratch_dir(spark, "velocity-tails")
     q = tails.velocity_batches(rows, "user_id", "created_at", "id", out,
                                scratch_dir(spark, "velocity-tails-ck"), span="30 days",
                                amount="amount")
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    scored = fraud_score(tails.read_velocity(spark, out), "amount", max_velocity=1,
+    run.finish(q)
+    scored = fraud_score(tails.read_results(spark, out), "amount", max_velocity=1,
                          max_amount=400000.0)
     return scored.filter("alert").select("id", "user_id", "amount", "velocity", "score")
 
@@ -177,32 +201,105 @@ def cdc_velocity_alerts(spark: SparkSession, d: str) -> DataFrame:
 def cdc_profile_alerts(spark: SparkSession, d: str) -> DataFrame:
     """The spending-profile agent over the same feed;
     alerts where an order exceeds 3x the customer's mean of up to 50
-    previous orders and 500."""
-    return _agent_alerts(spark, d, "profile", _profile_agent)
+    previous orders and 500. The histories are a table between micro-batches."""
+    stage = _stage_order_feed(spark, d)
+    rows = _feed_reader(spark, stage)().select("id", "user_id", "amount", "created_at")
+    out = scratch_dir(spark, "profile-tails")
+    run.finish(tails.profile_batches(rows, "user_id", "created_at", "id", "amount", out,
+                                     scratch_dir(spark, "profile-tails-ck"), depth=50, min_n=3, ratio=3.0, floor=500.0))
+    return tails.read_results(spark, out).filter("is_outlier").select(
+        "id", "user_id", "amount", "prior_n", F.col("prior_sum").cast("double").alias("prior_sum"))
 
 
-def cdc_agents(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """Both agents as independent consumers of one staged feed."""
+def cdc_agents_both(spark: SparkSession, d: str) -> DataFrame:
+    """Both agents, with Python state per user, as independent consumers of
+    one staged feed; their alerts side by side."""
     stage = _stage_order_feed(spark, d)
     root = scratch_dir(spark, "agents")
     agents = {"velocity": _velocity_agent, "profile": _profile_agent}
     outs = run.fan_out(spark, _feed_reader(spark, stage), agents, root)
-    return {k: spark.read.parquet(v).select(*agents[k](_feed_reader(spark, stage)()).columns)
-            for k, v in outs.items()}
+    found = [spark.read.parquet(path).select(F.lit(name).alias("agent"), "id", "user_id", "amount")
+             for name, path in outs.items()]
+    return found[0].unionByName(found[1])
+
+
+def cdc_undecodable(spark: SparkSession, d: str) -> DataFrame:
+    """the feed with every fifth amount damaged (foreign characters, no
+    bytes, a length that is none of base64): those rows arrive with a null
+    amount, the others with theirs."""
+    from keelson.sources.changes import after_schema, change_events, read_changes
+    from pyspark.sql.types import LongType
+    o = read_table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("amount"))
+    feed = change_events(o, ["id", "amount"], "amount")
+    order = F.get_json_object("value", "$.payload.after.id").cast("bigint")
+    damaged = F.regexp_replace("value", '"amount":"[^"]*"', F.concat(
+        F.lit('"amount":"'), F.element_at(F.array(*map(F.lit, ("!!!", "", "AMN", "AM NQ"))), (order % 4 + 1).cast("int")), F.lit('"')))
+    feed = feed.select(F.when(order % 5 == 0, damaged).otherwise(F.col("value")).alias("value"))
+    schema = after_schema([("id", LongType()), ("amount", "variant")])
+    return read_changes(feed, schema, decimals=["amount"]).select("id", "amount")
+
+
+def crash_windows_append(spark: SparkSession, d: str) -> DataFrame:
+    """Crash counts over JSON log records in append mode:
+    each daily window of a user once, after the watermark passed its end.
+
+    The records are events in time order (four batches, epoch milliseconds),
+    with malformed, empty and null values between them, and, after all others,
+    crash records of the first day, which are late and do not count."""
+    ev = read_table(spark, d, "events")
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    content = F.when(F.col("event_type") == "error", "App CRASH: core dumped").otherwise("fine")
+    record = lambda at: F.to_json(F.struct(
+        at.alias("timestamp"), F.lit("x").alias("status"),
+        F.when(F.col("event_id") % 2 == 0, "High").otherwise("Critical").alias("severity"), F.lit("10.0.0.1").alias("source_ip"),
+        F.concat(F.lit("user_"), "user_id").alias("user_id"), content.alias("content")))
+    first = ev.agg(F.min(ms)).first()[0]
+    noise = F.array(F.lit("{not json"), F.lit(""), F.lit(None).cast("string"))
+    parts = [p.select(F.explode(F.when(F.col("event_id") % 10 == 0, F.array_insert(noise, 1, record(ms)))
+                                .otherwise(F.array(record(ms)))).alias("value")) for p in _by_time(ev, "ts")]
+    late = ev.filter("event_type = 'error'").select(record(F.lit(first)).alias("value"))
+
+    def build(raw: DataFrame) -> DataFrame:
+        return logs.windowed_count(logs.parse_logs(raw, unit="ms"), "event_time", "1 day", ["user_id"],
+                                   pred=logs.crash_filter(), watermark="30 seconds", min_count=1)
+
+    out = run.run_parts(spark, [*parts, late], "value string", build, "crash_windows")
+    return out.select(to_ntz("window_start").alias("window_start"), to_ntz("window_end").alias("window_end"),
+                      "user_id", "crash_count")
+
+
+def restart_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Running counts in update mode, the query stopped and started
+    again from its checkpoint three times; each key's last update."""
+    ev = read_table(spark, d, "events").select("event_id", "ts", "event_type")
+    build = lambda s: s.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    return run.run_parts(spark, _by_time(ev, "ts"), ev.schema, build, "restart", "update", ["event_type"])
+
+
+def progress_rows(spark: SparkSession, d: str) -> DataFrame:
+    """A stream's own report over four batches: how many took rows, and how many rows."""
+    ev = read_table(spark, d, "events").select("event_id", "ts")
+    stage, out, ck = (scratch_dir(spark, f"progress-{x}") for x in ("in", "out", "ck"))
+    reports = []
+    for part in _by_time(ev, "ts"):
+        part.write.mode("append").parquet(stage)
+        q = run.start(spark.readStream.schema(ev.schema).parquet(stage), checkpoint=ck, trigger={"availableNow": True},
+                      foreach_batch=run.batch_writer(out))
+        run.finish(q)
+        reports.append(progress_report(spark, q))
+    rows = reports[0]
+    for r in reports[1:]:
+        rows = rows.unionByName(r)
+    return rows.filter("num_input_rows > 0").agg(F.count(F.lit(1)).alias("batches"),
+                                                 F.sum("num_input_rows").alias("input_rows"))
 
 
 def velocity_stream_tails(spark: SparkSession, d: str) -> DataFrame:
     """T4 as a tail table between micro-batches (JVM windows), then W5."""
-    from keelson.operators.fraud import fraud_score
-    from keelson.streaming import tails
     ev = stream_table(spark, d, "events").select("event_id", "user_id", "ts", "value")
     out = scratch_dir(spark, "velocity-tails-ev")
     q = tails.velocity_batches(ev, "user_id", "ts", "event_id", out,
                                scratch_dir(spark, "velocity-tails-ev-ck"), span="1 hour",
                                amount="value")
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    scored = fraud_score(tails.read_velocity(spark, out), "value", max_velocity=5,
-                         max_amount=400.0)
-    return scored.select("event_id", "user_id", "ts", "velocity", "score", "alert")
+    run.finish(q)
+    return _scored(tails.read_results(spark, out))

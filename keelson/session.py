@@ -82,13 +82,16 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a local one only when none is set."""
+    """The shared folder the cluster names in ``spark.checkpoint.dir``. Only a
+    local master may go without: there a temporary folder is set."""
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         current = sc.getCheckpointDir()
         if current:
             return current
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         path = tempfile.mkdtemp(prefix="keelson-ck-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)

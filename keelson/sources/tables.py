@@ -41,21 +41,21 @@ def spread(df: DataFrame, key: str | None = None,
 def stream_table(spark: SparkSession, sf_dir: str, name: str,
                  max_files_per_trigger: int | None = None,
                  max_bytes_per_trigger: int | None = None) -> DataFrame:
-    """The same table as a streaming file source (files are the micro-batches).
+    """The same table as a streaming file source: a file, or a folder of part
+    files, at the table's path. A path without the table is an error.
 
-    The driver tables are single files next to each other, so the source lists
-    the folder and keeps the one file by glob. The two limits bound a
-    micro-batch when a backlog is replayed (a file is never split), which
-    bounds the rows one key brings to a stateful operator per batch.
+    The two limits bound a micro-batch when a backlog is replayed (a file is
+    never split), which bounds the rows one key brings to a stateful operator
+    per batch.
     """
-    schema = read_table(spark, sf_dir, name).schema
-    r = (spark.readStream.schema(schema)
-         .option("pathGlobFilter", f"{name}.parquet"))
+    r = spark.readStream.schema(read_table(spark, sf_dir, name).schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_bytes_per_trigger:
         r = r.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return r.parquet(sf_dir)
+    # as a pattern (of one match) the path may be a file; a plain one has to be a folder
+    path = table_path(sf_dir, name)
+    return r.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def register(df: DataFrame, name: str) -> DataFrame:

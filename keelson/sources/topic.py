@@ -35,11 +35,11 @@ def source_options(servers: str | Sequence[str], topic: str, starting: str = "ea
 
 
 def read_topic_stream(spark: SparkSession, servers, topic: str, starting: str = "earliest",
-                      fail_on_loss: bool = False, max_offsets: int | None = 10_000_000,
+                      fail_on_loss: bool = False, max_offsets: int | None = None,
                       extra: dict | None = None) -> DataFrame:
     """S3: ``key, value (binary), topic, partition, offset, timestamp, ...``;
-    one task per topic partition. ``max_offsets`` bounds a micro-batch, so a
-    replay from ``earliest`` proceeds in bounded steps (``None`` lifts it)."""
+    one task per topic partition. ``max_offsets``, where given, bounds a
+    micro-batch, so that a replay from ``earliest`` proceeds in bounded steps."""
     opts = source_options(servers, topic, starting, None, fail_on_loss, max_offsets,
                           extra=extra)
     return spark.readStream.format("kafka").options(**opts).load()

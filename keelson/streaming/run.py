@@ -25,15 +25,6 @@ from pyspark.sql.types import LongType, StructField, StructType
 from keelson.session import scratch_dir
 
 
-def _state_partitions(spark: SparkSession) -> int:
-    """Shuffle (and state-store) partitions for a new stream: the session's
-    value, capped at twice the cluster's cores. A stream fixes this number in
-    its checkpoint at first start, and every state partition commits files
-    each micro-batch, so far more partitions than cores only adds overhead."""
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(n, 2 * spark.sparkContext.defaultParallelism))
-
-
 def start(df: DataFrame, mode: str = "append", fmt: str = "console",
           checkpoint: str | None = None, trigger: dict | None = None,
           options: dict | None = None, query_name: str | None = None,
@@ -42,21 +33,10 @@ def start(df: DataFrame, mode: str = "append", fmt: str = "console",
 
     ``mode`` is append (K9), update (K7) or complete (K8); ``trigger`` e.g.
     ``{"processingTime": "10 seconds"}`` (K10) or ``{"availableNow": True}``;
-    ``checkpoint`` makes it restart where it stopped (K11). A restarted query
-    keeps the partition count recorded in its checkpoint.
+    ``checkpoint`` makes it restart where it stopped (K11). A stream's state
+    has as many partitions as ``spark.sql.shuffle.partitions`` says at its first
+    start; a restarted query keeps the number recorded in its checkpoint.
     """
-    spark = df.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(_state_partitions(spark)))
-    try:
-        return _start(df, mode, fmt, checkpoint, trigger, options, query_name,
-                      foreach_batch, path)
-    finally:  # the stream cloned the session at start; restore the caller's
-        spark.conf.set(key, before)
-
-
-def _start(df, mode, fmt, checkpoint, trigger, options, query_name, foreach_batch, path):
     w = df.writeStream.outputMode(mode)
     if foreach_batch is not None:
         w = w.foreachBatch(foreach_batch)
@@ -73,6 +53,13 @@ def _start(df, mode, fmt, checkpoint, trigger, options, query_name, foreach_batc
     return w.start(path) if path else w.start()
 
 
+def finish(query) -> None:
+    """Wait for a query that ends by itself; raise what ended it otherwise."""
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
 def to_console(df: DataFrame, mode: str = "append", rows: int = 50,
                checkpoint: str | None = None, trigger: dict | None = None):
     """K4: untruncated console output, up to ``rows`` rows per batch."""
@@ -99,9 +86,7 @@ def run_to_table(spark: SparkSession, df: DataFrame, name: str, mode: str = "app
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{out}/batch_id=-1")
     q = start(df, mode, checkpoint=checkpoint, trigger=trigger or {"availableNow": True},
               foreach_batch=batch_writer(out))
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    finish(q)
     full = StructType(list(schema.fields) + [StructField("batch_id", LongType())])
     table = spark.read.schema(full).parquet(out)
     return read_mode(table, mode, keys, [f.name for f in schema.fields])
@@ -124,6 +109,20 @@ def read_mode(table: DataFrame, mode: str, keys: Sequence[str],
     raise ValueError(f"unknown output mode {mode!r}")
 
 
+def run_parts(spark: SparkSession, parts: Sequence[DataFrame], schema, build: Callable[[DataFrame], DataFrame],
+              name: str, mode: str = "append", keys: Sequence[str] = ()) -> DataFrame:
+    """Feed ``parts`` to one stream, a micro-batch each: a part is added to the
+    stream's input folder and the query is started again from its checkpoint,
+    so its state is written, read back and continued (K11). The result table of
+    all parts is returned; ``build`` makes the stream from its input."""
+    stage, out, ck = (scratch_dir(spark, f"{name}-{x}") for x in ("in", "out", "ck"))
+    for part in parts:
+        part.write.mode("append").parquet(stage)
+        table = run_to_table(spark, build(spark.readStream.schema(schema).parquet(stage)), name, mode, keys,
+                             out=out, checkpoint=ck)
+    return table
+
+
 def route_alerts(stream: DataFrame, handler: Callable[[DataFrame, int], None],
                  checkpoint: str, trigger: dict | None = None):
     """K6: hand each micro-batch of alerts to ``handler(batch_df, batch_id)``
@@ -155,9 +154,7 @@ def fan_out(spark: SparkSession, source: Callable[[], DataFrame],
         queries.append(q)
     if wait:
         for q in queries:
-            q.awaitTermination()
-            if q.exception() is not None:
-                raise RuntimeError(str(q.exception()))
+            finish(q)
     return outs
 
 

@@ -212,8 +212,11 @@ def _velocity_handler(ts_us: str, id_col: str, su: int, alias: str, timeout: boo
             newest = int(t.max())
             keep = t >= newest - su
             state.update((t[keep].tolist(), i[keep].tolist()))
-            if timeout:
-                state.setTimeoutTimestamp((newest + su) // 1000 + 1)
+            due = (newest + su) // 1000 + 1
+            if timeout and due <= state.getCurrentWatermarkMs():
+                state.remove()      # already past: no timer can be set for it
+            elif timeout:
+                state.setTimeoutTimestamp(due)
         pdf[alias] = vel                              # one new column: insert in place
         yield pdf
     return handle

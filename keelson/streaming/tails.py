@@ -1,70 +1,114 @@
-"""Time-bounded per-key state kept as a small table between micro-batches
-(T4, JVM-side).
-
-The velocity count needs, per user, only the events of the last ``span``.
-Instead of Python state per user, each micro-batch (``foreachBatch``):
-
-1. reads the previous batch's tail table (events within ``span`` of each
-   user's newest one),
-2. unions it with the new rows and runs the batch ``velocity`` operator
-   (JVM windows, split per (user, time chunk) when a user is hot),
-3. writes, in one pass, the new rows' results (``_kind=out``) and the new
-   tail (``_kind=tail``) under ``batch_id=<n>`` with overwrite.
-
-A replayed batch reads the same previous tail and rewrites the same folder,
-so the output is exactly once. The tail holds about ``span`` worth of events
-of the users active in it, so its size follows the event rate, not history.
-History is exact when batches arrive in time order per user, as for the
-Python-state form.
+"""Per-user history kept as a small table between micro-batches (T4, T5,
+JVM-side).
+
+The rules need little history per user: the velocity the events of the last
+``span``, the profile the last ``depth`` valid amounts. Instead of Python state
+per user, each micro-batch (``foreachBatch``):
+
+1. reads the history table that the previous batch left,
+2. unions it with the new rows and runs the batch operator of
+   :mod:`keelson.operators.fraud` (JVM windows, split per (user, time chunk)
+   when a user is hot),
+3. writes the new rows' results (``_kind=out``) and the next history
+   (``_kind=tail``) under ``batch_id=<n>`` with overwrite, and deletes the
+   history before the previous one.
+
+A replayed batch reads the same previous history and rewrites the same folder,
+so the output is exactly once. A missing history is an error: only batch 0
+starts without one.
+
+The velocity's history is cut by one time for all users: the newest event time
+seen less ``lateness`` and ``span``. Users who stop leave it, so its size
+follows the event rate. An event that arrives more than ``lateness`` behind the
+newest may find its history gone. The profile's history holds at most ``depth``
+rows per user, whatever their age, as the rule asks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from keelson.functions.spans import span_us
-from keelson.operators.fraud import velocity
+from keelson.operators.fraud import flag_outliers, profile, velocity
 from keelson.streaming.run import start
 
 
-def _tail_path(state: str, batch_id: int) -> str:
-    return f"{state}/batch_id={batch_id}/_kind=tail"
+def _path(out: str, batch_id: int, kind: str) -> str:
+    return f"{out}/batch_id={batch_id}/_kind={kind}"
 
 
-def velocity_batches(stream: DataFrame, user: str, ts: str, id_col: str, out: str,
-                     checkpoint: str, span: str = "60 seconds", amount: str | None = None,
-                     alias: str = "velocity", trigger: dict | None = None):
-    """Start the T4 stream; results land in ``out/batch_id=*/_kind=out``.
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
 
-    Returns the ``StreamingQuery``; read results with :func:`read_velocity`.
-    """
-    su = span_us(span)
-    cols = stream.columns
-    spark: SparkSession = stream.sparkSession
+def _run(stream: DataFrame, out: str, checkpoint: str, trigger: dict | None,
+         step: Callable[[DataFrame], tuple[DataFrame, DataFrame]]):
+    """``step`` takes the history and the new rows (marked by ``_tail``) and
+    gives the scored rows and the next history."""
+    schema = stream.schema
 
     def process(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        both = batch.withColumn("_tail", F.lit(False))
+        if batch_id:
+            before = spark.read.schema(schema).parquet(_path(out, batch_id - 1, "tail"))
+            both = both.unionByName(before.withColumn("_tail", F.lit(True)))
+        both = both.persist()      # read by the sizing, the scoring and the history
         try:
-            prev = spark.read.parquet(_tail_path(out, batch_id - 1))
-        except AnalysisException:          # first batch: no tail yet
-            prev = batch.limit(0)
-        both = (batch.withColumn("_tail", F.lit(False))
-                .unionByName(prev.select(*cols).withColumn("_tail", F.lit(True))))
-        scored = velocity(both, user, ts, id_col, span, amount=amount, alias=alias)
-        t = F.unix_micros(F.col(ts).cast("timestamp"))
-        scored = scored.withColumn("_newest", F.max(t).over(Window.partitionBy(user)))
-        keep_tail = F.col(alias).isNotNull() & (t >= F.col("_newest") - F.lit(su))
-        kind = (F.when(~F.col("_tail"), F.array(F.lit("out")))
-                .otherwise(F.array()))
-        kind = F.when(keep_tail, F.array_union(kind, F.array(F.lit("tail")))).otherwise(kind)
-        rows = scored.withColumn("_kind", F.explode(kind)).drop("_tail", "_newest")
-        rows.write.mode("overwrite").partitionBy("_kind").parquet(f"{out}/batch_id={batch_id}")
+            scored, tail = step(both)
+            scored.filter(~F.col("_tail")).drop("_tail").write.mode("overwrite").parquet(_path(out, batch_id, "out"))
+            tail.select(*schema.names).write.mode("overwrite").parquet(_path(out, batch_id, "tail"))
+        finally:
+            both.unpersist()
+        if batch_id > 1:
+            _delete(spark, _path(out, batch_id - 2, "tail"))
 
     return start(stream, "append", checkpoint=checkpoint,
                  trigger=trigger or {"availableNow": True}, foreach_batch=process)
 
 
-def read_velocity(spark: SparkSession, out: str) -> DataFrame:
-    """The results of all batches (the tails excluded)."""
-    return spark.read.parquet(out).filter(F.col("_kind") == "out").drop("_kind", "batch_id")
+def velocity_batches(stream: DataFrame, user: str, ts: str, id_col: str, out: str,
+                     checkpoint: str, span: str = "60 seconds", amount: str | None = None,
+                     alias: str = "velocity", trigger: dict | None = None,
+                     lateness: str = "1 hour", max_group_rows: int = 2_000_000):
+    """Start the T4 stream; results land in ``out/batch_id=*/_kind=out``.
+
+    Returns the ``StreamingQuery``; read results with :func:`read_results`."""
+    keep = span_us(span) + span_us(lateness)
+    t = F.unix_micros(F.col(ts).cast("timestamp"))
+
+    def step(both: DataFrame) -> tuple[DataFrame, DataFrame]:
+        valid = F.col(ts).isNotNull() if amount is None else F.col(ts).isNotNull() & F.col(amount).isNotNull()
+        newest = both.filter(valid).agg(F.max(t)).first()[0]
+        scored = velocity(both, user, ts, id_col, span, amount=amount, alias=alias, max_group_rows=max_group_rows)
+        return scored, both.filter(valid & (t >= F.lit((newest or 0) - keep)))
+
+    return _run(stream, out, checkpoint, trigger, step)
+
+
+def profile_batches(stream: DataFrame, user: str, ts: str, id_col: str, amount: str, out: str,
+                    checkpoint: str, depth: int = 50, min_n: int = 3, ratio: float = 3.0,
+                    floor: float = 500.0, trigger: dict | None = None, max_group_rows: int = 2_000_000):
+    """Start the T5 stream (ratio rule); results as for :func:`velocity_batches`.
+
+    Batches must arrive in time order per user."""
+    def step(both: DataFrame) -> tuple[DataFrame, DataFrame]:
+        scored = flag_outliers(profile(both, user, ts, id_col, amount, depth=depth, max_group_rows=max_group_rows),
+                               amount, ratio=ratio, floor=floor, min_n=min_n)
+        newest = Window.partitionBy(user).orderBy(F.col(ts).desc(), F.col(id_col).desc())
+        # a rank below a constant: Spark keeps the first ``depth`` rows per user before the shuffle
+        last = (both.filter(F.col(amount).isNotNull()).withColumn("_rank", F.row_number().over(newest))
+                .filter(F.col("_rank") <= depth))
+        return scored, last
+
+    return _run(stream, out, checkpoint, trigger, step)
+
+
+def read_results(spark: SparkSession, out: str) -> DataFrame:
+    """The results of all batches (the histories excluded)."""
+    return (spark.read.option("basePath", out).parquet(f"{out}/batch_id=*/_kind=out")
+            .drop("_kind", "batch_id"))

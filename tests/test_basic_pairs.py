@@ -82,3 +82,9 @@ def test_top_sum_and_match_count_and_rowcount(spark):
                            & F.col("severity").isin("High", "Critical")).collect()
     assert [(r.k, r.match_count) for r in mc] == [("x", 1), ("y", 1)]
     assert basic.row_count(df.filter("false")).first().row_count == 0
+
+
+def test_revenue_of_three_digit_prices_is_exact(spark):
+    from keelson.operators import basic
+    df = spark.createDataFrame([("a", 0.257 if i % 2 else 0.256, 1.0) for i in range(100)], "k string, p double, q double")
+    assert [tuple(r) for r in basic.revenue_by(df, "k", "p", "q").collect()] == [("a", 25.65)]

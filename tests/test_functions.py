@@ -29,7 +29,7 @@ def test_decode_known_and_roundtrip(spark):
 
 
 def test_decode_rejects(spark):
-    bad = ["", "!!", "abc", "AMN", "AMNQ=", "AAAAAAAAAAAAAA==", None, "A MNQ"]
+    bad = ["", "!!", "abc", "AMN", "AMNQ=", "AAAAAAAAAAAAAAAAAAAAAAA=", None, "A MNQ"]
     df = spark.createDataFrame([(b,) for b in bad], "s string")
     vals = [r.d for r in df.select(decode_b64_decimal("s").alias("d")).collect()]
     assert vals == [None] * len(bad)
@@ -109,3 +109,26 @@ def test_decode_random_values_property(spark):
             assert r.d == Decimal(r.c) / 100
             assert r.e == r.s
     check()
+
+
+def test_wide_wire_decimals(spark):
+    import base64
+    from decimal import Decimal as D
+    from keelson.functions.decimal import decode_b64_decimal
+
+    def wire(n):
+        return base64.b64encode(n.to_bytes(n.bit_length() // 8 + 1, "big", signed=True)).decode()
+    values = [10**20, -10**20, 2**64, -(2**64), 2**71 - 1, 10**33, -1, 255, 2**63, -(2**63), -(2**63) - 1]
+    df = spark.createDataFrame([(i, wire(v)) for i, v in enumerate(values)] + [(99, wire(2**130))], "i int, s string")
+    got = {r.i: r.d for r in df.select("i", decode_b64_decimal("s", 2, 38).alias("d")).collect()}
+    assert got == {**{i: D(v).scaleb(-2) for i, v in enumerate(values)}, 99: None}
+    assert [r.d for r in df.where("i = 0").select(decode_b64_decimal("s", 2, 10).alias("d")).collect()] == [None]
+
+
+def test_units_never_round(spark):
+    import pytest
+    from keelson.functions.decimal import units
+    df = spark.createDataFrame([(0.1,), (1.005,), (None,), (-2.125,)], "x double")
+    assert [r.u for r in df.select(units("x", 3).alias("u")).collect()] == [100, 1005, None, -2125]
+    with pytest.raises(Exception, match="more than 2 decimals"):
+        df.select(units("x", 2).alias("u")).collect()

@@ -72,3 +72,46 @@ def test_generators_deterministic_and_in_range(spark):
         F.min("salary"), F.max("salary")).first()
     assert 80000 <= eng[0] and eng[1] <= 150000
     assert p.select("country").distinct().count() <= 93
+
+
+def test_null_blank_and_broken_json_is_dropped(spark):
+    from keelson.functions.json import parse_json_rows
+    values = ['{"a": 1}', None, "", "  ", "{broken", '{"a": null}', "[]"]
+    df = spark.createDataFrame([(v,) for v in values], "value string")
+    assert sorted(str(r.a) for r in parse_json_rows(df, "value", "a INT").collect()) in (["1", "None"], ["1", "None", "None"])
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    import pytest
+    from keelson import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())
+
+
+def test_index_is_built_once(spark):
+    from keelson.plans import batch
+    d = "/root/testdata/sf0.001"
+    batch.token_search(spark, d).count()
+    known = dict(batch._INDEXES)
+    batch.token_search_all(spark, d).count()
+    assert batch._INDEXES == known
+
+
+def test_save_table_partitions_and_catalog(spark, tmp):
+    from keelson.sources.tables import save_table
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, k string")
+    save_table(df, f"{tmp}/t", partition_by=["k"])
+    assert spark.read.parquet(f"{tmp}/t").where("k = 'b'").count() == 1

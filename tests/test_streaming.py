@@ -190,26 +190,118 @@ def test_velocity_tail_table_equals_batch(spark, tmp):
                                span="60 seconds", amount="amount")
     q.awaitTermination()
     assert len(q.recentProgress) >= 4
-    got = {r.id: r.velocity for r in tails.read_velocity(spark, out).collect()}
+    got = {r.id: r.velocity for r in tails.read_results(spark, out).collect()}
     want = fraud.velocity(spark.createDataFrame(rows, schema), "user", "ts", "id",
                           "60 seconds", amount="amount")
     assert got == {r.id: r.velocity for r in want.collect()}
 
 
-def test_start_caps_state_partitions_and_restores_conf(spark, tmp):
+def test_state_partitions_follow_the_session(spark, tmp):
     src = os.path.join(tmp, "in")
     spark.createDataFrame([(1, "a"), (2, "b")], "id int, k string").write.parquet(src)
     stream = spark.readStream.schema("id int, k string").parquet(src)
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "500")
+    spark.conf.set("spark.sql.shuffle.partitions", "30")
     try:
         q = run.start(stream.groupBy("k").count(), "complete", checkpoint=os.path.join(tmp, "ck"),
                       trigger={"availableNow": True},
                       foreach_batch=run.batch_writer(os.path.join(tmp, "out")))
-        q.awaitTermination()
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "500"
-        cap = 2 * spark.sparkContext.defaultParallelism
-        state = q.lastProgress["stateOperators"][0]
-        assert state["numShufflePartitions"] <= cap
+        run.finish(q)
+        assert q.lastProgress["stateOperators"][0]["numShufflePartitions"] == 30
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def _disjoint(spark, src, batches=5):
+    """Batches of different users, 100 days apart."""
+    schema = "id long, user long, ts timestamp, amount decimal(10,2)"
+    for k in range(batches):
+        rows = [(100 * k + i, 100 * k + i, T0 + dt.timedelta(days=100 * k, seconds=i), Decimal("1")) for i in range(100)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(os.path.join(src, f"p{k}"))
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(src)
+
+
+def test_velocity_tail_stays_bounded(spark, tmp):
+    from keelson.streaming import tails
+    out = os.path.join(tmp, "out")
+    run.finish(tails.velocity_batches(_disjoint(spark, os.path.join(tmp, "in")), "user", "ts", "id", out, os.path.join(tmp, "ck")))
+    folders = sorted(x for x in os.listdir(out) if x.startswith("batch_id="))
+    tails_left = [x for x in folders if os.path.isdir(os.path.join(out, x, "_kind=tail"))]
+    assert len(folders) == 5 and tails_left == folders[-2:]
+    assert [spark.read.parquet(os.path.join(out, x, "_kind=tail")).count() for x in tails_left] == [100, 100]
+    assert tails.read_results(spark, out).count() == 500
+
+
+def test_lost_tail_is_an_error(spark, tmp):
+    from keelson.streaming import tails
+    import pytest
+    import shutil
+    src, out, ck = (os.path.join(tmp, x) for x in ("in", "out", "ck"))
+    run.finish(tails.velocity_batches(_disjoint(spark, src, 2), "user", "ts", "id", out, ck))
+    shutil.rmtree(os.path.join(out, "batch_id=1", "_kind=tail"))
+    spark.createDataFrame([(9, 9, T0, Decimal("1"))], "id long, user long, ts timestamp, amount decimal(10,2)").write.parquet(os.path.join(src, "p9"))
+    stream = spark.readStream.schema("id long, user long, ts timestamp, amount decimal(10,2)").option("recursiveFileLookup", "true").parquet(src)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|STREAM_FAILED"):
+        run.finish(tails.velocity_batches(stream, "user", "ts", "id", out, ck))
+
+
+def test_profile_history_table_equals_batch(spark, tmp):
+    from keelson.streaming import tails
+    rows = sorted(_tx(seed=31), key=lambda r: r[2])
+    schema = "id long, user long, ts timestamp_ntz, amount decimal(10,2)"
+    src, out = os.path.join(tmp, "tx"), os.path.join(tmp, "out")
+    for k in range(4):
+        spark.createDataFrame(rows[k * 100:(k + 1) * 100], schema).coalesce(1).write.parquet(os.path.join(src, f"p{k}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(src)
+    q = tails.profile_batches(stream, "user", "ts", "id", "amount", out, os.path.join(tmp, "ck"), depth=5, max_group_rows=40)
+    run.finish(q)
+    assert len(q.recentProgress) >= 4
+    want = fraud.flag_outliers(fraud.profile(spark.createDataFrame(rows, schema), "user", "ts", "id", "amount", depth=5), "amount")
+    got = {r.id: (r.prior_n, r.prior_sum, r.is_outlier) for r in tails.read_results(spark, out).collect()}
+    assert got == {r.id: (r.prior_n, r.prior_sum, r.is_outlier) for r in want.collect()}
+
+
+def test_past_due_user_with_only_an_undecodable_amount(spark, tmp):
+    """The user's timer is behind the watermark when the next row comes: the state goes, the query lives."""
+    schema = "id long, user long, ts timestamp, amount decimal(10,2)"
+    late = T0 + dt.timedelta(hours=5)
+    batches = [[(1, 1, T0, Decimal("1"))], [(2, 2, late, Decimal("1"))], [(3, 1, late, None)], [(4, 1, late, Decimal("1"))]]
+    src = os.path.join(tmp, "in")
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(os.path.join(src, f"p{k}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(src)
+    vel = stateful.velocity_stream(stream, "user", "ts", "id", "60 seconds", amount="amount", watermark="10 seconds")
+    got = run.run_to_table(spark, vel, "past-due", "append", out=os.path.join(tmp, "o"), checkpoint=os.path.join(tmp, "c"))
+    assert {r.id: r.velocity for r in got.collect()} == {1: 1, 2: 1, 3: None, 4: 1}
+
+
+def test_streams_read_files_and_folders_alike(spark, tmp):
+    import pytest
+    from keelson.sources.tables import stream_table
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    ev.repartition(3).write.parquet(os.path.join(tmp, "events.parquet"))
+    counts = [run.run_to_table(spark, stream_table(spark, d, "events"), f"read{k}", out=os.path.join(tmp, f"o{k}"),
+                               checkpoint=os.path.join(tmp, f"c{k}")).count()
+              for k, d in enumerate(("/root/testdata/sf0.001", tmp))]
+    assert counts == [ev.count()] * 2
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        stream_table(spark, tmp, "orders")
+
+
+def test_parts_are_batches_with_state(spark, tmp):
+    """Four parts: each is a batch of its own, and the later ones find rows in the state."""
+    from keelson.plans import streams
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "user_id", "ts", "value")
+    parts = streams._by_time(ev, "ts")
+    assert sum(p.count() for p in parts) == ev.count() and all(p.count() for p in parts)
+    rows = []
+    stage, out, ck = (os.path.join(tmp, x) for x in ("in", "out", "ck"))
+    for part in parts:
+        part.write.mode("append").parquet(stage)
+        s = spark.readStream.schema(ev.schema).parquet(stage)
+        q = run.start(stateful.profile_stream(s, "user_id", "ts", "event_id", "value"), checkpoint=ck,
+                      trigger={"availableNow": True}, foreach_batch=run.batch_writer(out))
+        run.finish(q)
+        rows += [r for r in progress_report(spark, q).collect() if r.num_input_rows]
+    assert len(rows) == 4 and rows[0].state_rows > 0
+    assert all(r.num_input_rows < ev.count() for r in rows)
