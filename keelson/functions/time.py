@@ -34,8 +34,3 @@ def event_time(col) -> Column:
 def to_ntz(col) -> Column:
     """Back to ``timestamp_ntz`` for output next to the source tables."""
     return _c(col).cast("timestamp_ntz")
-
-
-def minus_interval(col, span: str) -> Column:
-    """``col - INTERVAL span``."""
-    return _c(col) - F.expr(f"INTERVAL {span}")

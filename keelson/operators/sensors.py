@@ -44,11 +44,6 @@ def trailing_avg(df: DataFrame, ts: str, val: str, as_of, span: str = "10 minute
         a.alias(alias), F.count(F.lit(1)).alias("n_rows"))
 
 
-def latest(df: DataFrame, ts: str) -> Column:
-    """``max(ts)`` of a table as a scalar-subquery column, for ``as_of``."""
-    return df.agg(F.max(ts)).scalar()
-
-
 def latest_value(df: DataFrame, ts: str):
     """``max(ts)`` resolved to a value (one partial-aggregated row reaches the
     driver). Passed as ``as_of`` it becomes a literal bound that Parquet

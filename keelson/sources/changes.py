@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, StringType, VariantType
 
 from keelson.functions.decimal import decode_decimal, encode_decimal
-from keelson.functions.json import keep_rows
+from keelson.functions.json import CORRUPT, keep_rows
 
 
 def envelope_schema(after: StructType) -> StructType:
     inner = StructType([StructField("op", StringType()), StructField("after", after)])
     return StructType([StructField("payload", inner),
-                       StructField("op", StringType()), StructField("after", after)])
+                       StructField("op", StringType()), StructField("after", after),
+                       StructField(CORRUPT, StringType())])
 
 
 # Change operations that carry a new row -- create, snapshot
@@ -43,14 +44,16 @@ def read_changes(df: DataFrame, after: StructType, value_col: str = "value",
     reads, for consumers that treat each event as a new transaction).
     """
     ev = F.from_json(F.col(value_col).cast("string"), envelope_schema(after),
-                     {"mode": "PERMISSIVE"}).alias("e")
+                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("e")
     parsed = df.select(ev)
     row = F.struct(F.coalesce(F.col("e.payload.op"), F.col("e.op")).alias("op"),
-                   F.coalesce(F.col("e.payload.after"), F.col("e.after")).alias("after"))
-    # events without `after` (deletes, malformed JSON) are dropped inside a
-    # generator, so each record is parsed once
-    keep = (lambda r: r["after"].isNotNull()) if ops is None else \
-        (lambda r: r["after"].isNotNull() & r["op"].isin(*ops))
+                   F.coalesce(F.col("e.payload.after"), F.col("e.after")).alias("after"),
+                   F.col(f"e.{CORRUPT}").alias("bad"))
+    # events without `after` (deletes), malformed JSON and values of another
+    # type than the schema's are dropped inside a generator, so each record is
+    # parsed once; the same rule as for plain JSON records
+    fine = lambda r: r["after"].isNotNull() & r["bad"].isNull()
+    keep = fine if ops is None else (lambda r: fine(r) & r["op"].isin(*ops))
     out = keep_rows(parsed, row, keep).select("op", "after.*")
     for c in decimals:
         out = out.withColumn(c, decode_decimal(F.col(c), scale, precision))

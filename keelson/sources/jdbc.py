@@ -64,9 +64,3 @@ def append_jdbc(df: DataFrame, url: str, table: str, props: dict | None = None,
     for k, v in (props or {}).items():
         w = w.option(k, str(v))
     w.save()
-
-
-def jdbc_timestamp_col(df: DataFrame, col: str) -> DataFrame:
-    """Database ``TIMESTAMP`` without zone arrives as session-zone timestamp;
-    keep wall clock as ``timestamp_ntz`` for comparisons with file tables."""
-    return df.withColumn(col, F.col(col).cast("timestamp_ntz"))

@@ -52,12 +52,6 @@ def read_topic_batch(spark: SparkSession, servers, topic: str, starting: str = "
     return spark.read.format("kafka").options(**opts).load()
 
 
-def values_as_text(df: DataFrame) -> DataFrame:
-    """``key`` and ``value`` bytes as strings."""
-    return df.select(F.col("key").cast("string").alias("key"),
-                     F.col("value").cast("string").alias("value"), "partition", "offset")
-
-
 def to_messages(df: DataFrame, key: str | None = None,
                 columns: Sequence[str] | None = None) -> DataFrame:
     """K5: rows -> ``(key, value)`` messages, value = JSON of the columns.

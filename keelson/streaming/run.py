@@ -160,12 +160,6 @@ def fan_out(spark: SparkSession, source: Callable[[], DataFrame],
 
 # ---- K6: ready-made per-batch writers for route_alerts / fan_out ----------
 
-def parquet_writer(path: str) -> Callable[[DataFrame, int], None]:
-    """Alerts to a Parquet table, one ``batch_id=<n>`` folder per micro-batch
-    (overwritten on replay: exactly once at the table)."""
-    return batch_writer(path)
-
-
 def topic_writer(servers, topic: str, key: str | None = None) -> Callable[[DataFrame, int], None]:
     """Alerts to a topic, keyed for per-key order. A replayed batch is sent
     again (at least once); consumers dedupe on the ``batch_id`` field added

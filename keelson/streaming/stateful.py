@@ -16,6 +16,10 @@ partitioned topic read from the start does per key). The work of one group
 in one batch is bounded by the micro-batch size (``maxOffsetsPerTrigger`` /
 ``maxFilesPerTrigger``), which is how a hot user is kept to a bounded task.
 Output rows equal the batch operators in :mod:`keelson.operators.fraud`.
+
+Ids are whole numbers. Other bigint columns that pass through a handler must
+not mix nulls with values beyond 2^53: pandas holds a bigint column with nulls
+as doubles. :mod:`keelson.streaming.tails` has neither limit.
 """
 
 from __future__ import annotations

@@ -90,3 +90,14 @@ def test_op_filter(spark):
     df = spark.createDataFrame([(m,) for m in msgs], "value string")
     got = sorted(r.id for r in read_changes(df, AFTER, decimals=["amount"], ops=("c", "r")).collect())
     assert got == [0, 1, 4]
+
+
+def test_change_with_a_value_of_another_type_is_dropped(spark):
+    from pyspark.sql.types import LongType
+    from keelson.sources.changes import after_schema, read_changes
+    values = ['{"op":"c","after":{"id":1,"amount":2.5}}', '{"payload":{"op":"c","after":{"id":"x","amount":2.5}}}',
+              '{"op":"d"}', None, "", "{broken", '{"payload":{"op":"u","after":{"id":3,"amount":"AMNQ"}}}']
+    df = spark.createDataFrame([(v,) for v in values], "value string")
+    schema = after_schema([("id", LongType()), ("amount", "variant")])
+    rows = read_changes(df, schema, decimals=["amount"]).collect()
+    assert sorted((r.op, r.id, str(r.amount)) for r in rows) == [("c", 1, "2.50"), ("u", 3, "500.00")]

@@ -115,3 +115,16 @@ def test_save_table_partitions_and_catalog(spark, tmp):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, k string")
     save_table(df, f"{tmp}/t", partition_by=["k"])
     assert spark.read.parquet(f"{tmp}/t").where("k = 'b'").count() == 1
+
+
+def test_alert_writers_add_the_batch_id(spark, monkeypatch):
+    from keelson.sources import jdbc, topic
+    from keelson.streaming import run
+    sent = []
+    monkeypatch.setattr(topic, "write_topic", lambda df, *a: sent.append((df.collect(), a)))
+    monkeypatch.setattr(jdbc, "append_jdbc", lambda df, *a: sent.append((df.collect(), a)))
+    df = spark.createDataFrame([(1, "x")], "id int, k string")
+    run.topic_writer("host:9092", "alerts", key="id")(df, 7)
+    run.jdbc_writer("jdbc:x", "alerts")(df, 8)
+    assert [(r[0].asDict(), a[1]) for r, a in sent] == [({"id": 1, "k": "x", "batch_id": 7}, "alerts"),
+                                                       ({"id": 1, "k": "x", "batch_id": 8}, "alerts")]
