@@ -42,6 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.functions.spans import span_us
+from keelson.session import scratch_dir
 
 _AMT = "decimal(10,2)"
 _SUM = "decimal(20,2)"
@@ -93,8 +94,13 @@ def chunk_edges(df: DataFrame, user: str, ts: str, max_group_rows: int) -> DataF
     pieces = -(-top // max_group_rows) + 1
     hot = sizes.filter(F.col("n") > max_group_rows).select(F.col("_user").alias("_hot"))
     cuts = F.array(*(F.lit(k / pieces) for k in range(1, pieces)))
-    return (timed.join(hot, F.col("_user").eqNullSafe(F.col("_hot")), "left_semi").groupBy("_user")
-            .agg(F.array_distinct(F.percentile_approx("_t", cuts, 20 * pieces)).alias("_edges")))
+    edges = (timed.join(hot, F.col("_user").eqNullSafe(F.col("_hot")), "left_semi").groupBy("_user")
+             .agg(F.array_distinct(F.percentile_approx("_t", cuts, 20 * pieces)).alias("_edges")))
+    # written once: an approximate quantile may come out otherwise when computed
+    # again, and all parts of a plan must cut alike
+    spark = df.sparkSession
+    edges.write.parquet(path := scratch_dir(spark, "chunk-edges"))
+    return spark.read.parquet(path)
 
 
 def _with_edges(base: DataFrame, user: str, edges: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from keelson.plans import catalog  # noqa: E402
 from keelson.session import get_session  # noqa: E402
 
 KINDS = [("hash", r"Exchange hashpartitioning"), ("range", r"Exchange rangepartitioning"),
@@ -33,7 +33,7 @@ def main() -> None:
     print("| query | " + " | ".join(k for k, _ in KINDS) + " |")
     print("|---|" + "---|" * len(KINDS))
     scans = {}
-    for name, fn in E.queries().items():
+    for name, fn in catalog.queries().items():
         plan = fn(spark, sf)._jdf.queryExecution().executedPlan().toString()
         counts = [len(re.findall(p, plan)) for _, p in KINDS]
         print(f"| {name} | " + " | ".join(str(c) for c in counts) + " |")
