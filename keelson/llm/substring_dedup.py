@@ -5,9 +5,11 @@ over it also starts earlier: in a document of smaller id, or earlier in the
 same one. The reference of a corpus is the corpus itself, which no broadcast
 can hold, so its repeated parts are found first and dealt into shards:
 
+0. Of equal texts the earliest document stands for all; the words of the others
+   go, if they fill a window.
 1. Every window names an anchor, the run of ``GRAM`` words in it with the
-   smallest hash; equal windows name equal anchors. Anchors are counted over
-   the corpus; a window whose anchor occurs once has no twin.
+   smallest hash; equal windows name equal anchors. A window whose anchor occurs
+   in one text only, and there once, has no twin.
 2. Around each repeated anchor a text yields a context: the words of all its
    windows that name this anchor. Equal contexts are merged, keeping the
    earliest; all words of the later ones go.
@@ -48,6 +50,8 @@ MOST_CONTEXTS = 3000
 #: Words of one automaton (it has at most two states a word).
 SHARD_WORDS = 60_000
 _LAST = (1 << 63) - 1
+#: End of a span over a whole text.
+_WHOLE = (1 << 31) - 1
 
 
 def _anchors(words: W.Words, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -74,10 +78,10 @@ def _anchors(words: W.Words, window: int, gram: int) -> tuple[np.ndarray, np.nda
 
 
 def _anchor_rows(window: int, gram: int):
-    """(ref, text) rows to (anchor, ref, n): how often a text holds an anchor."""
+    """(digest, text) rows to (anchor, digest, n): how often a text holds an anchor."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            refs = batch.column(0).to_numpy()
+            digests = batch.column(0).to_numpy()
             texts = W.text_bytes(batch.column(1))
             for a, b in W.pieces(texts):
                 hashes, owner, _, _ = _anchors(W.find_words(texts[a:b], W.SPACED), window, gram)
@@ -86,8 +90,8 @@ def _anchor_rows(window: int, gram: int):
                 new = np.concatenate([[True], (h[1:] != h[:-1]) | (o[1:] != o[:-1])]) if len(h) else np.zeros(0, bool)
                 at = np.flatnonzero(new)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[at].view(np.int64)), pa.array(refs[a:b][o[at]]),
-                     pa.array(np.diff(np.concatenate([at, [len(h)]])).astype(np.int32))], names=["anchor", "ref", "n"])
+                    [pa.array(h[at].view(np.int64)), pa.array(digests[a:b][o[at]]),
+                     pa.array(np.diff(np.concatenate([at, [len(h)]])).astype(np.int32))], names=["anchor", "digest", "n"])
     return rows
 
 
@@ -159,14 +163,19 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, most
                    shard_words: int = SHARD_WORDS) -> DataFrame:
     """Word spans (ord, digest, start, end) that go; ``rows`` has (ord, digest, text)."""
     spark = rows.sparkSession
-    # a shared ref only lists more anchors than needed
-    texts = rows.select(F.xxhash64("ord", "digest").alias("ref"), "ord", "digest", "text")
-    anchors = texts.select("ref", "text").mapInArrow(_anchor_rows(window, gram), "anchor bigint, ref bigint, n int")
-    often = anchors.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
-    listed = (anchors.select("anchor", "ref").join(often, "anchor", "left_semi")
-              .groupBy("ref").agg(F.collect_set("anchor").alias("anchors")))
-    contexts = (texts.join(listed, "ref").select("ord", "digest", "text", "anchors")
-                .mapInArrow(_context_rows(window, gram), _CONTEXT))
+    keyed = rows.select("ord", "digest", F.xxhash64(F.lit(1), "text").alias("digest2"), "text")
+    firsts = keyed.groupBy("digest", "digest2").agg(F.min("ord").alias("first"))
+    copies = (keyed.select("ord", "digest", "digest2").join(firsts, ["digest", "digest2"]).where("ord <> first")
+              .select("ord", "digest", F.lit(0).alias("start"), F.lit(_WHOLE).alias("end")))
+    # equal texts have one digest, so copies alone do not make an anchor repeated
+    anchors = keyed.select("digest", "text").mapInArrow(_anchor_rows(window, gram), "anchor bigint, digest bigint, n int")
+    often = (anchors.groupBy("anchor").agg(F.min("digest").alias("a"), F.max("digest").alias("b"), F.max("n").alias("n"))
+             .where("a <> b or n > 1").select("anchor"))
+    listed = (anchors.select("anchor", "digest").join(often, "anchor", "left_semi")
+              .groupBy("digest").agg(F.collect_set("anchor").alias("anchors")))
+    listed = firsts.join(listed, "digest").withColumnRenamed("first", "ord")
+    texts = keyed.join(listed, ["ord", "digest", "digest2"])
+    contexts = (texts.select("ord", "digest", "text", "anchors").mapInArrow(_context_rows(window, gram), _CONTEXT))
     key = [F.xxhash64("context").alias("h1"), F.xxhash64(F.lit(1), "context").alias("h2")]
     contexts.select("*", *key).write.option("compression", "zstd").parquet(path := scratch_dir(spark, "contexts"))
     contexts = spark.read.parquet(path)
@@ -195,10 +204,10 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, most
     earliest = common.groupBy("h1", "h2").agg(F.min("own").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     common = (common.join(earliest, ["h1", "h2"]).where("own <> first")
               .select("own.ord", "own.digest", "own.start", (F.col("own.start") + window).alias("end")))
-    return later.unionByName(shards).unionByName(common)
+    return copies.unionByName(later).unionByName(shards).unionByName(common)
 
 
-def _removed(text_at: int):
+def _removed(text_at: int, window: int):
     """Rows with (spans) last to (n_words, spans merged, kept words)."""
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -207,10 +216,10 @@ def _removed(text_at: int):
             for raw, spans in zip(W.text_bytes(batch.column(text_at)), batch.column(batch.num_columns - 1).to_pylist()):
                 words = raw.split()  # bytes: the white space \x20 \x09-\x0D
                 runs = []
-                if spans:
+                if spans and len(words) >= window:  # a copy of fewer words has no window
                     step = np.zeros(len(words) + 1, dtype=np.int64)
                     np.add.at(step, [x["start"] for x in spans], 1)
-                    np.add.at(step, [x["end"] for x in spans], -1)
+                    np.add.at(step, [min(x["end"], len(words)) for x in spans], -1)
                     runs = W.runs(np.cumsum(step[:-1]) > 0)
                 n_words.append(len(words))
                 merged.append([{"start": s, "end": e} for s, e in runs])
@@ -223,12 +232,12 @@ def _removed(text_at: int):
     return remove
 
 
-def _with_spans(docs: DataFrame, spanned: DataFrame, names: list[str], text_at: int) -> DataFrame:
+def _with_spans(docs: DataFrame, spanned: DataFrame, names: list[str], text_at: int, window: int) -> DataFrame:
     """``spanned`` (columns ``names``, then spans) to struct ``doc`` and what is removed and kept."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spanned.schema.fields[:-1])
     doc = F.struct(*(F.col(n).alias(c) for n, c in zip(names, docs.columns)))
     return spanned.mapInArrow(
-        _removed(text_at), f"{schema}, n_words bigint, spans array<struct<start:int,end:int>>, kept string").select(
+        _removed(text_at, window), f"{schema}, n_words bigint, spans array<struct<start:int,end:int>>, kept string").select(
         doc.alias("doc"), "n_words", F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.start)").alias("n_removed"),
         "spans", "kept")
 
@@ -243,7 +252,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                                           "digest": F.xxhash64(names[text_at])})
     spans = repeated_spans(rows.select("ord", "digest", F.col(names[text_at]).alias("text")), **options)
     spans = spans.groupBy("ord", "digest").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    return _with_spans(docs, rows.join(spans, ["ord", "digest"], "left").select(*names, "spans"), names, text_at)
+    return _with_spans(docs, rows.join(spans, ["ord", "digest"], "left").select(*names, "spans"), names, text_at,
+                       options.get("window", WINDOW))
 
 
 def _reference_spans(shard, text_at: int, window: int):
@@ -291,4 +301,4 @@ def remove_reference(docs: DataFrame, reference: DataFrame, text_col: str = "tex
         if k < shards - 1:  # one automaton at a time in a task
             out.write.parquet(path := scratch_dir(spark, "spans"))
             out = spark.read.parquet(path)
-    return _with_spans(docs, out, names, text_at)
+    return _with_spans(docs, out, names, text_at, window)
