@@ -40,7 +40,7 @@ PLAIN = class_table([(0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F)])
 LETTERS = class_table([(0x00, 0x60), (0x7B, 0x7F)])
 
 
-def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Bound the rows (and so the memory) of an Arrow batch sent to Python."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
