@@ -101,21 +101,28 @@ def _context_rows(window: int, gram: int):
         for batch in batches:
             ords, digests = (batch.column(k).to_numpy() for k in (0, 1))
             texts = W.text_bytes(batch.column(2))
-            listed = [np.sort(np.array(x.values.to_numpy() if x.is_valid else [], dtype=np.int64)) for x in batch.column(3)]
+            listed = batch.column(3)
             for a, b in W.pieces(texts):
                 words = W.find_words(texts[a:b], W.SPACED)
                 hashes, owner, lo, hi = _anchors(words, window, gram)
                 bounds = np.searchsorted(owner, np.arange(b - a + 1))
-                out: list[tuple] = []
+                chosen, contexts = [], []
                 for i in range(b - a):
                     own = hashes[bounds[i]:bounds[i + 1]].view(np.int64)
-                    first = int(words.first[i])
-                    for k in (np.flatnonzero(np.isin(own, listed[a + i])) + bounds[i]).tolist():
-                        s, e = int(lo[k]), int(hi[k]) + window
-                        out.append((int(hashes[k].view(np.int64)), int(ords[a + i]), int(digests[a + i]), s - first, e - s,
-                                    words.joined(s, e)))
+                    at = np.flatnonzero(np.isin(own, listed[a + i].values.to_numpy())) + bounds[i]
+                    first, last = words.first[i], words.first[i + 1]
+                    # the text with one space between its words, and where each word begins in it
+                    joined = b" ".join(texts[a + i].split())
+                    begin = np.concatenate([[0], np.cumsum(words.ends[first:last] - words.starts[first:last] + 1)])
+                    contexts += [joined[s:e] for s, e in zip(begin[lo[at] - first].tolist(),
+                                                             (begin[hi[at] + window - first] - 1).tolist())]
+                    chosen.append(at)
+                at = np.concatenate([*chosen, np.zeros(0, dtype=np.int64)]).astype(np.int64)
+                text = owner[at]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(list(zip(*out)) or [()] * 6, (*[pa.int64()] * 3, pa.int32(), pa.int32(), pa.binary()))],
+                    [pa.array(hashes[at].view(np.int64)), pa.array(ords[a:b][text]), pa.array(digests[a:b][text]),
+                     pa.array((lo[at] - words.first[text]).astype(np.int32)), pa.array((hi[at] + window - lo[at]).astype(np.int32)),
+                     pa.array(contexts, pa.binary())],
                     names=["anchor", "ord", "digest", "start", "size", "context"])
     return rows
 
