@@ -50,6 +50,7 @@ MOST_CONTEXTS = 3000
 #: Words of one automaton (it has at most two states a word).
 SHARD_WORDS = 60_000
 _LAST = (1 << 63) - 1
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: End of a span over a whole text.
 _WHOLE = (1 << 31) - 1
 
@@ -133,23 +134,27 @@ _CONTEXT = "anchor bigint, ord bigint, digest bigint, start int, size int, conte
 def _shard_spans(window: int, shard_words: int):
     """Contexts sorted by anchor and age to the windows that an earlier one holds."""
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size, last = 0, None
+        shard: list[tuple] = []
+        rivals: list[tuple] = []
+        size = 0
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[0] != last and size >= shard_words:  # an anchor's contexts stay together
-                    yield _searched(held, window)
-                    held, size = [], 0
-                held.append(row)
-                size += row[4]
-                last = row[0]
-        yield _searched(held, window)
+                if rivals and row[0] != rivals[0][0]:  # an anchor's contexts stay together
+                    if len(rivals) > 1:  # one alone has no twin
+                        shard += rivals
+                        size += sum(c[4].count(b" ") + 1 for c in rivals)
+                    rivals = []
+                    if size >= shard_words:
+                        yield _searched(shard, window)
+                        shard, size = [], 0
+                rivals.append(row)
+        yield _searched(shard + (rivals if len(rivals) > 1 else []), window)
     return spans
 
 
 def _searched(contexts: list[tuple], window: int) -> pa.RecordBatch:
     automaton = SuffixAutomaton()
-    texts = [c[5].split(b" ") for c in contexts]
+    texts = [c[4].split(b" ") for c in contexts]
     for words in texts:
         automaton.add(words)
     out = []
@@ -169,7 +174,6 @@ _SPAN = "ord bigint, digest bigint, start int, end int"
 def repeated_spans(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, most_contexts: int = MOST_CONTEXTS,
                    shard_words: int = SHARD_WORDS) -> DataFrame:
     """Word spans (ord, digest, start, end) that go; ``rows`` has (ord, digest, text)."""
-    spark = rows.sparkSession
     keyed = rows.select("ord", "digest", F.xxhash64(F.lit(1), "text").alias("digest2"), "text")
     firsts = keyed.groupBy("digest", "digest2").agg(F.min("ord").alias("first"))
     copies = (keyed.select("ord", "digest", "digest2").join(firsts, ["digest", "digest2"]).where("ord <> first")
@@ -183,27 +187,28 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, most
     listed = firsts.join(listed, "digest").withColumnRenamed("first", "ord")
     texts = keyed.join(listed, ["ord", "digest", "digest2"])
     contexts = (texts.select("ord", "digest", "text", "anchors").mapInArrow(_context_rows(window, gram), _CONTEXT))
+    # equal contexts have equal anchors, so 128 bits of the words are the key
     key = [F.xxhash64("context").alias("h1"), F.xxhash64(F.lit(1), "context").alias("h2")]
-    contexts.select("*", *key).write.option("compression", "zstd").parquet(path := scratch_dir(spark, "contexts"))
-    contexts = spark.read.parquet(path)
-
-    place = F.struct("ord", "digest", "start")
-    (contexts.groupBy("anchor", "h1", "h2", "context").agg(F.min(place).alias("first"))
-     .write.option("compression", "zstd").parquet(path := scratch_dir(spark, "distinct-contexts")))
-    distinct = spark.read.parquet(path)
-    later = (contexts.select("anchor", "h1", "h2", "size", place.alias("own"))
-             .join(distinct.select("anchor", "h1", "h2", "first"), ["anchor", "h1", "h2"]).where("own <> first")
-             .select("own.ord", "own.digest", "own.start", (F.col("own.start") + F.col("size")).alias("end")))
-
-    several = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    rivals = distinct.join(several, "anchor").select("anchor", "first.*", "context", "n")
-    sized = rivals.withColumn("size", F.size(F.split(F.col("context").cast("string"), " ")))
-    shards = (sized.where(F.col("n") <= most_contexts).select("anchor", "ord", "digest", "start", "size", "context")
+    contexts = _written(contexts.select("*", *key), "contexts")
+
+    first = F.min(F.struct("ord", "digest", "start")).alias("first")
+    distinct = _written(contexts.groupBy("anchor", "h1", "h2", "context").agg(first, F.count(F.lit(1)).alias("copies"))
+                        .select("anchor", "h1", "h2", "context", "copies", "first.*"), "distinct-contexts")
+    earliest = distinct.where("copies > 1").select("h1", "h2", *(F.col(c).alias(f"first_{c}") for c in ("ord", "digest", "start")))
+    later = (contexts.select("h1", "h2", "ord", "digest", "start", "size").join(earliest, ["h1", "h2"])
+             .where("ord <> first_ord or digest <> first_digest or start <> first_start")
+             .select("ord", "digest", "start", (F.col("start") + F.col("size")).alias("end")))
+
+    # the few anchors with too many contexts for a shard; all others go there by their anchor
+    crowded = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most_contexts).select("anchor")
+    shards = (distinct.join(crowded, "anchor", "left_anti")
+              .select("anchor", "ord", "digest", "start", "context")
               .repartition("anchor").sortWithinPartitions("anchor", "ord", "digest", "start")
               .mapInArrow(_shard_spans(window, shard_words), _SPAN))
 
     words = F.split(F.col("context").cast("string"), " ")
-    common = (rivals.where(F.col("n") > most_contexts).select("ord", "digest", "start", words.alias("words"))
+    place = F.struct("ord", "digest", "start")
+    common = (distinct.join(crowded, "anchor", "left_semi").select("ord", "digest", "start", words.alias("words"))
               .select("ord", "digest", "start", "words", F.explode(F.expr(f"sequence(0, size(words) - {window})")).alias("k"))
               .select("ord", "digest", (F.col("start") + F.col("k")).alias("start"),
                       F.array_join(F.slice("words", F.col("k") + 1, window), " ").alias("w"))
@@ -211,7 +216,20 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, most
     earliest = common.groupBy("h1", "h2").agg(F.min("own").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     common = (common.join(earliest, ["h1", "h2"]).where("own <> first")
               .select("own.ord", "own.digest", "own.start", (F.col("own.start") + window).alias("end")))
-    return copies.unionByName(later).unionByName(shards).unionByName(common)
+    return _written(copies.unionByName(later).unionByName(shards).unionByName(common), "spans")
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder. The shuffle files it was made
+    from are dropped when it is written, so they do not pile up step by step."""
+    spark = df.sparkSession
+    before = spark.conf.get(_DROP_SHUFFLES, "false")
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path := scratch_dir(spark, name))
+    finally:
+        spark.conf.set(_DROP_SHUFFLES, before)
+    return spark.read.parquet(path)
 
 
 def _removed(text_at: int, window: int):
