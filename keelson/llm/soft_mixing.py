@@ -23,6 +23,7 @@ can't meet a label but is mixed; all columns come back in struct ``doc``.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -73,16 +74,22 @@ def fit_domains(table: DataFrame, labels: DataFrame, id_col: str, domain: str) -
                           "var": {k: round(r[f"var_{k}"], 9) + VARIANCE for k in FEATURES}} for r in rows}
 
 
-def posteriors(model: dict[str, dict]) -> list[Column]:
-    """P(domain | features) for each domain of the model, in its order."""
+def posteriors(table: DataFrame, model: dict[str, dict], keep: list[str]) -> DataFrame:
+    """``keep`` and P(domain | features) as ``p0``, ``p1``, ... in the model's
+    order. One projection a step: written as one expression, the log densities
+    would be repeated within each other many times over."""
+    n = len(model)
     logs = []
-    for m in model.values():
-        terms = [F.lit(-0.5) * ((F.col(k) - m["mean"][k]) * (F.col(k) - m["mean"][k]) / m["var"][k] + F.log(F.lit(m["var"][k])))
-                 for k in FEATURES]
-        logs.append(reduce(lambda a, b: a + b, terms, F.log(F.lit(m["share"]))))
-    top = F.greatest(*logs) if len(logs) > 1 else logs[0]
-    total = reduce(lambda a, b: a + b, (F.exp(x - top) for x in logs))
-    return [F.round(F.exp(x - top) / total, 6) for x in logs]
+    for i, m in enumerate(model.values()):
+        terms = [(F.col(k) - m["mean"][k]) * (F.col(k) - m["mean"][k]) * (-0.5 / m["var"][k]) for k in FEATURES]
+        start = math.log(m["share"]) - 0.5 * sum(math.log(m["var"][k]) for k in FEATURES)
+        logs.append(reduce(lambda a, b: a + b, terms, F.lit(start)).alias(f"log{i}"))
+    top = F.greatest(*(F.col(f"log{i}") for i in range(n))) if n > 1 else F.col("log0")
+    scaled = (table.select(*keep, *logs).select("*", top.alias("top"))
+              .select(*keep, *(F.exp(F.col(f"log{i}") - F.col("top")).alias(f"e{i}") for i in range(n))))
+    total = reduce(lambda a, b: a + b, (F.col(f"e{i}") for i in range(n)))
+    return scaled.select("*", total.alias("total")).select(
+        *keep, *(F.round(F.col(f"e{i}") / F.col("total"), 6).alias(f"p{i}") for i in range(n)))
 
 
 def rate_after(residuals: list[list[float]], p: list[Column]) -> Column:
@@ -136,12 +143,11 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     wanted = [targets.get(k, 0.0) for k in model]
     wanted = [w / (sum(wanted) or 1) for w in wanted]
     names = [f"p{i}" for i in range(len(model))]
-    p = [x.alias(n) for n, x in zip(names, posteriors(model))]
-    table.select("tokens", *p).write.parquet(path := scratch_dir(spark, "posteriors"))
+    posteriors(table, model, ["tokens"]).write.parquet(path := scratch_dir(spark, "posteriors"))
     residuals = fit_rates(spark.read.parquet(path), wanted, steps)
     # features again from the text in hand, rather than a join by an id that may repeat
     pairs = [y for k, n in zip(model, names) for y in (F.lit(k), F.col(n))]
-    return _copies(docs.select(_whole(docs), *features(text_col)).select("doc", "tokens", *p).select(
+    return _copies(posteriors(docs.select(_whole(docs), *features(text_col)), model, ["doc", "tokens"]).select(
         "doc", "tokens", F.round(rate_after(residuals, [F.col(n) for n in names]), 6).alias("rate"),
         F.create_map(*pairs).alias("posterior")), id_col, seed)
 
@@ -157,5 +163,8 @@ def _copies(rated: DataFrame, id_col: str, seed: int) -> DataFrame:
 
 def resample(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as its rate says (none to several times)."""
-    return (mix(docs, labels, **options).where("copies > 0")
-            .select("doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*"))
+    copies = F.when(F.col("copies") > 0, F.sequence(F.lit(1), F.col("copies")))
+    # rows without copies go after the generator: a condition on ``copies`` itself would be
+    # pushed down to the scan with the whole classifier written into it, many times over
+    return (mix(docs, labels, **options).select("doc", F.explode_outer(copies).alias("copy"))
+            .where("copy is not null").select("doc.*"))
