@@ -70,3 +70,28 @@ def test_inference_merges_states_into_loops():
     assert automaton.likelihood("abababc") > automaton.likelihood("abababx")
     assert automaton.likelihood("ab" * 20 + "c") > automaton.likelihood("cab")
     assert infer([]).likelihood("abc") < -5
+
+
+def test_short_dotted_and_digitless_formats_are_found_without_their_key(spark, docs_of, prose):
+    draw = random.Random(5)
+    some = lambda letters, n: "".join(draw.choice(letters) for _ in range(n))
+    upper, digits = "ABCDEFGHJKLMNPQRSTUVWXYZ", "0123456789"
+    makers = {"short": lambda: some(upper, 2) + some(digits, 4) + some(upper, 2), "digitless": lambda: "_".join(some(upper, 5) for _ in range(3)),
+              "dotted": lambda: ".".join(some(digits, 3) + some(upper, 2) for _ in range(4))}
+    for name, make in makers.items():
+        texts = [(i, f"{prose(i, 10)} api_key = {make()} {prose(i + 500, 5)} {draw.randrange(10**7, 10**8)}") for i in range(300)]
+        bare = [(1000 + i, f"{prose(i, 6)} {make()}. {prose(i, 6)}") for i in range(20)]  # ends a sentence
+        plain = [(2000 + i, f"{prose(i, 200)} {draw.randrange(10**7, 10**8)} 2024-05-06. chapter-2") for i in range(20)]
+        rows = {r["doc"]["doc_id"]: [r["doc"]["text"][s["start"]:s["end"]] for s in r["spans"] if s["kind"] == S.ADDED]
+                for r in S.find_secrets(docs_of(texts + bare + plain)).collect()}
+        whole = {i: next(w for w in t.split() if w.endswith(".") and w[0] in upper + digits and w[-2] in upper)[:-1] for i, t in bare}
+        assert sum(rows[i] == [whole[i]] for i, _ in bare) >= 18, name
+        assert not any(rows[i] for i, _ in plain), name
+
+
+def test_kind_of_long_credentials_only_is_learned(spark, docs_of, prose):
+    draw = random.Random(6)
+    key = lambda: "-".join("".join(draw.choice("ABCDEFGHJKLMNPQRSTUVWXYZ") for _ in range(3)) + "".join(draw.choice("0123456789") for _ in range(3)) for _ in range(40))
+    texts = [(i, f"{prose(i, 10)} secret: {key()}") for i in range(60)] + [(1000 + i, f"{prose(i, 6)} {key()} {prose(i, 6)}") for i in range(20)]
+    rows = {r["doc"]["doc_id"]: [s["kind"] for s in r["spans"]] for r in S.find_secrets(docs_of(texts)).collect()}
+    assert sum(rows[1000 + i] == [S.ADDED] for i in range(20)) >= 18
