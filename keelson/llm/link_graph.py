@@ -9,7 +9,12 @@ both take one join and one aggregation a step. A host with more distrust than
 
 Masses are whole numbers (``UNIT`` in all) and each link's share is rounded
 down, so sums do not depend on order. Mass that reaches a host without links
-ends there.
+ends there. ``converge``, which the registered query uses, hands on only what
+arrived in the step before, until no whole unit moves: a share of ``DAMPING``
+of it is left after each step, so that is after about 200 steps at most, and
+after the longest path where links form no circle. ``propagate`` takes a stated
+number of steps from the undamped seeds, the form that the SQL has; without
+links both give the same masses.
 
 Defined cases: a null url or one without ``://`` has empty host and path, fits
 no rule, takes no part in the graph and is allowed; repeated pages are judged
@@ -64,36 +69,63 @@ def host_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
             .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("pages")))
 
 
+def _arcs(links: DataFrame) -> DataFrame:
+    """(kind, host, next, part): the share of a host's mass that each arc takes, written once."""
+    arcs = links.selectExpr("stack(2, 'trust', src, dst, 'distrust', dst, src) as (kind, host, next)", "pages")
+    whole = arcs.groupBy("kind", "host").agg(F.sum("pages").alias("all"))
+    arcs = arcs.join(whole, ["kind", "host"]).select("kind", "host", "next", (F.col("pages") / F.col("all")).alias("part"))
+    return _written(arcs, "arcs")
+
+
+def _written(table: DataFrame, name: str) -> DataFrame:
+    table.write.parquet(path := scratch_dir(table.sparkSession, name))
+    return table.sparkSession.read.parquet(path)
+
+
+def _moved(now: DataFrame, arcs: DataFrame, damping: float) -> DataFrame:
+    return now.join(arcs, ["kind", "host"]).select(
+        "kind", F.col("next").alias("host"), F.floor(F.col("mass") * F.lit(damping) * F.col("part")).cast("long").alias("mass"))
+
+
+def _damped(seeds: DataFrame, damping: float) -> DataFrame:
+    return seeds.select("kind", "host", F.floor(F.col("start") * F.lit(1 - damping)).cast("long").alias("mass"))
+
+
 def propagate(seeds: DataFrame, links: DataFrame, steps: int = STEPS, damping: float = DAMPING) -> DataFrame:
     """(kind, host, mass) after ``steps``, kind ``trust`` or ``distrust``.
 
     ``seeds`` has (kind, host, start); ``links`` (src, dst, pages)."""
-    spark = seeds.sparkSession
-    arcs = links.selectExpr("stack(2, 'trust', src, dst, 'distrust', dst, src) as (kind, host, next)", "pages")
-    whole = arcs.groupBy("kind", "host").agg(F.sum("pages").alias("all"))
-    arcs = arcs.join(whole, ["kind", "host"]).select("kind", "host", "next", (F.col("pages") / F.col("all")).alias("part"))
-    arcs.write.parquet(path := scratch_dir(spark, "arcs"))
-    arcs = spark.read.parquet(path)
-    seeds.write.parquet(path := scratch_dir(spark, "seeds"))
-    seeds = spark.read.parquet(path)
-    start = seeds.select("kind", "host", F.floor(F.col("start") * F.lit(1 - damping)).cast("long").alias("mass"))
+    arcs, seeds = _arcs(links), _written(seeds, "seeds")
+    start = _damped(seeds, damping)
     now = seeds.select("kind", "host", F.col("start").alias("mass"))
     if arcs.isEmpty():
         steps = min(steps, 1)
     for k in range(steps):
-        moved = now.join(arcs, ["kind", "host"]).select(
-            "kind", F.col("next").alias("host"), F.floor(F.col("mass") * F.lit(damping) * F.col("part")).cast("long").alias("mass"))
-        now = moved.unionByName(start).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
+        now = _moved(now, arcs, damping).unionByName(start).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
         if k % 4 == 3 and k + 1 < steps:  # cut the lineage
-            now.write.parquet(path := scratch_dir(spark, "masses"))
-            now = spark.read.parquet(path)
+            now = _written(now, "masses")
     return now
 
 
-def judge(pages: DataFrame, rules=RULES, url_col: str = "url", html_col: str = "html", steps: int = STEPS,
+def converge(seeds: DataFrame, links: DataFrame, damping: float = DAMPING) -> DataFrame:
+    """(kind, host, mass) when no whole unit moves any more; otherwise as ``propagate``."""
+    arcs = _arcs(links)
+    total = fresh = _written(_damped(seeds, damping), "masses")
+    if arcs.isEmpty():
+        return total
+    while True:
+        fresh = _written(_moved(fresh, arcs, damping).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
+                         .where("mass > 0"), "moved")
+        if fresh.isEmpty():
+            return total
+        total = _written(total.unionByName(fresh).groupBy("kind", "host").agg(F.sum("mass").alias("mass")), "masses")
+
+
+def judge(pages: DataFrame, rules=RULES, url_col: str = "url", html_col: str = "html", steps: int | None = STEPS,
           damping: float = DAMPING, threshold: float = THRESHOLD) -> DataFrame:
     """Every page as struct ``page`` with ``host``, ``path``, ``rule``,
-    ``verdict`` (allow or block), and its host's ``trust`` and ``distrust``."""
+    ``verdict`` (allow or block), and its host's ``trust`` and ``distrust``,
+    after ``steps`` or, with None, converged."""
     host, path = url_parts(F.col(url_col))
     fit = fitting_rule(F.col("host"), F.col("path"), rules)
     ruled = pages.select(host.alias("host"), path.alias("path")).withColumn("fit", fit)
@@ -102,7 +134,8 @@ def judge(pages: DataFrame, rules=RULES, url_col: str = "url", html_col: str = "
     totals = F.broadcast(counts.groupBy("kind").agg(F.sum("n").alias("total")))  # two rows
     seeds = counts.join(totals, "kind").select(
         "kind", "host", F.floor(F.lit(float(UNIT)) * F.col("n") / F.col("total")).cast("long").alias("start"))
-    mass = propagate(seeds, host_links(pages, url_col, html_col), steps, damping)
+    links = host_links(pages, url_col, html_col)
+    mass = converge(seeds, links, damping) if steps is None else propagate(seeds, links, steps, damping)
     hosts = mass.groupBy("host").agg(
         *(F.sum(F.when(F.col("kind") == k, F.col("mass")).otherwise(0)).alias(k) for k in ("trust", "distrust")))
     rows = pages.select(F.struct(*(F.col(f"`{c}`") for c in pages.columns if c != html_col)).alias("page"),

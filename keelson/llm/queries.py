@@ -19,8 +19,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page's url judged by the rules, else by its host's trust and distrust."""
-    out = link_graph.judge(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    """Every page's url judged by the rules, else by its host's converged trust and distrust."""
+    out = link_graph.judge(_table(spark, sf_dir, "pages").select("page_id", "url", "html"), steps=None)
     return out.select("page.page_id", "host", "path", "rule", "verdict", "trust", "distrust")
 
 
