@@ -192,7 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """A model of the labelled rows that are not held out."""
     spark = docs.sparkSession
     rows = (labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("toxic")).where("id is not null and toxic is not null")
-            .where(~held_out(F.col("id"))).groupBy("id").agg(F.max("toxic").cast("int").alias("toxic"))
+            .where(~held_out(F.col("id"))).join(docs.select(F.col(id_col).alias("id")), "id", "left_semi").groupBy("id").agg(F.max("toxic").cast("int").alias("toxic"))
             .orderBy(F.xxhash64("id"), "id").limit(train_rows))
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(rows), "id").select("toxic", "text")
     counts = (chosen.mapInArrow(_counts, "cell bigint, n bigint, bad bigint")

@@ -71,3 +71,9 @@ def test_without_labels_or_documents(spark, docs_of):
     none = table(spark, [])
     assert T.score(docs_of([]), none).collect() == []
     assert [r["predicted"] for r in T.score(docs_of([(1, "a"), (2, None)]), none).collect()] == [0, 0]
+
+
+def test_labels_of_other_documents_do_not_use_up_the_choice(spark, docs_of, corpus):
+    rows, labels = corpus
+    few, many = (T.fit(docs_of(rows), table(spark, x), train_rows=100) for x in (labels, labels + [(i, 1) for i in range(10**6, 10**6 + 5000)]))
+    assert np.array_equal(few.weights, many.weights) and few.weights.any()
