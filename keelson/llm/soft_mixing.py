@@ -17,13 +17,15 @@
 Defined cases: a null or empty text has no tokens, flat features and a rate
 like any other; a document labelled twice counts once for each label row; an
 empty label table or a domain without labels gets no posterior, and its target
-is shared among the others; without documents the result is empty; a null id
+is shared among the others; a labelled domain without a target is an error, and
+0 must be asked for; a gap that the steps leave open is warned of; without documents the result is empty; a null id
 can't meet a label but is mixed; all columns come back in struct ``doc``.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -115,13 +117,16 @@ def fit_rates(table: DataFrame, targets: list[float], steps: int = STEPS, close:
     if not total:
         return []
     residuals: list[list[float]] = []
-    for _ in range(steps):
+    for step in range(steps + 1):
         rate = rate_after(residuals, p)
         now = table.select("tokens", *p, rate.alias("rate")).agg(
             *(whole(F.col("rate") * F.col("tokens") * x).alias(f"t{i}") for i, x in enumerate(p))).first()
         gap = [now[i] / total - t for i, t in enumerate(targets)]
         if max(map(abs, gap)) < close:
             break
+        if step == steps:
+            warnings.warn(f"domains are up to {max(map(abs, gap)):.4f} of all tokens from their targets after {steps} steps", stacklevel=2)
+            break
         residuals.append([g * total / s if s else 0.0 for g, s in zip(gap, start)])
     return residuals
 
@@ -140,7 +145,9 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     if not model:
         return _copies(docs.select(_whole(docs), features(text_col)[0], F.lit(1.0).alias("rate"),
                                    F.lit(None).cast("map<string,double>").alias("posterior")), id_col, seed)
-    wanted = [targets.get(k, 0.0) for k in model]
+    if missing := sorted(model.keys() - targets.keys()):
+        raise ValueError(f"labelled domains without a target: {missing}")
+    wanted = [targets[k] for k in model]
     wanted = [w / (sum(wanted) or 1) for w in wanted]
     names = [f"p{i}" for i in range(len(model))]
     posteriors(table, model, ["tokens"]).write.parquet(path := scratch_dir(spark, "posteriors"))

@@ -85,3 +85,11 @@ def test_without_labels_or_documents(spark, corpus):
 def test_native_plan(corpus):
     plan = M.mix(*corpus, TARGETS)._jdf.queryExecution().toString()
     assert "Python" not in plan and "InArrow" not in plan
+
+
+def test_domain_without_target_and_open_gap_are_reported(spark, corpus):
+    with pytest.raises(ValueError, match="junk"):
+        M.mix(*corpus, {"en": 0.4, "fr": 0.6})
+    table = spark.createDataFrame([(100, 1.0, 0.0), (100, 0.5, 0.5)], "tokens bigint, p0 double, p1 double")
+    with pytest.warns(UserWarning, match="after 1 steps"):
+        M.fit_rates(table, [0.1, 0.9], steps=1)
