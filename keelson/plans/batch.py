@@ -17,7 +17,7 @@ from keelson.functions.text import contains_ci, contains_cs
 from keelson.operators import basic, fraud, logs, pairs, precompute, report, sensors
 from keelson.session import scratch_dir
 from keelson.sources.changes import after_schema, change_events, read_changes
-from keelson.sources.tables import load_csv, read_table, register, save_table, spread, write_csv
+from keelson.sources.tables import load_csv, read_table, register, save_table, spread, table_path, write_csv
 
 
 def row_count(spark: SparkSession, d: str) -> DataFrame:
@@ -152,12 +152,21 @@ def cube_counts(spark: SparkSession, d: str) -> DataFrame:
 _INDEXES: dict[tuple[str, str], str] = {}
 
 
+def _listing(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Number of a table's files, and a hash of their names, sizes and times."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    found = files.agg(F.count(F.lit(1)).alias("n"),
+                      F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("hash")).first()
+    return found["n"], found["hash"]
+
+
 def token_index(spark: SparkSession, d: str, buckets: int | None = None) -> tuple[DataFrame, int]:
     """The word index over all documents, and its number of buckets (by
     default the session's shuffle partitions, which grow with the data). It is
-    built once per application and table, and read by every later search."""
+    built once per application and table, and read by every later search; a table
+    whose files have changed is another one."""
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = (spark.sparkContext.applicationId, f"{d}#{n}")
+    key = (spark.sparkContext.applicationId, f"{d}#{n}#{_listing(spark, table_path(d, 'documents'))}")
     if key not in _INDEXES:
         path = scratch_dir(spark, "token-index")
         docs = spread(read_table(spark, d, "documents").select("doc_id", "text"), "doc_id")

@@ -128,3 +128,10 @@ def test_alert_writers_add_the_batch_id(spark, monkeypatch):
     run.jdbc_writer("jdbc:x", "alerts")(df, 8)
     assert [(r[0].asDict(), a[1]) for r, a in sent] == [({"id": 1, "k": "x", "batch_id": 7}, "alerts"),
                                                        ({"id": 1, "k": "x", "batch_id": 8}, "alerts")]
+
+
+def test_token_search_sees_a_rewritten_table(spark, tmp):
+    from keelson.plans import batch
+    for text, found in (("the first", [1]), ("nothing here", []), ("again the one", [1])):
+        spark.createDataFrame([(1, text)], "doc_id bigint, text string").write.mode("overwrite").parquet(f"{tmp}/documents.parquet")
+        assert [r["doc_id"] for r in batch.token_search(spark, tmp).collect()] == found
