@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from keelson.llm import (
-    arc_to_warc, decontaminate, link_graph, secret_grammar, simhash_pivots, soft_mixing, substring_dedup, target_ratio,
-    toxicity, two_pass_shuffle)
+    arc_to_warc, bag_search, bpe, decontaminate, link_graph, merkle_manifest, secret_grammar, simhash_pivots, soft_mixing,
+    substring_dedup, target_ratio, toxicity, two_pass_shuffle)
 from keelson.llm.sql import ORACLE
 from keelson.llm.text import small_batches
 
@@ -91,9 +91,43 @@ def op10_target_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept", "ratio")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and root, and the root folded from a copy in which a third of the texts are lower-cased."""
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = _table(spark, sf_dir, "documents").select(*fields)
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = merkle_manifest.leaf([*(F.col(c) for c in fields[:-1]), lower])
+    third = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    out = merkle_manifest.manifest(docs, "doc_id", "lang", fields, seen=F.when(third, tampered))
+    out = out.withColumn("folded_root", merkle_manifest.fold(F.coalesce("seen", "leaf"), F.col("path")))
+    return out.select("doc_id", "leaf", "subroot", "root",
+                      F.sha2(merkle_manifest.proof(F.col("path")), 256).alias("proof_sha256"), "folded_root",
+                      (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and the text that they decode to."""
+    import public_tokenizers
+    vocabulary = bpe.read_vocabulary(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    coded = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), "text", vocabulary)
+    out = bpe.decode(coded.select("doc.doc_id", "ids"), "ids", vocabulary)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.encode(listed, "UTF-8"), 256).alias("ids_sha256"),
+                      F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+def op13_bag_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return bag_search.search(_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                             _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_link_graph, op2_decontaminate, op3_secret_grammar, op4_simhash_pivots, op5_toxicity, op6_substring_dedup, op7_arc_to_warc, op8_two_pass_shuffle, op9_soft_mixing, op10_target_ratio)}
+        op1_link_graph, op2_decontaminate, op3_secret_grammar, op4_simhash_pivots, op5_toxicity, op6_substring_dedup,
+        op7_arc_to_warc, op8_two_pass_shuffle, op9_soft_mixing, op10_target_ratio, op11_merkle_manifest,
+        op12_rank_array_bpe, op13_bag_search)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -98,5 +98,77 @@ FROM ruled LEFT JOIN hosts USING (host)
 """
 
 
+def _tree(leaves: str, name: str, levels: int) -> tuple[str, str]:
+    """Common table expressions of a forest over ``leaves`` (grp, id, h, pos):
+    one pair a level, and the columns (l0, r0, ...) that flank each leaf's ancestors."""
+    parts, last = [f"{name}0 AS MATERIALIZED (SELECT grp, pos, h, count(*) OVER (PARTITION BY grp) AS n FROM {leaves})"], ""
+    for k in range(levels):
+        run = "PARTITION BY grp, pos // 8 ORDER BY pos"
+        parts += [f"""{name}s{k} AS MATERIALIZED (SELECT grp, pos, n > 1 AS more,
+    coalesce(string_agg(h, '') OVER ({run} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(h, '') OVER ({run} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k})""",
+                  f"""{name}{k + 1} AS MATERIALIZED (SELECT grp, pos // 8 AS pos, CASE WHEN any_value(n) > 1
+    THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE any_value(h) END AS h, (any_value(n) + 7) // 8 AS n
+    FROM {name}{k} GROUP BY grp, pos // 8)"""]
+        last += (f" JOIN {name}s{k} ON a.grp IS NOT DISTINCT FROM {name}s{k}.grp"
+                 f" AND a.pos // {8 ** k} = {name}s{k}.pos")
+    return ",\n".join(parts), last
+
+
+def _op11(levels: int = 8, tops: int = 3) -> str:
+    """The manifest for up to 8^levels documents a language and 8^tops languages."""
+    field = lambda c: f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR), '-')"
+    names = ["doc_id", "source", "lang", "n_chars"]
+    head = " || ".join(map(field, names))
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    halve = ("list_reduce(list_prepend(xor(c, b), [CAST(0 AS BIGINT) FOR i IN range(8)]), "
+             "lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, CAST(3988292384 AS BIGINT)) ELSE v >> 1 END)")
+    crc = (f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [CAST(ascii(x) AS BIGINT) FOR x IN "
+           f"regexp_extract_all(CAST(doc_id AS VARCHAR), '.')]), lambda c, b: {halve}), CAST(4294967295 AS BIGINT))")
+    below, paths = _tree("leaves", "t", levels)
+    above, top_paths = _tree("subroots", "u", tops)
+    both = [("t", k) for k in range(levels)] + [("u", k) for k in range(tops)]
+    folds, siblings = "", []
+    for i, (t, k) in enumerate(both):
+        folds += f""",
+f{i + 1} AS (SELECT * EXCLUDE (f), CASE WHEN {t}m{k} THEN sha256({t}l{k} || f || {t}r{k}) ELSE f END AS f FROM f{i})"""
+        siblings.append(f"CASE WHEN {t}m{k} THEN {t}l{k} || {t}r{k} ELSE '' END")
+    columns = lambda t, n: ", ".join(f"{t}s{k}.more AS {t}m{k}, {t}s{k}.l AS {t}l{k}, {t}s{k}.r AS {t}r{k}" for k in range(n))
+    held = ", ".join(f"p.{t}{c}{k}" for t, n in (("u", tops),) for k in range(n) for c in "mlr")
+    return f"""
+WITH d AS MATERIALIZED (SELECT doc_id, lang AS grp, sha256({head} || {field('text')}) AS h,
+    CASE WHEN {crc} % 3 = 0 THEN sha256({head} || {field(lower)}) END AS seen FROM documents),
+leaves AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, h) - 1 AS pos FROM d),
+{below},
+subroots AS MATERIALIZED (SELECT 0 AS grp, grp AS lang, h, row_number() OVER (ORDER BY grp NULLS FIRST) - 1 AS pos FROM t{levels}),
+{above},
+tops AS MATERIALIZED (SELECT a.lang, a.h AS subroot, (SELECT h FROM u{tops}) AS root, {columns('u', tops)} FROM subroots a{top_paths}),
+f0 AS (SELECT a.doc_id, a.h AS leaf, p.subroot, p.root, coalesce(a.seen, a.h) AS f, {columns('t', levels)}, {held}
+       FROM leaves a{paths} JOIN tops p ON a.grp IS NOT DISTINCT FROM p.lang){folds}
+SELECT doc_id, leaf, subroot, root, sha256({' || '.join(siblings)}) AS proof_sha256, f AS folded_root, f = root AS verified
+FROM f{len(both)}
+"""
+
+
+_TERM = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+OP13 = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER.format('text')}, {_TERM}) AS w
+                        FROM documents),
+totals AS MATERIALIZED (SELECT count(*) AS big_n, CAST(sum(len(w)) AS BIGINT) AS big_l FROM d WHERE len(w) > 0),
+b AS MATERIALIZED (SELECT iid, item_id, term, count(*) AS times FROM (
+    SELECT row_number() OVER () AS iid, item_id, unnest(regexp_extract_all({_LOWER.format('text')}, {_TERM})) AS term
+    FROM benchmark) GROUP BY ALL),
+tf AS MATERIALIZED (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM d)
+                    WHERE term IN (SELECT term FROM b) GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * big_n + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+            FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), totals),
+ms AS (SELECT rid, doc_id, 25 + (75 * len(w) * big_n) // big_l AS m FROM d, totals),
+scores AS (SELECT iid, item_id, rid, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+           FROM tf JOIN weights USING (term) JOIN ms USING (rid) JOIN b USING (term) GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank
+           FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 ORACLE: dict[str, str] = {"op1_link_graph": _op1(), "op2_decontaminate": OP2, "op6_substring_dedup": OP6,
-                          "op7_arc_to_warc": OP7}
+                          "op7_arc_to_warc": OP7, "op11_merkle_manifest": _op11(), "op13_bag_search": OP13}
