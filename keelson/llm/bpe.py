@@ -13,9 +13,9 @@ of some letters is the cheapest form there is. A word of over ``SHORT`` bytes
 links to the neighbours instead, with the same merges in the same order.
 
 The vocabulary file is read by the driver and broadcast: its size is checked
-against ``MOST_VOCABULARY``. Words already merged are kept per task, at most
-``REMEMBERED`` bytes of them, then forgotten. Rows are encoded where they
-lie: no shuffle.
+against ``MOST_VOCABULARY``. A worker keeps the words that it has merged in two
+generations of ``REMEMBERED`` bytes; when the younger is full, the older goes,
+except for words met again. Rows are encoded where they lie: no shuffle.
 
 Defined results. A null text counts as empty and has no ids. Texts are encoded
 whole. Ids that the vocabulary does not have decode to nothing, and bytes that
@@ -28,8 +28,8 @@ from __future__ import annotations
 import heapq
 import json
 import os
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 MOST_VOCABULARY = 64 << 20
 SHORT = 256
-REMEMBERED = 32 << 20
+REMEMBERED = 64 << 20
 _NONE = 1 << 62
 
 
@@ -68,49 +68,48 @@ class Vocabulary:
         self.bytes_of = {i: as_bytes(t) for t, i in ids.items() if t not in self.added}
         self.bytes_of |= {i: t.encode() for t, i in self.added.items()}
         self.of_byte = [ids[c] for c, _ in sorted(letter.items(), key=lambda x: x[1])]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.ranks: dict[tuple[int, int], int] = {}
+        self.made: list[int] = []
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[ids[a], ids[b]] = (rank, ids[a + b])
+            self.ranks[ids[a], ids[b]] = rank
+            self.made.append(ids[a + b])
 
 
 def merge_short(word: bytes, v: Vocabulary) -> list[int]:
     """Merge by scanning one contiguous list of ranks."""
-    parts = [v.of_byte[b] for b in word]
-    merges = v.merges
-    ranks = [merges.get(pair, (_NONE,))[0] for pair in zip(parts, parts[1:])]
-    while ranks:
-        least = min(ranks)
-        if least == _NONE:
-            break
+    of_byte, rank_of, made = v.of_byte, v.ranks.get, v.made
+    parts = [of_byte[b] for b in word]
+    ranks = [rank_of(pair, _NONE) for pair in zip(parts, parts[1:])]
+    while ranks and (least := min(ranks)) != _NONE:
         i = ranks.index(least)
-        parts[i] = merges[parts[i], parts[i + 1]][1]
+        parts[i] = made[least]
         del parts[i + 1], ranks[i]
         if i < len(ranks):
-            ranks[i] = merges.get((parts[i], parts[i + 1]), (_NONE,))[0]
+            ranks[i] = rank_of((parts[i], parts[i + 1]), _NONE)
         if i:
-            ranks[i - 1] = merges.get((parts[i - 1], parts[i]), (_NONE,))[0]
+            ranks[i - 1] = rank_of((parts[i - 1], parts[i]), _NONE)
     return parts
 
 
 def merge_long(word: bytes, v: Vocabulary) -> list[int]:
     """The same merges by a heap of (rank, place) and links between parts."""
     parts = [v.of_byte[b] for b in word]
-    merges, n = v.merges, len(parts)
+    rank_of, n = v.ranks.get, len(parts)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    heap = [(found[0], i, pair) for i, pair in enumerate(zip(parts, parts[1:])) if (found := merges.get(pair))]
+    heap = [(rank, i, pair) for i, pair in enumerate(zip(parts, parts[1:])) if (rank := rank_of(pair)) is not None]
     heapq.heapify(heap)
 
     def propose(i: int) -> None:
-        if i >= 0 and after[i] < n and (found := merges.get(pair := (parts[i], parts[after[i]]))):
-            heapq.heappush(heap, (found[0], i, pair))
+        if i >= 0 and after[i] < n and (rank := rank_of(pair := (parts[i], parts[after[i]]))) is not None:
+            heapq.heappush(heap, (rank, i, pair))
 
     while heap:
-        _, i, pair = heapq.heappop(heap)
+        rank, i, pair = heapq.heappop(heap)
         j = after[i]
         if parts[i] < 0 or j >= n or (parts[i], parts[j]) != pair:
             continue        # a part of the pair has been merged since
-        parts[i] = merges[pair][1]
+        parts[i] = v.made[rank]
         parts[j] = -1
         after[i] = after[j]
         if after[i] < n:
@@ -120,38 +119,73 @@ def merge_long(word: bytes, v: Vocabulary) -> list[int]:
     return [p for p in parts if p >= 0]
 
 
-class Encoder:
-    """Encodes texts of one task, remembering the words it has merged."""
+class MergedWords(dict):
+    """Words to their ids (as bytes of 32-bit numbers), merged when first asked for."""
 
     def __init__(self, v: Vocabulary):
-        self.v, self.known, self.held = v, {}, 0
-        self.words = regex.compile(WORD)
-        names = sorted(v.added, key=len, reverse=True)
-        self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
+        super().__init__()
+        self.v, self.older, self.held = v, {}, 0
 
-    def word(self, word: str) -> tuple[int, ...]:
-        found = self.known.get(word)
+    def __missing__(self, word: str) -> bytes:
+        found = self.older.get(word)
         if found is None:
             data = word.encode()
             if len(data) > SHORT:
-                return tuple(merge_long(data, self.v))
-            found = tuple(merge_short(data, self.v))
-            self.held += len(data) + 200
-            if self.held > REMEMBERED:
-                self.known.clear()
-                self.held = len(data)
-            self.known[word] = found
+                return np.array(merge_long(data, self.v), dtype=np.int32).tobytes()
+            found = array("i", merge_short(data, self.v)).tobytes()
+        if self.held > REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+            self.held = 0
+        self.held += 2 * len(word) + len(found) + 200
+        self[word] = found
         return found
 
+
+class Encoder:
+    """Cuts texts into added tokens and words, and merges these."""
+
+    def __init__(self, v: Vocabulary):
+        self.v, self.known = v, MergedWords(v)
+        self.words = regex.compile(WORD)
+        names = sorted(v.added, key=len, reverse=True)
+        self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")")
+
     def ids(self, text: str) -> np.ndarray:
         out = []
-        for k, piece in enumerate(self.cut.split(text) if self.cut else [text]):
+        plain = not any(name in text for name in self.v.added)
+        for k, piece in enumerate([text] if plain else self.cut.split(text)):
             if k % 2:
-                out.append(np.array([self.v.added[piece]], dtype=np.int32))
-            elif piece:
-                words = (m.group() for m in self.words.finditer(piece)) if len(piece) > 1 << 20 else self.words.findall(piece)
-                out.append(np.fromiter(chain.from_iterable(map(self.word, words)), dtype=np.int32))
-        return np.concatenate(out) if out else np.zeros(0, dtype=np.int32)
+                out.append(np.int32(self.v.added[piece]).tobytes())
+            elif len(piece) > 1 << 20:
+                out += (self.known[m.group()] for m in self.words.finditer(piece))
+            else:
+                out += map(self.known.__getitem__, self.words.findall(piece))
+        return np.frombuffer(b"".join(out), dtype=np.int32)
+
+
+class Decoder:
+    """Joins the bytes of ids; unknown ids have none."""
+
+    def __init__(self, v: Vocabulary):
+        self.table = [v.bytes_of.get(i, b"") for i in range(max(v.bytes_of) + 1)]
+
+    def text(self, ids: np.ndarray) -> str:
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.table)):
+            ids = ids[(ids >= 0) & (ids < len(self.table))]
+        return b"".join(map(self.table.__getitem__, ids.tolist())).decode("utf-8", "replace")
+
+
+_WORKERS: dict[type, tuple] = {}
+
+
+def _worker(kind: type, vocabulary: Broadcast):
+    """This Python worker's encoder or decoder, kept from task to task."""
+    v = vocabulary.value
+    held = _WORKERS.get(kind)
+    if held is None or held[0] is not v:
+        held = _WORKERS[kind] = (v, kind(v))
+    return held[1]
 
 
 def read_vocabulary(spark: SparkSession, path: str) -> Broadcast:
@@ -179,7 +213,7 @@ def _mapped(df: DataFrame, column: str, name: str, kind: str, make) -> DataFrame
 def encode(docs: DataFrame, text: str, vocabulary: Broadcast) -> DataFrame:
     """``doc`` (all columns) and ``ids``, the token ids of ``text``."""
     def make():
-        encoder = Encoder(vocabulary.value)
+        encoder = _worker(Encoder, vocabulary)
 
         def work(texts: pa.Array) -> pa.Array:
             found = [encoder.ids(t or "") for t in texts.to_pylist()]
@@ -194,11 +228,11 @@ def encode(docs: DataFrame, text: str, vocabulary: Broadcast) -> DataFrame:
 def decode(encoded: DataFrame, ids: str, vocabulary: Broadcast) -> DataFrame:
     """``encoded`` with ``decoded``, the text of its ``ids``."""
     def make():
-        table = vocabulary.value.bytes_of
+        decoder = _worker(Decoder, vocabulary)
 
         def work(lists: pa.Array) -> pa.Array:
-            none: list[int] = []
-            return pa.array([b"".join(table.get(i, b"") for i in row or none).decode("utf-8", "replace")
-                             for row in lists.to_pylist()], pa.string())
+            none = np.zeros(0, dtype=np.int64)
+            return pa.array([decoder.text(none if row.values is None else row.values.to_numpy(zero_copy_only=False))
+                             for row in lists], pa.string())
         return work
     return _mapped(encoded, ids, "decoded", "string", make)
