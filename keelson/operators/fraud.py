@@ -9,29 +9,32 @@
 * ``fraud_score``  W5/P14: +40 if velocity > 5, +50 if amount > 4000.
 
 Skew. ``Window.partitionBy(user)`` sends all of one user's rows to one task;
-with a user holding a third of the data that task is the job. Both frames are
-therefore evaluated per ``(user, time chunk)`` where a user is large:
-
-* ``velocity``: rows within ``span`` before a chunk's start are copied into it
-  as halo rows, counted there, and dropped from the output.
-* ``profile``: a ROWS frame of ``depth`` may reach arbitrarily far back, so
-  each chunk's last ``depth`` amounts are gathered per chunk (bounded), the
-  history entering a chunk is assembled from just the previous chunks that
-  hold its last ``depth`` positions (a RANGE frame over the small per-chunk
-  table), and joined back on ``(user, chunk)`` -- the side the rows are
-  already partitioned by.
-
-With ``chunk="auto"`` (the default) one partial aggregate finds the largest
-user. If it fits in a task (``max_group_rows``) the plain
-one-partition-per-user form runs (one shuffle). Otherwise the chunk edges of
-each large user are quantiles of its own times, so a burst is split as finely
-as a steady flow; only rows of one user at one time stay together. ``chunk=None``
-forces the plain form, a width such as ``"1 day"`` equal chunks. All forms give
-the same rows and values: null users form a group of their own, and rows with a
-null time come first in a profile's history and have no velocity.
+with a user holding a third of the data that task is the job. One partial
+aggregate therefore finds the users with over ``max_group_rows`` rows (one
+number, the largest count, reaches the driver). All others keep the plain form
+of one window partition per user; the rows of large users are numbered across
+tasks (:mod:`keelson.operators.ranks`), whatever their times, and evaluated by
+number:
+
+* ``velocity`` is a difference of two numbers. Each event also asks how many
+  events lie before its span; questions and events are numbered together. With
+  ``e`` events before this one, its question is at place ``p`` = events before
+  the span + ``e`` (questions lie in the order of their events), so the
+  velocity is ``2 e + 1 - p``. Two rows an event, no copies, no window.
+* ``profile``: chunks of exactly ``max_group_rows`` numbers. A ROWS frame of
+  ``depth`` may reach arbitrarily far back, so each chunk's last ``depth``
+  amounts are gathered per chunk (bounded), the history entering a chunk is
+  assembled from just the previous chunks that hold its last ``depth``
+  positions (a RANGE frame over the small per-chunk table), and joined back on
+  ``(user, chunk)`` -- the side the rows are already partitioned by.
+
+``chunk=None`` forces the plain form, a width such as ``"1 day"`` chunks of
+equal time. All forms give the same rows and values: null users form a group of
+their own, and rows with a null time come first in a profile's history and have
+no velocity.
 
 Every frame is a running total (or the difference of two), so the cost is
-linear in the rows of a chunk.
+linear in the rows.
 """
 
 from __future__ import annotations
@@ -42,6 +45,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.functions.spans import span_us
+from keelson.operators.ranks import numbered
 from keelson.session import scratch_dir
 
 _AMT = "decimal(10,2)"
@@ -80,39 +84,18 @@ def _stats(n: Column, s: Column, sq: Column) -> list[Column]:
 _BEFORE = -(1 << 62)
 
 
-def chunk_edges(df: DataFrame, user: str, ts: str, max_group_rows: int) -> DataFrame | None:
-    """(``_user``, ``_edges``) of the users with over ``max_group_rows`` timed
-    rows: the times that split a user's rows into pieces of at most about that
-    many (approximate quantiles). None when every user fits in one task.
-
-    One number (the largest count) reaches the driver."""
-    timed = df.filter(F.col(ts).isNotNull()).select(F.col(user).alias("_user"), _micros(ts).alias("_t"))
-    sizes = timed.groupBy("_user").agg(F.count(F.lit(1)).alias("n"))
-    top = sizes.agg(F.max("n")).first()[0]
+def by_size(df: DataFrame, user: str, max_group_rows: int) -> tuple[DataFrame, DataFrame] | None:
+    """The rows of users with over ``max_group_rows`` rows, and all others.
+    None when every user fits in one task."""
+    sizes = df.groupBy(F.col(user).alias("_user")).agg(F.count(F.lit(1)).alias("_rows"))
+    top = sizes.agg(F.max("_rows")).first()[0]
     if top is None or top <= max_group_rows:
         return None
-    pieces = -(-top // max_group_rows) + 1
-    hot = sizes.filter(F.col("n") > max_group_rows).select(F.col("_user").alias("_hot"))
-    cuts = F.array(*(F.lit(k / pieces) for k in range(1, pieces)))
-    edges = (timed.join(hot, F.col("_user").eqNullSafe(F.col("_hot")), "left_semi").groupBy("_user")
-             .agg(F.array_distinct(F.percentile_approx("_t", cuts, 20 * pieces)).alias("_edges")))
-    # written once: an approximate quantile may come out otherwise when computed
-    # again, and all parts of a plan must cut alike
     spark = df.sparkSession
-    edges.write.parquet(path := scratch_dir(spark, "chunk-edges"))
-    return spark.read.parquet(path)
-
-
-def _with_edges(base: DataFrame, user: str, edges: DataFrame) -> DataFrame:
-    """``base`` with each row's ``_edges`` (none for users that fit in a task).
-    Only large users have a row in ``edges``; the planner sends it to all tasks
-    when it is small and splits the large users otherwise."""
-    return base.join(edges, base[user].eqNullSafe(edges["_user"]), "left").drop("_user")
-
-
-def _edge_chunk(t: Column) -> Column:
-    """Number of the row's chunk: how many edges are not after ``t``."""
-    return F.coalesce(F.size(F.filter("_edges", lambda e: e <= t)), F.lit(0)).cast("bigint")
+    sizes.filter(F.col("_rows") > max_group_rows).write.parquet(path := scratch_dir(spark, "large-users"))
+    large = spark.read.parquet(path)
+    same = df[user].eqNullSafe(large["_user"])
+    return df.join(large, same, "left_semi"), df.join(large, same, "left_anti")
 
 
 def _prefix_stats(part: list[str], ts: str, id_col: str, depth: int) -> list[Column]:
@@ -151,8 +134,8 @@ def profile(df: DataFrame, user: str, ts: str, id_col: str, amount: str,
     decimals; the mean and deviation are doubles for display.
 
     ``chunk``: a width such as ``"1 day"``, ``None`` for one window partition
-    per user, or ``"auto"``: per user while the largest user has at most
-    ``max_group_rows`` rows, else chunks sized from that user's time span.
+    per user, or ``"auto"``: per user, but chunks of ``max_group_rows`` rows for
+    users with more.
     """
     a = F.col(amount).cast(amount_type)
     base = df.withColumn("_a", a).withColumn("_v", F.col("_a").isNotNull())
@@ -164,13 +147,15 @@ def profile(df: DataFrame, user: str, ts: str, id_col: str, amount: str,
         return out
 
     if chunk == "auto":
-        edges = chunk_edges(df, user, ts, max_group_rows)
-        if edges is None:
+        sized = by_size(base, user, max_group_rows)
+        if sized is None:
             return profile(df, user, ts, id_col, amount, depth, None, amount_type)
-        base = _with_edges(base, user, edges).withColumn("_c", _edge_chunk(_micros(ts))).drop("_edges")
+        large, rest = sized
+        plain = profile(rest.select(*df.columns), user, ts, id_col, amount, depth, None, amount_type)
+        base = numbered(large, user, [ts, id_col], "_c").withColumn("_c", _floor_div(F.col("_c"), max_group_rows))
     else:
-        base = base.withColumn("_c", _chunk_of(ts, span_us(chunk)))
-    base = base.withColumn("_c", F.when(F.col(ts).isNull(), F.lit(_BEFORE)).otherwise(F.col("_c")))
+        plain = None
+        base = base.withColumn("_c", F.when(F.col(ts).isNull(), F.lit(_BEFORE)).otherwise(_chunk_of(ts, span_us(chunk))))
     loc = base.select("*", *_prefix_stats([user, "_c"], ts, id_col, depth))
     # per chunk: its last `depth` valid amounts, in order (this branch reads
     # and shuffles the narrow (user, time, id, amount) rows a second time)
@@ -214,7 +199,8 @@ def profile(df: DataFrame, user: str, ts: str, id_col: str, amount: str,
     n = F.col("_ln") + F.size(halo)
     s = F.coalesce(F.col("_ls"), F.lit(0)).cast(_SUM) + hs
     sq = F.coalesce(F.col("_lq"), F.lit(0)).cast(_SQ) + hq
-    return joined.select(*[F.col(c) for c in df.columns], *_stats(n, s, sq))
+    out = joined.select(*[F.col(c) for c in df.columns], *_stats(n, s, sq))
+    return out if plain is None else out.unionByName(plain)
 
 
 def flag_outliers(df: DataFrame, amount: str, rule: str = "ratio", ratio: float = 3.0,
@@ -247,35 +233,60 @@ def velocity(df: DataFrame, user: str, ts: str, id_col: str, span: str = "60 sec
 
     Rows with a null time, or a null ``amount`` when one is given, are not
     events of the history and get a null velocity. ``chunk`` as in
-    :func:`profile` (a chunk is never narrower than ``span``).
+    :func:`profile` (a chunk of time is never narrower than ``span``).
     """
     su = span_us(span)
     valid = F.col(ts).isNotNull()
     if amount is not None:
         valid = valid & F.col(amount).cast(amount_type).isNotNull()
-    base = df.withColumn("_v", valid).withColumn("_t", _micros(ts))
-    edges = chunk_edges(df, user, ts, max_group_rows) if chunk == "auto" else None
-    if edges is not None:
-        src = _with_edges(base, user, edges).withColumns(
-            {"_c": _edge_chunk(F.col("_t")), "_to": _edge_chunk(F.col("_t") + F.lit(su))}).drop("_edges")
-    elif chunk is not None and chunk != "auto":
-        cu = max(su, span_us(chunk))
-        src = base.withColumns({"_c": _floor_div(F.col("_t"), cu), "_to": _floor_div(F.col("_t") + F.lit(su), cu)})
+    base = df.withColumn("_t", F.when(valid, _micros(ts)))
+    events = base.filter(F.col("_t").isNotNull())
+    sized = by_size(events, user, max_group_rows) if chunk == "auto" else None
+    if sized is not None:
+        out = _velocity_by_rank(sized[0], user, id_col, su, alias).unionByName(
+            _velocity_by_window(sized[1], user, id_col, su, None, alias))
     else:
-        src = base.withColumns({"_c": F.lit(0).cast("bigint"), "_to": F.lit(0).cast("bigint")})
-    # rows that are no events stay in the output, in a chunk of their own
-    here = F.when(F.col("_v"), F.sequence("_c", "_to")).otherwise(F.array(F.lit(_BEFORE)))
-    src = src.withColumn("_pc", F.explode(here)).withColumn(
-        "_halo", F.col("_v") & (F.col("_pc") != F.coalesce("_c", F.lit(_BEFORE))))
-    part = [user, "_v", "_pc"]
+        width = None if chunk in (None, "auto") else max(su, span_us(chunk))
+        out = _velocity_by_window(events, user, id_col, su, width, alias)
+    # rows that are no events stay in the output, and need no task of their own
+    rest = base.filter(F.col("_t").isNull()).withColumn(alias, F.lit(None).cast("bigint"))
+    return out.unionByName(rest).drop("_t")
+
+
+def velocity_marks(events: DataFrame, user: str, id_col: str, span: int) -> DataFrame:
+    """Two rows an event: the event itself (``_kind`` 0, at its time) and its
+    question (``_kind`` 1, just before its span, with all columns); ``_e`` is
+    the event's number among its user's."""
+    ranked = numbered(events, user, ["_t", id_col], "_e")
+    asked = ranked.withColumns({"_when": F.col("_t") - F.lit(span + 1), "_kind": F.lit(1)})
+    told = ranked.select(user, F.col("_t").alias("_when"), F.lit(0).alias("_kind"), "_e")
+    return asked.unionByName(told, allowMissingColumns=True)
+
+
+def _velocity_by_rank(events: DataFrame, user: str, id_col: str, span: int, alias: str) -> DataFrame:
+    placed = numbered(velocity_marks(events, user, id_col, span), user, ["_when", "_kind", "_e"], "_p")
+    return (placed.filter(F.col("_kind") == 1).withColumn(alias, 2 * F.col("_e") + 1 - F.col("_p"))
+            .select(*events.columns, alias))
+
+
+def _velocity_by_window(events: DataFrame, user: str, id_col: str, span: int, width: int | None,
+                        alias: str) -> DataFrame:
+    """One window partition per user, or per user and ``width`` of time; rows
+    within ``span`` before a chunk are copied into it (once, as no chunk is
+    narrower than the span) and dropped after."""
+    src, part = events, [user]
+    if width is not None:
+        chunks = F.array_distinct(F.array(_floor_div(F.col("_t"), width), _floor_div(F.col("_t") + F.lit(span), width)))
+        src, part = events.withColumn("_pc", F.explode(chunks)), [user, "_pc"]
     # events up to this one in (time, id) order, less those before the span:
     # both are running totals, so a row costs the same whatever the span holds
     upto = Window.partitionBy(*part).orderBy("_t", id_col).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*part).orderBy("_t").rangeBetween(Window.unboundedPreceding, -(su + 1))
+    before = Window.partitionBy(*part).orderBy("_t").rangeBetween(Window.unboundedPreceding, -(span + 1))
     out = src.withColumn("_upto", F.count(F.lit(1)).over(upto))
-    vel = F.col("_upto") - F.count(F.lit(1)).over(before)
-    out = out.withColumn(alias, F.when(F.col("_v"), vel))
-    return out.filter(~F.col("_halo")).drop("_v", "_t", "_c", "_to", "_pc", "_halo", "_upto")
+    out = out.withColumn(alias, F.col("_upto") - F.count(F.lit(1)).over(before))
+    if width is not None:
+        out = out.filter(F.col("_pc") == _floor_div(F.col("_t"), width))
+    return out.select(*events.columns, alias)
 
 
 def fraud_score(df: DataFrame, amount: str, velocity_col: str = "velocity",

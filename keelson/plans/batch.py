@@ -122,6 +122,13 @@ def velocity_chunked(spark: SparkSession, d: str) -> DataFrame:
     return velocity_score(spark, d, max_group_rows=8)
 
 
+def velocity_burst(spark: SparkSession, d: str) -> DataFrame:
+    """W4 where a span covers nearly all of a user's events: 30 days, users of over 8 rows split."""
+    ev = read_table(spark, d, "events").select("event_id", "user_id", "ts", "value")
+    return fraud.velocity(ev, "user_id", "ts", "event_id", span="30 days", max_group_rows=8).select(
+        "event_id", "user_id", "ts", "velocity")
+
+
 def window_counts(spark: SparkSession, d: str) -> DataFrame:
     ev = read_table(spark, d, "events")
     out = logs.windowed_count(ev, "ts", "1 day", keys=["user_id"],

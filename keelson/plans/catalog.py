@@ -50,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cdc_profile_alerts": streams.cdc_profile_alerts,
     "profile_chunked": batch.profile_chunked,
     "velocity_chunked": batch.velocity_chunked,
+    "velocity_burst": batch.velocity_burst,
     "sql_view_revenue": batch.sql_view_revenue,
     "save_table_roundtrip": batch.save_table_roundtrip,
     "profile_stream_batches": streams.profile_stream_batches,

@@ -173,6 +173,14 @@ ORACLE["velocity_alerts_day"] = """
               + (CASE WHEN CAST(value AS DECIMAL(10,2)) > 100 THEN 50 ELSE 0 END) > 70 AS alert
     FROM v"""
 
+ORACLE["velocity_burst"] = """
+    SELECT e1.event_id, e1.user_id, e1.ts, count(*) AS velocity
+    FROM events e1 JOIN events e2
+      ON e1.user_id = e2.user_id
+     AND e2.ts >= e1.ts - INTERVAL 30 DAY AND e2.ts <= e1.ts
+     AND (e2.ts < e1.ts OR e2.event_id <= e1.event_id)
+    GROUP BY e1.event_id, e1.user_id, e1.ts"""
+
 # The streaming forms of the fraud rules answer the same questions as the
 # batch forms, so they share the oracle.
 ORACLE["profile_stream"] = ORACLE["profile_outlier"]

@@ -21,3 +21,13 @@ def spark():
 @pytest.fixture()
 def tmp(tmp_path):
     return str(tmp_path)
+
+
+@pytest.fixture()
+def small_parts(spark):
+    """Shuffled parts stay apart however few rows they hold."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.set(name, before)

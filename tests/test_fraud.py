@@ -124,11 +124,12 @@ def test_score_boundaries(spark):
     assert got == {1: (0, False), 2: (40, False), 3: (90, True), 4: (50, False), 5: (0, False)}
 
 
-def test_edges_split_only_hot_users(spark):
+def test_only_large_users_are_split(spark):
     df = _frame(spark, _events())
-    assert fraud.chunk_edges(df, "user", "ts", 10_000) is None
-    edges = {r["_user"]: r["_edges"] for r in fraud.chunk_edges(df, "user", "ts", 100).collect()}
-    assert list(edges) == [9] and 1 < len(edges[9]) < 5  # ~240 rows
+    assert fraud.by_size(df, "user", 10_000) is None
+    large, rest = fraud.by_size(df, "user", 200)
+    assert [r.user for r in large.select("user").distinct().collect()] == [9]
+    assert large.count() + rest.count() == df.count() and rest.filter("user = 9").count() == 0
 
 
 def _awkward():
@@ -157,12 +158,26 @@ def test_chunked_forms_equal_plain_on_awkward_rows(spark, chunk):
     assert rows[0] is None and rows[2499] == 500 and rows[3002] == 3
 
 
-def test_edges_split_a_burst(spark):
+@pytest.mark.parametrize("seconds", [1, 80_000])
+def test_velocity_marks_are_two_an_event_and_dealt_evenly(spark, small_parts, seconds):
+    """One user holds everything, inside one span: no copies, no task with more than its share."""
+    from pyspark.sql import functions as F
+    from keelson.operators.ranks import dealt
+    df = spark.range(40_000).select("id", F.lit(1).alias("user"), (F.col("id") % seconds * 1_000_000).alias("_t"))
+    marks = fraud.velocity_marks(df, "user", "id", 86_400_000_000)
+    assert marks.count() == 80_000
+    for table in (dealt(df, "user", ["_t", "id"]), dealt(marks, "user", ["_when", "_kind", "_e"])):
+        parts = [r["count"] for r in table.groupBy("_part").count().collect()]
+        assert len(parts) >= 4 and max(parts) <= 2 * sum(parts) / len(parts)
+    out = fraud.velocity(df.withColumn("ts", F.timestamp_micros("_t")).drop("_t"), "user", "ts", "id", "1 day", max_group_rows=1000)
+    assert out.agg({"velocity": "max"}).first()[0] == 40_000 and out.agg({"velocity": "sum"}).first()[0] == 40_000 * 40_001 // 2
+
+
+def test_profile_chunks_hold_equal_rows(spark):
+    from keelson.operators.ranks import numbered
     df = _frame(spark, _awkward())
-    edges = fraud.chunk_edges(df, "user", "ts", 50)
-    chunks = (fraud._with_edges(df, "user", edges).withColumn("c", fraud._edge_chunk(fraud._micros("ts")))
-              .where("user = 5").groupBy("c").count().agg({"count": "max"}).first()[0])
-    assert chunks <= 100  # 600 rows in 20 seconds of a 58-day span
+    sizes = numbered(df, "user", ["ts", "id"], "_n").groupBy("user", (fraud.F.col("_n") / 50).cast("int").alias("c")).count()
+    assert sizes.agg({"count": "max"}).first()[0] == 50
 
 
 def test_velocity_cost_is_linear(spark):

@@ -6,6 +6,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from keelson.operators import fraud
+from keelson.operators.ranks import dealt
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -20,13 +21,12 @@ def _skewed(spark, n=9000, seed=1):
     return spark.createDataFrame(rows, "id long, user long, ts timestamp_ntz, amount decimal(10,2)")
 
 
-def test_hot_user_is_split_into_bounded_chunks(spark):
+def test_hot_user_is_dealt_over_parts(spark, small_parts):
     df = _skewed(spark)
-    cap = 400
-    edges = fraud.chunk_edges(df, "user", "ts", cap)
-    sizes = (fraud._with_edges(df, "user", edges).withColumn("_c", fraud._edge_chunk(fraud._micros("ts")))
-             .groupBy("user", "_c").count().agg(F.max("count")).first()[0])
-    assert sizes <= 1.5 * cap
+    large, rest = fraud.by_size(df, "user", 400)
+    parts = dealt(large, "user", ["ts", "id"]).groupBy("_part").count()
+    assert large.count() == 3000 and rest.count() == 6000
+    assert parts.agg(F.max("count")).first()[0] <= 1.5 * 3000 / parts.count()
 
 
 def test_chunked_forms_equal_plain_under_skew(spark):
