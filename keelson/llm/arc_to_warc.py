@@ -4,9 +4,10 @@
 header line of the archive's version (1: five fields, 2: ten) and the declared
 length, ``write_warc`` turns them into WARC records with synthesised ids,
 dates, types and digests, and ``read_warc`` reads those back. Archives are
-gzipped files written by Spark's text writer, one or more a task, at most
-``FILE_RECORDS`` records each; reading streams through a file and holds one
-record at a time.
+gzipped files written by Spark's text writer, one or more a task. Pages are
+written by size class, each with so many records a file that no file holds much
+over ``FILE_BYTES`` (or one record); reading streams through a file and holds
+one record at a time.
 
 Of records with equal payloads, the one with the largest page id is written as
 a response, the others as revisits of it: their block is the HTTP header alone.
@@ -16,7 +17,11 @@ Defined cases: null or empty html is an empty payload; a null url is written as
 smaller than any other, and if all are null all are responses, as are rows that
 share the largest page id; an archive without records reads as none; a record
 cut short by the end of its archive is dropped; a line that is no header of its
-version is skipped to the next line; other columns are not archived.
+version is skipped to the next line; a record is an archive's description if it
+is the first or plain text, its url begins with ``filedesc://`` and its body
+with a version number, else it is a page of that url; archives that are not
+gzipped are read as they are; a page header that is no whole number is none;
+very long pages stand alone in their files; other columns are not archived.
 """
 
 from __future__ import annotations
@@ -25,17 +30,20 @@ import base64
 import gzip
 import hashlib
 import io
+import re
 import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from keelson.llm import text as W
 from keelson.session import scratch_dir
 
-FILE_RECORDS = 4000
+FILE_BYTES = 256 << 20
+#: Classes of payload size: up to 64 KB, up to 4 MB, longer.
+SIZE_CLASSES = (64 << 10, 4 << 20)
 #: Smallest payload that a revisit may stand for.
 REVISIT_BYTES = 0
 ARC_DATE = "20240101000000"
@@ -43,6 +51,7 @@ _V1 = "URL IP-address Archive-date Content-type Archive-length"
 _V2 = "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"
 _FIELDS = {1: len(_V1.split()), 2: len(_V2.split())}
 _BATCH_BYTES = 8 << 20
+_PAGE_ID = re.compile(r"-?[0-9]{1,18}")
 
 
 def sha1_base32(data: bytes) -> str:
@@ -59,6 +68,7 @@ class ArcRecord(NamedTuple):
     date: str
     mime: str
     body: bytes
+    described: bool = False
 
 
 def _arc_writer(version: int):
@@ -92,25 +102,43 @@ def _lines(records: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x.decode() for x in records], pa.string())], names=["value"])
 
 
+def _size_classes(size: Column, largest: int) -> Iterator[tuple[Column, int]]:
+    """The condition of each class of ``size`` up to ``largest``, and the records that a file of it may hold."""
+    low = -1
+    for high in (*SIZE_CLASSES, largest):
+        if low < largest and low < high:
+            last = high >= largest
+            yield (size > low) if last else (size > low) & (size <= high), max(1, FILE_BYTES // max(high, 1))
+        low = max(low, high)
+
+
 def write_arc(pages: DataFrame, path: str, version: int, id_col: str = "page_id", url_col: str = "url",
               html_col: str = "html") -> None:
     """Write ``pages`` as gzipped ARC files of a version, without a shuffle."""
-    (pages.select(F.col(id_col).cast("long"), url_col, html_col).mapInArrow(_arc_writer(version), "value string")
-     .write.mode("append").option("compression", "gzip").option("lineSep", "\n")
-     .option("maxRecordsPerFile", FILE_RECORDS).text(path))
+    kept = pages.select(F.col(id_col).cast("long"), url_col, html_col)
+    size = F.coalesce(F.octet_length(html_col), F.lit(0))
+    for fits, most in _size_classes(size, kept.agg(F.max(size)).first()[0] or 0):
+        (kept.where(fits).mapInArrow(_arc_writer(version), "value string")
+         .write.mode("append").option("compression", "gzip").option("lineSep", "\n")
+         .option("maxRecordsPerFile", most).text(path))
+
+
+def _opened(data: bytes) -> io.BufferedReader:
+    plain = io.BytesIO(data)
+    return io.BufferedReader(gzip.GzipFile(fileobj=plain) if data[:2] == b"\x1f\x8b" else plain, 1 << 20)
 
 
 def arc_records(data: bytes) -> Iterator[ArcRecord]:
-    """Records of a gzipped ARC file, archive descriptions included.
+    """Records of an ARC file, gzipped or not, archive descriptions included.
 
     The version is that of the last description; before one, that of the
     header line's number of fields."""
-    stream = io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(data)), 1 << 20)
+    stream = _opened(data)
     version, at = 0, 0
     while line := stream.readline():
         offset, at = at, at + len(line)
         fields = line.decode("utf-8", "replace").rstrip("\r\n").split(" ")
-        described = fields[0].startswith("filedesc://")
+        described = fields[0].startswith("filedesc://") and (offset == 0 or fields[3:4] == ["text/plain"])
         if not line.strip() or not fields[-1].isdigit() or not described and len(fields) != _FIELDS.get(version, len(fields)):
             continue
         if len(fields) not in _FIELDS.values():
@@ -119,14 +147,16 @@ def arc_records(data: bytes) -> Iterator[ArcRecord]:
         at += len(body)
         if len(body) < int(fields[-1]):
             return
+        said = body.split(b" ", 1)[0]
+        described = described and said.isdigit()
         if described:
-            version = int(body.split(b" ", 1)[0])
+            version = int(said)
         of = version or (1 if len(fields) == _FIELDS[1] else 2)
-        yield ArcRecord(of, offset, fields[0], fields[1], fields[2], fields[3], body)
+        yield ArcRecord(of, offset, fields[0], fields[1], fields[2], fields[3], body, described)
 
 
 _RECORD = ("archive string, offset bigint, version int, url string, ip string, date string, page_id bigint, "
-           "http binary, payload binary, digest string")
+           "http binary, payload binary, digest string, size bigint")
 
 
 def _arc_reader(with_payload: bool):
@@ -135,11 +165,11 @@ def _arc_reader(with_payload: bool):
             for path, content in zip(batch.column(0), batch.column(1)):
                 name, rows, held = path.as_py().rpartition("/")[2], [], 0
                 for r in arc_records(content.as_py()):
-                    if r.url.startswith("filedesc://"):
+                    if r.described:
                         continue
                     head, payload = _http_parts(r.body)
                     rows.append((name, r.offset, r.version, r.url, r.ip, r.date, _page_id(head),
-                                 head if with_payload else b"", payload if with_payload else b"", sha1_base32(payload)))
+                                 head if with_payload else b"", payload if with_payload else b"", sha1_base32(payload), len(payload)))
                     held += len(r.body)
                     if held > _BATCH_BYTES:
                         yield _record_batch(rows)
@@ -149,7 +179,8 @@ def _arc_reader(with_payload: bool):
 
 
 def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.string())
+    kinds = (pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary(), pa.binary(),
+             pa.string(), pa.int64())
     columns = list(zip(*rows)) if rows else [()] * len(kinds)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
                                       names=[x.split()[0] for x in _RECORD.split(", ")])
@@ -171,8 +202,8 @@ def _header(head: bytes, name: bytes) -> str | None:
 
 
 def _page_id(head: bytes) -> int | None:
-    found = _header(head, b"X-Page-Id")
-    return None if found is None else int(found)
+    found = _header(head, b"X-Page-Id") or ""
+    return int(found) if _PAGE_ID.fullmatch(found) else None
 
 
 def read_arc(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
@@ -225,8 +256,9 @@ def _warc_writer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
 
-def write_warc(records: DataFrame, firsts: DataFrame, path: str, least: int = REVISIT_BYTES) -> None:
-    """Write ARC ``records`` as gzipped WARC files. ``firsts`` names for each
+def write_warc(records: DataFrame, firsts: DataFrame, path: str, least: int = REVISIT_BYTES,
+               records_per_file: int = FILE_BYTES // SIZE_CLASSES[0]) -> None:
+    """Add ARC ``records`` as gzipped WARC files. ``firsts`` names for each
     digest the largest page id; the join is an ordinary one, whose large
     digests the adaptive planner splits."""
     known = records.join(firsts, "digest", "left")
@@ -234,12 +266,13 @@ def write_warc(records: DataFrame, firsts: DataFrame, path: str, least: int = RE
     (known.select("archive", "offset", "url", "ip", "date", "page_id", "http", "payload", "digest",
                   F.when(again, F.col("first")).alias("refers_to"))
      .mapInArrow(_warc_writer, "value binary").select(F.col("value").cast("string").alias("value"))
-     .write.option("compression", "gzip").option("lineSep", "\n").option("maxRecordsPerFile", FILE_RECORDS).text(path))
+     .write.mode("append").option("compression", "gzip").option("lineSep", "\n")
+     .option("maxRecordsPerFile", records_per_file).text(path))
 
 
 def warc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(header fields with lower-case names, block) of a gzipped WARC file."""
-    stream = io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(data)), 1 << 20)
+    stream = _opened(data)
     while line := stream.readline():
         if not line.startswith(b"WARC/"):
             continue
@@ -286,8 +319,12 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = REVISIT_BYTES) -> None:
     """Convert the ARC files below ``arc_path`` into WARC files at ``warc_path``."""
-    firsts = read_arc(spark, arc_path, with_payload=False).groupBy("digest").agg(F.max("page_id").alias("first"))
-    write_warc(read_arc(spark, arc_path), firsts, warc_path, least)
+    read_arc(spark, arc_path, with_payload=False).groupBy("digest").agg(
+        F.max("page_id").alias("first"), F.max("size").alias("size")).write.parquet(path := scratch_dir(spark, "digests"))
+    firsts = spark.read.parquet(path)
+    records = read_arc(spark, arc_path)
+    for fits, most in _size_classes(F.col("size"), firsts.agg(F.max("size")).first()[0] or 0):
+        write_warc(records.where(fits), firsts.drop("size"), warc_path, least, most)
 
 
 def round_trip(pages: DataFrame, **columns: str) -> DataFrame:

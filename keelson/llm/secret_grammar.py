@@ -84,9 +84,19 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 
 def candidates(text: str, taken: list[tuple[int, int, int, str]]) -> Iterator[tuple[int, int, str]]:
-    """(start, end, string) of the runs that no base span touches."""
+    """(start, end, string) of the runs that no base span touches; ``taken``
+    ascends by start, so both lists are walked once."""
+    touched: list[list[int]] = []
+    for start, _, end, _ in taken:
+        if touched and start < touched[-1][1]:
+            touched[-1][1] = max(touched[-1][1], end)
+        else:
+            touched.append([start, end])
+    k = 0
     for m in _CANDIDATE.finditer(text):
-        if not taken or not any(s < m.end() and m.start() < e for s, _, e, _ in taken):
+        while k < len(touched) and touched[k][1] <= m.start():
+            k += 1
+        if k == len(touched) or m.end() <= touched[k][0]:
             yield m.start(), m.end(), m[0]
 
 

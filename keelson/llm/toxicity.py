@@ -20,7 +20,8 @@ repeated rows are scored alike; columns beside the text pass through in struct
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,6 +38,8 @@ RIDGE = 2e-4
 #: A toxic row's weight in the loss; the others weigh 1.
 TOXIC_WEIGHT = 3.0
 COUNTERFACTUAL = 1.0
+#: Bound on the swaps that one labelled row gives (its first ones).
+SWAPS = 256
 STEPS = 400
 _BITS = 18
 _CUTS = (4, 5, 6, 7, 8)
@@ -105,7 +108,33 @@ def swapped(text: bytes) -> list[tuple[bytes, bytes]]:
     return out
 
 
-def _rows(chosen):
+def swap_changes(text: bytes, known: Callable[[bytes], list[int]], most: int = SWAPS) -> tuple[list, list]:
+    """Features that each swap of :func:`swapped` adds and takes away, for the
+    first ``most`` swaps. ``known`` gives a text's features, repeats included; the two
+    sides differ in one word, so a sentence is looked up once whatever it mentions."""
+    gained, lost = [], []
+    for m in _SENTENCE.finditer(low := text.lower()):
+        held = None
+        for w in _WORD.finditer(m[0]):
+            if w[0] in _TERMS:
+                held = Counter(known(m[0])) if held is None else held
+                own = Counter(known(w[0]))
+            for other in _TERMS.get(w[0], ()):
+                if len(gained) == most:
+                    return gained, lost
+                new = set(known(other))
+                gained.append(sorted(new - held.keys()))
+                lost.append(sorted(c for c, n in own.items() if held[c] == n and c not in new))
+    first = _SENTENCE.search(low)
+    if first and not gained:
+        terms = sorted(_TERMS)
+        more = known(b"and " + terms[len(text) % len(terms)] + b" people")
+        gained.append(sorted(set(more) - set(known(first[0]))))
+        lost.append([])
+    return gained, lost
+
+
+def _rows(chosen, most: int):
     """(toxic, text) rows to their chosen features, and those that swaps add and take away."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = chosen.value
@@ -117,16 +146,21 @@ def _rows(chosen):
             owner, at = _present(owner[known], number[cells[known]], width)
             return np.split(at, np.searchsorted(owner, np.arange(1, len(texts))))
 
+        def look_up(text: bytes) -> list[int]:
+            at = number[_cells([text])[1]]
+            return at[at >= 0].tolist()
+
+        of_term = {t: look_up(t) for t in _TERMS}
+        known = lambda text: of_term[text] if text in of_term else look_up(text)
         for batch in batches:
             texts = W.text_bytes(batch.column(1))
             found, gained, lost = [], [], []
             for a, b in W.pieces(texts):
                 found += [x.tolist() for x in features(texts[a:b])]
                 for text in texts[a:b]:
-                    pairs = swapped(text)
-                    sides = features([x for p in pairs for x in p]) if pairs else []
-                    gained.append([np.setdiff1d(y, x).tolist() for x, y in zip(sides[::2], sides[1::2])])
-                    lost.append([np.setdiff1d(x, y).tolist() for x, y in zip(sides[::2], sides[1::2])])
+                    more, less = swap_changes(text, known, most)
+                    gained.append(more)
+                    lost.append(less)
             kind = pa.list_(pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found, pa.list_(pa.int32())), pa.array(gained, kind), pa.array(lost, kind)],
@@ -188,8 +222,8 @@ def _gain(n: np.ndarray, bad: np.ndarray, rows: int, toxic: int) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        train_rows: int = TRAIN_ROWS, **options) -> Model:
-    """A model of the labelled rows that are not held out."""
+        train_rows: int = TRAIN_ROWS, swaps: int = SWAPS, **options) -> Model:
+    """A model of the labelled rows that are not held out, ``train_rows`` of them with ``swaps`` swaps each at most."""
     spark = docs.sparkSession
     rows = (labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("toxic")).where("id is not null and toxic is not null")
             .where(~held_out(F.col("id"))).join(docs.select(F.col(id_col).alias("id")), "id", "left_semi").groupBy("id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -206,7 +240,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     cells = np.union1d(best, terms).astype(np.int64)
     number = np.full(1 << _BITS, -1, dtype=np.int64)
     number[cells] = np.arange(len(cells))
-    sample = chosen.mapInArrow(_rows(spark.sparkContext.broadcast(number)),
+    sample = chosen.mapInArrow(_rows(spark.sparkContext.broadcast(number), swaps),
                                "toxic int, features array<int>, gained array<array<int>>, lost array<array<int>>").collect()
     if not sample:
         return Model(number, np.zeros(len(cells)), -0.1)

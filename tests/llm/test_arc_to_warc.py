@@ -77,3 +77,29 @@ def test_convert_keeps_small_payloads_as_responses(spark, pages, tmp):
     A.convert(spark, f"{tmp}/arc", f"{tmp}/warc", least=5)
     rows = A.read_warc(spark, f"{tmp}/warc").collect()
     assert len(rows) == len(pages) and all(r["record_type"] == "response" for r in rows if r["payload_bytes"] < 5)
+
+
+def test_pages_named_like_descriptions_are_pages(spark):
+    pages = [(i, f"filedesc://{i}", f"text {i % 3}") for i in range(8)]
+    assert Counter(tuple(r) for r in A.round_trip(table(spark, pages)).collect()) == brute(pages)
+
+
+def test_plain_files_and_foreign_headers(spark, tmp):
+    page = b"HTTP/1.1 200 OK\r\nX-Page-Id: seven\r\n\r\nbody"
+    record = b"http://a/ 1.2.3.4 1999 text/html %d\n" % len(page) + page + b"\n"
+    for name, data in (("plain.arc", gzip.decompress(arc(1, record))), ("packed.arc.gz", arc(1, record))):
+        with open(f"{tmp}/{name}", "wb") as f:
+            f.write(data)
+    rows = A.read_arc(spark, tmp).collect()
+    assert [(r["page_id"], bytes(r["payload"])) for r in rows] == [(None, b"body")] * 2
+
+
+def test_files_are_bounded_by_bytes(spark, tmp, monkeypatch):
+    monkeypatch.setattr(A, "FILE_BYTES", 50_000)
+    monkeypatch.setattr(A, "SIZE_CLASSES", (1000, 20_000))
+    pages = [(i, f"http://{i}/", "x" * (100 if i % 4 else 10_000 + i)) for i in range(200)] + [(500, "http://l/", "y" * 90_000)]
+    A.write_arc(table(spark, pages).coalesce(1), tmp, 1)
+    sizes = [sum(len(r.body) for r in A.arc_records(bytes(f["content"])))
+             for f in spark.read.format("binaryFile").load(tmp).collect()]
+    assert len(sizes) > 10 and max(sizes) < 92_000 and sorted(sizes)[-2] < 60_000
+    assert Counter(tuple(r) for r in A.round_trip(table(spark, pages)).collect()) == brute(pages)

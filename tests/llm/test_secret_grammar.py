@@ -95,3 +95,16 @@ def test_kind_of_long_credentials_only_is_learned(spark, docs_of, prose):
     texts = [(i, f"{prose(i, 10)} secret: {key()}") for i in range(60)] + [(1000 + i, f"{prose(i, 6)} {key()} {prose(i, 6)}") for i in range(20)]
     rows = {r["doc"]["doc_id"]: [s["kind"] for s in r["spans"]] for r in S.find_secrets(docs_of(texts)).collect()}
     assert sum(rows[1000 + i] == [S.ADDED] for i in range(20)) >= 18
+
+
+def test_many_credentials_in_one_text_are_linear():
+    import time
+    text = " ".join(f"token=abcdef{i:06d} word{i}" for i in range(50_000))
+    began = time.time()
+    base = S.base_spans(text)
+    found = list(S.candidates(text, base))
+    assert len(base) == 50_000 and time.time() - began < 5
+    few, taken = text[:3000], S.base_spans(text[:3000])
+    assert list(S.candidates(few, taken)) == [(m.start(), m.end(), m[0]) for m in S._CANDIDATE.finditer(few)
+                                              if not any(s < m.end() and m.start() < e for s, _, e, _ in taken)]
+    assert len(found) == 49_990       # "word0" to "word9" are too short

@@ -77,3 +77,49 @@ def test_labels_of_other_documents_do_not_use_up_the_choice(spark, docs_of, corp
     rows, labels = corpus
     few, many = (T.fit(docs_of(rows), table(spark, x), train_rows=100) for x in (labels, labels + [(i, 1) for i in range(10**6, 10**6 + 5000)]))
     assert np.array_equal(few.weights, many.weights) and few.weights.any()
+
+
+def test_swap_changes_equal_the_features_of_both_sides(prose):
+    def known(text):
+        return (T._cells([text])[1] % 5000).tolist()       # many cells meet
+    texts = [b"", b"no mention here", b"Hello. The Deaf man spoke. Bye", b"men and men, women! black men", b"...",
+             " les chrétiens et les femmes".encode(), prose(1, 50).encode()]
+    for text in texts:
+        pairs = T.swapped(text)
+        more, less = T.swap_changes(text, known, 1000)
+        assert len(more) == len(less) == len(pairs)
+        for (a, b), up, down in zip(pairs, more, less):
+            x, y = set(known(a)), set(known(b))
+            assert up == sorted(y - x) and down == sorted(x - y)
+
+
+def test_one_sentence_of_many_mentions_is_cheap():
+    import resource
+    import time
+    text = b"the gay men said so " * 50_000
+    began, before = time.time(), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    more, _ = T.swap_changes(text, lambda t: T._cells([t])[1].tolist())
+    assert len(more) == T.SWAPS and time.time() - began < 20
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 500_000
+
+
+def test_fitted_weights_reach_the_minimum():
+    """Against plain gradient descent on the same loss."""
+    draw = np.random.default_rng(1)
+    toxic = (draw.random(60) < 0.4).astype(float)
+    features = [sorted(set(draw.integers(0, 6, 3).tolist()) | ({6} if t else set())) for t in toxic]
+    gained, lost = [[1], [2, 3], []], [[0], [], [6]]
+
+    def loss(z):
+        w, b = z[:-1], z[-1]
+        p = 1 / (1 + np.exp(-np.array([b + sum(w[i] for i in f) for f in features])))
+        fit = -np.mean(np.where(toxic > 0, T.TOXIC_WEIGHT * np.log(p), np.log(1 - p)))
+        change = [sum(w[i] for i in u) - sum(w[i] for i in d) for u, d in zip(gained, lost)]
+        return fit + 0.05 * np.sum(w * w) + np.mean(np.square(change))
+
+    z = np.zeros(8)
+    for _ in range(3000):
+        slope = np.array([(loss(z + e) - loss(z - e)) / 2e-5 for e in np.eye(8) * 1e-5])
+        z -= 0.3 * slope
+    w, b = T.fit_weights(toxic, features, gained, lost, 7, ridge=0.05, counterfactual=1.0, steps=3000)
+    assert abs(loss(np.append(w, b)) - loss(z)) < 1e-4
