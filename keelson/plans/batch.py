@@ -156,6 +156,22 @@ def cube_counts(spark: SparkSession, d: str) -> DataFrame:
                                   ["o_orderstatus", "o_orderpriority"])
 
 
+def cube_route(spark: SparkSession, d: str) -> DataFrame:
+    """Four stored levels of an orders cube; questions of two, one (with a
+    filter) and no dimensions, each answered by the smallest level that covers it."""
+    orders = read_table(spark, d, "orders").select(
+        F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"),
+        F.date_trunc("month", "o_orderdate").alias("month"), F.col("o_totalprice").cast("decimal(18,2)").alias("total"))
+    cube = precompute.StoredCube(spark, scratch_dir(spark, "stored-cube"),
+                                 [("status", "priority", "month"), ("status", "priority"), ("priority",), ()], ["total"])
+    cube.build(orders)
+    asked = {"two": cube.ask(["status", "priority"]), "one": cube.ask(["priority"], {"status": "F"}), "none": cube.ask()}
+    parts = [found.select(F.lit(name).alias("question"), *(F.col(c) if c in found.columns else F.lit(None).cast("string").alias(c)
+                                                           for c in ("status", "priority")),
+                          "n", F.col("total").cast("double").alias("total")) for name, found in asked.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 _INDEXES: dict[tuple[str, str], str] = {}
 
 

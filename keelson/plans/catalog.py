@@ -60,6 +60,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "crash_windows_append": streams.crash_windows_append,
     "restart_stream": streams.restart_stream,
     "progress_rows": streams.progress_rows,
+    "summary_compacted": streams.summary_compacted,
+    "token_search_stream": streams.token_search_stream,
+    "late_repair": streams.late_repair,
+    "cube_route": batch.cube_route,
 }
 
 

@@ -212,3 +212,18 @@ ORACLE["sql_view_revenue"] = """
                AS revenue, count(*) AS n_rows
     FROM lineitem GROUP BY l_returnflag"""
 ORACLE["save_table_roundtrip"] = "SELECT * FROM orders"
+
+ORACLE["summary_compacted"] = ORACLE["summary_merge"]
+ORACLE["token_search_stream"] = ORACLE["token_search"]
+ORACLE["late_repair"] = """
+    SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
+           user_id, count(*) AS error_count
+    FROM events, (SELECT max(ts) FILTER (WHERE event_type = 'error') AS newest FROM events)
+    WHERE event_type = 'error' AND date_trunc('day', ts) + INTERVAL 1 DAY <= newest - INTERVAL 30 SECOND
+    GROUP BY 1, 2, user_id HAVING count(*) > 1"""
+ORACLE["cube_route"] = """
+    SELECT 'two' AS question, o_orderstatus AS status, o_orderpriority AS priority, count(*) AS n,
+           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders GROUP BY ALL
+    UNION ALL SELECT 'one', NULL, o_orderpriority, count(*), CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)
+    FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL
+    UNION ALL SELECT 'none', NULL, NULL, count(*), CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) FROM orders"""

@@ -14,7 +14,7 @@ from keelson.operators.fraud import fraud_score
 from keelson.operators.report import progress_report
 from keelson.session import scratch_dir
 from keelson.sources.tables import read_table, stream_table
-from keelson.streaming import run, stateful, tails
+from keelson.streaming import repair, run, stateful, tails
 
 
 def window_counts_stream(spark: SparkSession, d: str) -> DataFrame:
@@ -111,6 +111,54 @@ def summary_merge(spark: SparkSession, d: str) -> DataFrame:
     return precompute.read_summary(spark, path, keys)
 
 
+def _in_batches(spark: SparkSession, df: DataFrame, id_col: str, batches: int, name: str) -> DataFrame:
+    """``df`` staged as files and streamed back in about ``batches`` micro-batches,
+    rows dealt by a hash of their id."""
+    stage = scratch_dir(spark, name)
+    df.withColumn("part", F.pmod(F.xxhash64(id_col), F.lit(batches))).write.partitionBy("part").parquet(stage)
+    files = len(spark.read.parquet(stage).inputFiles())
+    return (spark.readStream.schema(df.schema).option("recursiveFileLookup", "true")
+            .option("maxFilesPerTrigger", max(1, files // batches)).parquet(stage))
+
+
+def summary_compacted(spark: SparkSession, d: str) -> DataFrame:
+    """A10: the summary over nine or more batches, its partials merged two by two as they come."""
+    keys = ["event_type"]
+    summary = precompute.segmented_summary(spark, scratch_dir(spark, "segmented-summary"), keys, fan=2)
+    src = _in_batches(spark, read_table(spark, d, "events"), "event_id", 9, "segmented-stage")
+    run.finish(run.route_alerts(src, lambda b, i: precompute.add_to_summary(summary, b, i, keys),
+                                checkpoint=scratch_dir(spark, "segmented-ck"), trigger={"availableNow": True}))
+    return precompute.read_segmented_summary(summary, keys)
+
+
+def token_search_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The word index kept up by the stream of documents itself, a
+    segment a batch (about four), three of which merge; then the search."""
+    docs = read_table(spark, d, "documents").select("doc_id", "text")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    index = precompute.index_segments(spark, scratch_dir(spark, "index-segments"), "token string, doc_id bigint",
+                                      buckets=buckets, fan=3)
+    src = _in_batches(spark, docs, "doc_id", 4, "index-stage")
+    run.finish(run.route_alerts(src, lambda b, i: precompute.add_to_index(index, b, i, "doc_id", "text"),
+                                checkpoint=scratch_dir(spark, "index-ck"), trigger={"availableNow": True}))
+    return precompute.search_tokens(index.read(), ["the"], "doc_id", buckets=buckets)
+
+
+def late_repair(spark: SparkSession, d: str) -> DataFrame:
+    """Daily error counts per user of all closed days, where every seventh
+    event arrives after all others: its window has been stored by then and is
+    counted again from the raw rows."""
+    ev = read_table(spark, d, "events").select("event_id", "ts", "user_id", "event_type")
+    late = F.col("event_id") % 7 == 0
+    stage, out, ck = (scratch_dir(spark, f"repair-{x}") for x in ("in", "out", "ck"))
+    for part in [*_by_time(ev.filter(~late), "ts"), ev.filter(late)]:
+        part.write.mode("append").parquet(stage)
+        run.finish(repair.keep_windows(spark.readStream.schema(ev.schema).parquet(stage), "ts", out, ck, "1 day",
+                                       ["user_id"], F.col("event_type") == "error", "30 seconds", 1, "error_count", "1 day"))
+    return repair.read_windows(spark, out).select(
+        to_ntz("window_start").alias("window_start"), to_ntz("window_end").alias("window_end"), "user_id", "error_count")
+
+
 def ingest_table(spark: SparkSession, d: str) -> DataFrame:
     """Events replayed as JSON records (epoch-microsecond time, as
     a topic would carry them), ingested by a checkpointed stream into an

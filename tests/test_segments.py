@@ -1,0 +1,136 @@
+"""Tables kept up by batches: segments, the summary and the index on them, the stored cube."""
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from keelson.operators import precompute as P
+from keelson.operators.segments import Segments, live, merges
+
+
+@pytest.mark.parametrize("fan", [2, 3, 4])
+def test_live_segments_cover_all_batches_once(fan):
+    held = []
+    for n in range(200):
+        held.append((n, n))
+        for whole, parts in merges(n, fan):
+            assert set(parts) <= set(held)
+            held = [x for x in held if x not in parts] + [whole]
+        assert sorted(held) == sorted(live(n, fan))
+        assert [b for lo, hi in sorted(held) for b in range(lo, hi + 1)] == list(range(n + 1))
+        assert len(held) <= (fan - 1) * 9
+
+
+def _batches(spark, n=9):
+    rnd = random.Random(4)
+    return [spark.createDataFrame([(rnd.choice("abc") if i != 3 else None,) for _ in range(30 * (i != 5))], "k string")
+            for i in range(n)]
+
+
+def _folders(path):
+    return sorted(n for n in os.listdir(path) if n.startswith("segment="))
+
+
+def test_summary_stays_small_and_survives_replays(spark, tmp):
+    batches = _batches(spark)
+    summary = P.segmented_summary(spark, f"{tmp}/s", ["k"], fan=2)
+    for i, b in enumerate(batches):
+        P.add_to_summary(summary, b, i, ["k"])
+        P.add_to_summary(summary, b, i, ["k"])                 # again, and an old one
+        P.add_to_summary(summary, batches[0], 0, ["k"])
+    want = sorted(((r["k"], r["count"]) for b in batches for r in b.groupBy("k").count().collect()), key=str)
+    totals = {}
+    for k, c in want:
+        totals[k] = totals.get(k, 0) + c
+    assert {r["k"]: r["n"] for r in P.read_segmented_summary(summary, ["k"]).collect()} == totals
+    assert len(summary.paths()) == 2 and len(_folders(f"{tmp}/s")) <= 3
+    with pytest.raises(ValueError):
+        summary.add(batches[0], 20)
+
+
+def test_a_batch_that_broke_off_starts_again(spark, tmp, monkeypatch):
+    """Killed after its merges and before its marker: the parts it merged are still there."""
+    batches = _batches(spark, 4)
+    summary = P.segmented_summary(spark, f"{tmp}/s", ["k"], fan=2)
+    for i in range(3):
+        P.add_to_summary(summary, batches[i], i, ["k"])
+    before = {r["k"]: r["n"] for r in P.read_segmented_summary(summary, ["k"]).collect()}
+    real, wrote = summary.write, []
+
+    def fails(rows, to):
+        real(rows, to)
+        wrote.append(to)
+        if len(wrote) == 2:
+            raise RuntimeError("lost")
+    summary.write = fails
+    with pytest.raises(RuntimeError):
+        P.add_to_summary(summary, batches[3], 3, ["k"])
+    assert {r["k"]: r["n"] for r in P.read_segmented_summary(summary, ["k"]).collect()} == before
+    summary.write = real
+    P.add_to_summary(summary, batches[3], 3, ["k"])
+    got = {r["k"]: r["n"] for r in P.read_segmented_summary(summary, ["k"]).collect()}
+    whole = batches[0].unionByName(batches[1]).unionByName(batches[2]).unionByName(batches[3])
+    assert got == {r["k"]: r["count"] for r in whole.groupBy("k").count().collect()}
+    assert summary.last() == 3 and len(summary.paths()) == 1
+
+
+def test_index_segments_are_left_alone_until_they_merge(spark, tmp):
+    index = P.index_segments(spark, f"{tmp}/i", "token string, doc_id bigint", buckets=4, fan=3)
+    texts = [[(1, "the cat"), (2, "a dog")], [(3, "The end"), (4, None), (5, "")], [], [(6, "cat the the")]]
+    stamps = {}
+    for i, rows in enumerate(texts):
+        P.add_to_index(index, spark.createDataFrame(rows, "doc_id bigint, text string"), i, "doc_id", "text")
+        for root, _, files in os.walk(f"{tmp}/i"):
+            for f in files:
+                at = os.path.join(root, f)
+                assert stamps.setdefault(at, os.stat(at).st_mtime_ns) == os.stat(at).st_mtime_ns
+    hits = P.search_tokens(index.read(), ["THE"], "doc_id", buckets=4)
+    assert sorted(r["doc_id"] for r in hits.collect()) == [1, 3, 6]
+    assert [r["doc_id"] for r in P.search_tokens(index.read(), ["cat", "dog"], "doc_id", "all", 4).collect()] == []
+    assert sorted(r["doc_id"] for r in P.search_tokens(index.read(), ["cat", "the"], "doc_id", "all", 4).collect()) == [1, 6]
+    bucket = spark.range(1).select(P.token_bucket(F.lit("the"), 4)).first()[0]
+    read = index.read().filter((F.col("bucket") == bucket) & (F.col("token") == "the"))
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan
+    assert [os.path.basename(p) for p in index.paths()] == ["segment=0-2", "segment=3-3"]
+
+
+def test_empty_segmented_table_is_an_error(spark, tmp):
+    with pytest.raises(ValueError):
+        Segments(spark, f"{tmp}/none").read()
+    with pytest.raises(ValueError):
+        Segments(spark, f"{tmp}/none", fan=1)
+
+
+def _cube(spark, tmp):
+    rnd = random.Random(2)
+    rows = [(rnd.choice(["x", "y", None]), rnd.choice("abcd"), rnd.randrange(50), rnd.randrange(100)) for _ in range(500)]
+    df = spark.createDataFrame(rows, "s string, p string, day int, v int")
+    levels = [("s", "p", "day"), ("s", "p"), ("p",)]
+    return df, P.StoredCube(spark, f"{tmp}/cube", levels, ["v"]).build(df)
+
+
+@pytest.mark.parametrize("by,where,level", [
+    (["s", "p"], {}, "by_s_p"), (["p"], {}, "by_p"), ([], {}, "by_p"), (["s"], {"p": "a"}, "by_s_p"), (["p"], {"s": None}, "by_s_p"),
+    (["day"], {}, "by_s_p_day"), ([], {"day": 3}, "by_s_p_day"), ([], {"p": "nowhere"}, "by_p")])
+def test_questions_go_to_the_smallest_level_that_covers_them(spark, tmp, by, where, level):
+    df, cube = _cube(spark, tmp)
+    found = cube.ask(by, where)
+    assert {p.split("/")[-2] for p in found.inputFiles()} == {level}
+    for c, v in where.items():
+        df = df.filter(F.col(c).eqNullSafe(F.lit(v)))
+    want = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("v"))
+    got = sorted((tuple(r) for r in found.collect()), key=str)
+    if "nowhere" in where.values():
+        assert got == [(None, None)]
+    else:
+        assert got == sorted((tuple(r) for r in want.collect()), key=str)
+
+
+def test_levels_must_be_covered(spark, tmp):
+    _, cube = _cube(spark, tmp)
+    with pytest.raises(ValueError):
+        cube.ask(["city"])
+    with pytest.raises(ValueError):
+        P.StoredCube(spark, tmp, [("a",), ("b",)])
