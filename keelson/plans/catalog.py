@@ -63,6 +63,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "summary_compacted": streams.summary_compacted,
     "token_search_stream": streams.token_search_stream,
     "late_repair": streams.late_repair,
+    "velocity_state_list": streams.velocity_state_list,
+    "profile_state_list": streams.profile_state_list,
     "cube_route": batch.cube_route,
 }
 

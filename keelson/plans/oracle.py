@@ -227,3 +227,6 @@ ORACLE["cube_route"] = """
     UNION ALL SELECT 'one', NULL, o_orderpriority, count(*), CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)
     FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL
     UNION ALL SELECT 'none', NULL, NULL, count(*), CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) FROM orders"""
+ORACLE["velocity_state_list"] = ORACLE["velocity_score"]
+ORACLE["profile_state_list"] = f"""
+    SELECT event_id, user_id, ts, value, prior_n, prior_sum, is_outlier FROM ({ORACLE["profile_outlier"]})"""

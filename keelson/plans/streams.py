@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from keelson.functions.time import to_ntz
 from keelson.operators import basic, logs, precompute
-from keelson.operators.fraud import fraud_score
+from keelson.operators.fraud import flag_outliers, fraud_score
 from keelson.operators.report import progress_report
 from keelson.session import scratch_dir
 from keelson.sources.tables import read_table, stream_table
-from keelson.streaming import repair, run, stateful, tails
+from keelson.streaming import repair, run, stateful, tails, timed
 
 
 def window_counts_stream(spark: SparkSession, d: str) -> DataFrame:
@@ -111,6 +111,37 @@ def summary_merge(spark: SparkSession, d: str) -> DataFrame:
     return precompute.read_summary(spark, path, keys)
 
 
+def _closed(ev: DataFrame) -> list[DataFrame]:
+    """Four parts in time order, and a last record of no user, long after all others, that moves the watermark past them."""
+    end = ev.agg((F.max("ts") + F.expr("interval 10 days")).alias("ts"))
+    last = end.select(*(F.col("ts") if f.name == "ts" else F.lit(0 if f.name in ("event_id", "value") else None)
+                        .cast(f.dataType).alias(f.name) for f in ev.schema.fields))
+    return [*_by_time(ev, "ts"), last]
+
+
+def velocity_state_list(spark: SparkSession, d: str) -> DataFrame:
+    """T4/W5 with event-time timers and list state, over four micro-batches restarted from the checkpoint."""
+    ev = read_table(spark, d, "events").select("event_id", "user_id", "ts", "value")
+    build = lambda s: timed.velocity_events(s, "user_id", "ts", "event_id", "value", span="1 hour",
+                                            delay="1 hour", slice_width="1 day")
+    with timed.state_store(spark):
+        rows = run.run_parts(spark, _closed(ev), ev.schema, build, "velocity_state")
+    out = fraud_score(rows, "value", max_velocity=5, max_amount=400.0)
+    return out.select("event_id", "user_id", "ts", "velocity", "score", "alert")
+
+
+def profile_state_list(spark: SparkSession, d: str) -> DataFrame:
+    """T5/W3 with event-time timers and list state, as :func:`velocity_state_list`."""
+    ev = read_table(spark, d, "events").select("event_id", "user_id", "ts", "value")
+    build = lambda s: timed.profile_events(s, "user_id", "ts", "event_id", "value", depth=50, delay="1 hour",
+                                           slice_width="1 day")
+    with timed.state_store(spark):
+        rows = run.run_parts(spark, _closed(ev), ev.schema, build, "profile_state")
+    out = flag_outliers(rows, "value", rule="ratio", ratio=3.0, floor=50.0, min_n=3)
+    return out.select("event_id", "user_id", "ts", F.col("value").cast("double").alias("value"), "prior_n",
+                      F.col("prior_sum").cast("double").alias("prior_sum"), "is_outlier")
+
+
 def _in_batches(spark: SparkSession, df: DataFrame, id_col: str, batches: int, name: str) -> DataFrame:
     """``df`` staged as files and streamed back in about ``batches`` micro-batches,
     rows dealt by a hash of their id."""
@@ -217,7 +248,7 @@ def _feed_reader(spark: SparkSession, stage: str):
 def _velocity_agent(rows: DataFrame) -> DataFrame:
     vel = stateful.velocity_stream(rows.select("id", "user_id", "amount", "created_at"),
                                    "user_id", "created_at", "id", span="30 days",
-                                   amount="amount")
+                                   amount="amount", watermark="30 days")
     scored = fraud_score(vel, "amount", max_velocity=1, max_amount=400000.0)
     return scored.filter("alert").select("id", "user_id", "amount", "velocity", "score")
 
