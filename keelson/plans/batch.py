@@ -217,6 +217,11 @@ def skew_report(spark: SparkSession, d: str) -> DataFrame:
     return report.skew_report(read_table(spark, d, "lineitem"), "l_suppkey")
 
 
+def skew_top_keys(spark: SparkSession, d: str) -> DataFrame:
+    """The customers of at least 0.1 % of all orders, by sketch and exact recount."""
+    return report.heavy_keys(read_table(spark, d, "orders"), "o_custkey", 0.001).select("o_custkey", "n_rows")
+
+
 def profile_sigma(spark: SparkSession, d: str) -> DataFrame:
     """W2/W3 sigma rule: amount above mean + 3 sample deviations of the
     previous up to 50 amounts (and above 50), with at least 3 of them."""

@@ -65,6 +65,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "late_repair": streams.late_repair,
     "velocity_state_list": streams.velocity_state_list,
     "profile_state_list": streams.profile_state_list,
+    "trailing_avg_panes": streams.trailing_avg_panes,
+    "progress_log": streams.progress_log,
+    "skew_top_keys": batch.skew_top_keys,
     "cube_route": batch.cube_route,
 }
 

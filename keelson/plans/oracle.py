@@ -230,3 +230,8 @@ ORACLE["cube_route"] = """
 ORACLE["velocity_state_list"] = ORACLE["velocity_score"]
 ORACLE["profile_state_list"] = f"""
     SELECT event_id, user_id, ts, value, prior_n, prior_sum, is_outlier FROM ({ORACLE["profile_outlier"]})"""
+ORACLE["trailing_avg_panes"] = ORACLE["trailing_avg"]
+ORACLE["progress_log"] = "SELECT count(*) AS input_rows FROM events"
+ORACLE["skew_top_keys"] = """
+    SELECT o_custkey, count(*) AS n_rows FROM orders GROUP BY o_custkey
+    HAVING count(*) >= 0.001 * (SELECT count(*) FROM orders)"""

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.functions.time import to_ntz
-from keelson.operators import basic, logs, precompute
+from keelson.operators import basic, logs, precompute, sensors
 from keelson.operators.fraud import flag_outliers, fraud_score
-from keelson.operators.report import progress_report
+from keelson.operators.report import ProgressLog, progress_report
+from keelson.operators.segments import Segments
 from keelson.session import scratch_dir
 from keelson.sources.tables import read_table, stream_table
 from keelson.streaming import repair, run, stateful, tails, timed
@@ -162,6 +163,28 @@ def summary_compacted(spark: SparkSession, d: str) -> DataFrame:
     return precompute.read_segmented_summary(summary, keys)
 
 
+def trailing_avg_panes(spark: SparkSession, d: str) -> DataFrame:
+    """The trailing day from panes of an hour, which a stream of about
+    four batches adds to, and the raw rows of the two edge panes."""
+    ev = read_table(spark, d, "events")
+    panes = Segments(spark, scratch_dir(spark, "panes"), merge=sensors.merge_panes)
+    src = _in_batches(spark, ev.select("event_id", "ts", "value"), "event_id", 4, "panes-stage")
+    run.finish(run.route_alerts(src, lambda b, i: panes.add(sensors.pane_sums(b, "ts", "value", "1 hour"), i),
+                                checkpoint=scratch_dir(spark, "panes-ck"), trigger={"availableNow": True}))
+    return sensors.trailing_from_panes(panes.read(), ev, "ts", "value", sensors.latest_value(ev, "ts"), "1 day", "1 hour")
+
+
+def progress_log(spark: SparkSession, d: str) -> DataFrame:
+    """A stream's batches as its listener wrote them down: input rows in all."""
+    ev = read_table(spark, d, "events").select("event_id", "ts")
+    with ProgressLog(spark, scratch_dir(spark, "progress-log")) as log:
+        q = run.start(_in_batches(spark, ev, "event_id", 4, "progress-log-in"), checkpoint=scratch_dir(spark, "progress-log-ck"),
+                      trigger={"availableNow": True}, foreach_batch=run.batch_writer(scratch_dir(spark, "progress-log-out")))
+        run.finish(q)
+        log.wait(q)
+        return log.read().agg(F.sum("num_input_rows").alias("input_rows"))
+
+
 def token_search_stream(spark: SparkSession, d: str) -> DataFrame:
     """The word index kept up by the stream of documents itself, a
     segment a batch (about four), three of which merge; then the search."""

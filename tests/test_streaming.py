@@ -305,3 +305,35 @@ def test_parts_are_batches_with_state(spark, tmp):
         rows += [r for r in progress_report(spark, q).collect() if r.num_input_rows]
     assert len(rows) == 4 and rows[0].state_rows > 0
     assert all(r.num_input_rows < ev.count() for r in rows)
+
+
+def test_a_batch_rewrites_only_the_buckets_of_its_users(spark, tmp):
+    """T5: three batches, the second of one user, the third of two."""
+    from keelson.streaming import tails
+    kind, src, out, ck = "id long, user long, ts timestamp_ntz, amount decimal(10,2)", *(os.path.join(tmp, x) for x in ("in", "out", "ck"))
+    t0 = dt.datetime(2024, 1, 1)
+    parts = [[(i, i % 40, t0 + dt.timedelta(seconds=i), Decimal(i + 1)) for i in range(200)],
+             [(300, 7, t0 + dt.timedelta(hours=1), Decimal(5000))],
+             [(400 + i, i, t0 + dt.timedelta(hours=2), Decimal(9000)) for i in (7, 8)]]
+
+    def feed():
+        stream = spark.readStream.schema(kind).parquet(src)
+        run.finish(tails.profile_batches(stream, "user", "ts", "id", "amount", out, ck, depth=5, buckets=8))
+
+    def written(n):
+        return sorted(x for x in os.listdir(f"{out}/history/batch_id={n}") if x.startswith("bucket="))
+
+    for k, part in enumerate(parts):
+        spark.createDataFrame(part, kind).write.mode("append").parquet(src)
+        feed()
+        if k == 1:
+            assert len(written(0)) == 8 and len(written(1)) == 1
+    assert len(written(2)) <= 2
+    got = {r.id: (r.prior_n, r.prior_sum, r.is_outlier) for r in tails.read_results(spark, out).collect()}
+    history = {}
+    for i, u, _, a in [r for p in parts for r in p]:
+        h = history.setdefault(u, [])[-5:]
+        assert got[i] == (len(h), sum(h) if h else None, len(h) >= 3 and a * len(h) > 3 * sum(h) and a > 500)
+        history[u].append(a)
+    held = sorted(x for n in os.listdir(f"{out}/history") if n.startswith("batch_id=") for x in written(int(n[9:])))
+    assert len(held) <= 16
