@@ -27,7 +27,8 @@ from keelson.session import scratch_dir
 WINDOW = 13
 #: (window, item) pairs in one broadcast, about 150 bytes each.
 BLOCK_PAIRS = 200_000
-_BITS = 20
+#: Slots of a block's hash table for each of its windows, and the fewest it has (2^20).
+_ROOM, _BITS = 64, 20
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 _FOUND = "n_words bigint, spans array<struct<start:int,end:int>>, items array<string>"
 
@@ -63,8 +64,10 @@ class Grams:
         self.tables: dict[int, np.ndarray] = {}
         for size, grams in sizes.items():
             words = W.find_words(grams, W.PLAIN)
-            table = np.zeros(1 << _BITS, dtype=bool)
-            table[_slot(W.window_hashes(words.hashes(), size)[words.first[:-1]])] = True
+            # few windows a slot: a word of a text that is in no window is hardly ever looked at
+            bits = max(_BITS, (_ROOM * len(grams)).bit_length())
+            table = np.zeros(1 << bits, dtype=bool)
+            table[_slot(W.window_hashes(words.hashes(), size)[words.first[:-1]], bits)] = True
             self.tables[size] = table
 
     def hits(self, words: W.Words) -> Iterator[tuple[int, int, bytes]]:
@@ -73,15 +76,15 @@ class Grams:
         for size, table in self.tables.items():
             if len(h) < size:
                 continue
-            maybe = table[_slot(W.window_hashes(h, size))] & W.inside(words, size)
+            maybe = table[_slot(W.window_hashes(h, size), len(table).bit_length() - 1)] & W.inside(words, size)
             for i in np.flatnonzero(maybe).tolist():
                 gram = words.joined(i, i + size)
                 if gram in self.items:
                     yield i, size, gram
 
 
-def _slot(h: np.ndarray) -> np.ndarray:
-    return (h >> W.U64(64 - _BITS)).astype(np.int64)
+def _slot(h: np.ndarray, bits: int) -> np.ndarray:
+    return (h >> W.U64(64 - bits)).astype(np.int64)
 
 
 def _scanner(block, text_at: int):

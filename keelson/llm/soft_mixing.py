@@ -144,7 +144,7 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     model = fit_domains(table, labels, id_col, domain)
     if not model:
         return _copies(docs.select(_whole(docs), features(text_col)[0], F.lit(1.0).alias("rate"),
-                                   F.lit(None).cast("map<string,double>").alias("posterior")), id_col, seed)
+                                   F.lit(None).cast("map<string,double>").alias("posterior")), id_col, text_col, seed)
     if missing := sorted(model.keys() - targets.keys()):
         raise ValueError(f"labelled domains without a target: {missing}")
     wanted = [targets[k] for k in model]
@@ -156,15 +156,18 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     pairs = [y for k, n in zip(model, names) for y in (F.lit(k), F.col(n))]
     return _copies(posteriors(docs.select(_whole(docs), *features(text_col)), model, ["doc", "tokens"]).select(
         "doc", "tokens", F.round(rate_after(residuals, [F.col(n) for n in names]), 6).alias("rate"),
-        F.create_map(*pairs).alias("posterior")), id_col, seed)
+        F.create_map(*pairs).alias("posterior")), id_col, text_col, seed)
 
 
 def _whole(docs: DataFrame) -> Column:
     return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
 
 
-def _copies(rated: DataFrame, id_col: str, seed: int) -> DataFrame:
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col(f"doc.`{id_col}`").cast("string")), F.lit(1_000_000)) / 1e6
+def _copies(rated: DataFrame, id_col: str, text_col: str, seed: int) -> DataFrame:
+    """Whole copies: a rate's fraction is drawn by a hash of id and text, so rows of
+    one id (or none) draw apart; rows equal in both are drawn alike."""
+    row = F.xxhash64(F.lit(seed), F.col(f"doc.`{id_col}`").cast("string"), F.col(f"doc.`{text_col}`").cast("string"))
+    draw = F.pmod(row, F.lit(1_000_000)) / 1e6
     return rated.withColumn("copies", (F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("int")).cast("int"))
 
 

@@ -73,3 +73,8 @@ def test_empty_tables(spark, docs_of):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert D.benchmark_hits(docs_of([]), none).collect() == []
     assert [r["n_words"] for r in D.benchmark_hits(docs_of([(1, "a b")]), none).collect()] == [2]
+
+
+def test_a_full_block_leaves_most_slots_free(prose):
+    grams = D.Grams([(str(i), 5, " ".join(prose(i, 5).lower().split())) for i in range(40_000)])
+    assert all(t.mean() < 0.02 for t in grams.tables.values())

@@ -93,3 +93,13 @@ def test_domain_without_target_and_open_gap_are_reported(spark, corpus):
     table = spark.createDataFrame([(100, 1.0, 0.0), (100, 0.5, 0.5)], "tokens bigint, p0 double, p1 double")
     with pytest.warns(UserWarning, match="after 1 steps"):
         M.fit_rates(table, [0.1, 0.9], steps=1)
+
+
+def test_rows_without_ids_are_drawn_apart(spark, docs_of):
+    """Half the ids are null, a third of the others are one id: as many copies as the rates say."""
+    rows = [(None if i % 2 else (7 if i % 6 == 0 else i), f"text number {i}") for i in range(4000)]
+    held = docs_of(rows).select(M.F.struct("*").alias("doc"), M.F.lit(0.4).alias("rate"))
+    out = M._copies(held, "doc_id", "text", 1).collect()
+    for part in ([r for r in out if r["doc"]["doc_id"] is None], [r for r in out if r["doc"]["doc_id"] == 7]):
+        share = sum(r["copies"] for r in part) / len(part)
+        assert abs(share - 0.4) < 0.06
