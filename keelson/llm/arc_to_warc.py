@@ -4,10 +4,10 @@
 header line of the archive's version (1: five fields, 2: ten) and the declared
 length, ``write_warc`` turns them into WARC records with synthesised ids,
 dates, types and digests, and ``read_warc`` reads those back. Archives are
-gzipped files written by Spark's text writer, one or more a task. Pages are
-written by size class, each with so many records a file that no file holds much
-over ``FILE_BYTES`` (or one record); reading streams through a file and holds
-one record at a time.
+gzipped files written by Spark's text writer. A task begins a new file (in
+another ``roll=<n>`` folder) once ``FILE_BYTES`` are written, so a file holds no
+more than that and one record; reading streams through a file and holds one
+record at a time.
 
 Of records with equal payloads, the one with the largest page id is written as
 a response, the others as revisits of it: their block is the HTTP header alone.
@@ -21,7 +21,7 @@ version is skipped to the next line; a record is an archive's description if it
 is the first or plain text, its url begins with ``filedesc://`` and its body
 with a version number, else it is a page of that url; archives that are not
 gzipped are read as they are; a page header that is no whole number is none;
-very long pages stand alone in their files; other columns are not archived.
+a page longer than ``FILE_BYTES`` ends its file; other columns are not archived.
 """
 
 from __future__ import annotations
@@ -36,14 +36,12 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from keelson.llm import text as W
 from keelson.session import scratch_dir
 
 FILE_BYTES = 256 << 20
-#: Classes of payload size: up to 64 KB, up to 4 MB, longer.
-SIZE_CLASSES = (64 << 10, 4 << 20)
 #: Smallest payload that a revisit may stand for.
 REVISIT_BYTES = 0
 ARC_DATE = "20240101000000"
@@ -71,26 +69,39 @@ class ArcRecord(NamedTuple):
     described: bool = False
 
 
-def _arc_writer(version: int):
-    """(page_id, url, html) rows to ARC records, the archive's description first."""
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        about = f"{version} 0 keelson\n{_V1 if version == 1 else _V2}\n"
-        yield _lines([_arc_line(version, "filedesc://pages.arc", "text/plain", len(about)).encode() + about.encode()])
+def _arc_writer(version: int, file_bytes: int):
+    """(page_id, url, html) rows to ARC records and the file each belongs to, an archive description first in each."""
+    about = f"{version} 0 keelson\n{_V1 if version == 1 else _V2}\n"
+    first = _arc_line(version, "filedesc://pages.arc", "text/plain", len(about)).encode() + about.encode()
+
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
         for batch in batches:
-            out, held = [], 0
             for page, url, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), W.text_bytes(batch.column(2))):
                 name = "" if page is None else f"X-Page-Id: {page}\r\n"
                 body = (f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n{name}"
                         f"Content-Length: {len(html)}\r\n\r\n").encode() + html
                 place = "unknown:" if url is None else "%20".join(url.split()) if url.split() != [url] else url
-                out.append(_arc_line(version, place or "unknown:", "text/html", len(body)).encode() + body)
-                held += len(body)
-                if held > _BATCH_BYTES:
-                    yield _lines(out)
-                    out, held = [], 0
-            if out:
-                yield _lines(out)
-    return write
+                yield _arc_line(version, place or "unknown:", "text/html", len(body)).encode() + body
+
+    return lambda batches: _rolled(records(batches), file_bytes, first)
+
+
+def _rolled(records: Iterator[bytes], file_bytes: int, first: bytes | None = None) -> Iterator[pa.RecordBatch]:
+    """(value, roll) batches: the roll goes up when a file is full, and ``first`` begins each file."""
+    roll, in_file, held = 0, 0, 0
+    out: list[bytes] = [] if first is None else [first]
+    for record in records:
+        out.append(record)
+        held += len(record)
+        in_file += len(record)
+        if held > _BATCH_BYTES or in_file > file_bytes:
+            yield _lines(out, roll)
+            out, held = [], 0
+        if in_file > file_bytes:
+            roll, in_file = roll + 1, 0
+            out = [] if first is None else [first]
+    if held or out and roll == 0:        # an archive of no records has its description
+        yield _lines(out, roll)
 
 
 def _arc_line(version: int, url: str, mime: str, length: int) -> str:
@@ -98,29 +109,21 @@ def _arc_line(version: int, url: str, mime: str, length: int) -> str:
     return f"{url} 0.0.0.0 {ARC_DATE} {mime}{middle} {length}\n"
 
 
-def _lines(records: list[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([x.decode() for x in records], pa.string())], names=["value"])
+def _lines(records: list[bytes], roll: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(records, pa.binary()).cast(pa.string()), pa.array([roll] * len(records), pa.int32())],
+                                      names=["value", "roll"])
 
 
-def _size_classes(size: Column, largest: int) -> Iterator[tuple[Column, int]]:
-    """The condition of each class of ``size`` up to ``largest``, and the records that a file of it may hold."""
-    low = -1
-    for high in (*SIZE_CLASSES, largest):
-        if low < largest and low < high:
-            last = high >= largest
-            yield (size > low) if last else (size > low) & (size <= high), max(1, FILE_BYTES // max(high, 1))
-        low = max(low, high)
+def _write(rolled: DataFrame, path: str) -> None:
+    """(value, roll) rows as gzipped files; a task's rows come in the order of their rolls."""
+    (rolled.write.mode("append").partitionBy("roll").option("compression", "gzip").option("lineSep", "\n").text(path))
 
 
 def write_arc(pages: DataFrame, path: str, version: int, id_col: str = "page_id", url_col: str = "url",
-              html_col: str = "html") -> None:
+              html_col: str = "html", file_bytes: int = FILE_BYTES) -> None:
     """Write ``pages`` as gzipped ARC files of a version, without a shuffle."""
     kept = pages.select(F.col(id_col).cast("long"), url_col, html_col)
-    size = F.coalesce(F.octet_length(html_col), F.lit(0))
-    for fits, most in _size_classes(size, kept.agg(F.max(size)).first()[0] or 0):
-        (kept.where(fits).mapInArrow(_arc_writer(version), "value string")
-         .write.mode("append").option("compression", "gzip").option("lineSep", "\n")
-         .option("maxRecordsPerFile", most).text(path))
+    _write(kept.mapInArrow(_arc_writer(version, file_bytes), "value string, roll int"), path)
 
 
 def _opened(data: bytes) -> io.BufferedReader:
@@ -156,20 +159,20 @@ def arc_records(data: bytes) -> Iterator[ArcRecord]:
 
 
 _RECORD = ("archive string, offset bigint, version int, url string, ip string, date string, page_id bigint, "
-           "http binary, payload binary, digest string, size bigint")
+           "http binary, payload binary, digest string")
 
 
 def _arc_reader(with_payload: bool):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1)):
-                name, rows, held = path.as_py().rpartition("/")[2], [], 0
+                name, rows, held = _archive_name(path.as_py()), [], 0
                 for r in arc_records(content.as_py()):
                     if r.described:
                         continue
                     head, payload = _http_parts(r.body)
                     rows.append((name, r.offset, r.version, r.url, r.ip, r.date, _page_id(head),
-                                 head if with_payload else b"", payload if with_payload else b"", sha1_base32(payload), len(payload)))
+                                 head if with_payload else b"", payload if with_payload else b"", sha1_base32(payload)))
                     held += len(r.body)
                     if held > _BATCH_BYTES:
                         yield _record_batch(rows)
@@ -178,9 +181,14 @@ def _arc_reader(with_payload: bool):
     return read
 
 
+def _archive_name(path: str) -> str:
+    """A file's name, with its roll where it has one: files of a task's rolls are named alike."""
+    *_, folder, name = ["", *path.split("/")]
+    return f"{folder}/{name}" if folder.startswith("roll=") else name
+
+
 def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary(), pa.binary(),
-             pa.string(), pa.int64())
+    kinds = (pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.string())
     columns = list(zip(*rows)) if rows else [()] * len(kinds)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
                                       names=[x.split()[0] for x in _RECORD.split(", ")])
@@ -244,30 +252,24 @@ def warc_record(archive: str, offset: int, url: str, ip: str, date: str, page_id
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r"
 
 
-def _warc_writer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out, held = [], 0
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            out.append(warc_record(*row))
-            held += len(out[-1])
-            if held > _BATCH_BYTES:
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
-                out, held = [], 0
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+def _warc_writer(file_bytes: int):
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                yield warc_record(*row)
+    return lambda batches: _rolled(records(batches), file_bytes)
 
 
 def write_warc(records: DataFrame, firsts: DataFrame, path: str, least: int = REVISIT_BYTES,
-               records_per_file: int = FILE_BYTES // SIZE_CLASSES[0]) -> None:
-    """Add ARC ``records`` as gzipped WARC files. ``firsts`` names for each
+               file_bytes: int = FILE_BYTES) -> None:
+    """Write ARC ``records`` as gzipped WARC files. ``firsts`` names for each
     digest the largest page id; the join is an ordinary one, whose large
     digests the adaptive planner splits."""
     known = records.join(firsts, "digest", "left")
     again = (F.octet_length("payload") >= least) & F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
-    (known.select("archive", "offset", "url", "ip", "date", "page_id", "http", "payload", "digest",
-                  F.when(again, F.col("first")).alias("refers_to"))
-     .mapInArrow(_warc_writer, "value binary").select(F.col("value").cast("string").alias("value"))
-     .write.mode("append").option("compression", "gzip").option("lineSep", "\n")
-     .option("maxRecordsPerFile", records_per_file).text(path))
+    _write(known.select("archive", "offset", "url", "ip", "date", "page_id", "http", "payload", "digest",
+                        F.when(again, F.col("first")).alias("refers_to"))
+           .mapInArrow(_warc_writer(file_bytes), "value string, roll int"), path)
 
 
 def warc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -314,17 +316,14 @@ def _number(x: str | None) -> int | None:
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """One row for each record: page id, payload size and digest, type, and the page a revisit refers to."""
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(_warc_reader, _READ)
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
+            .mapInArrow(_warc_reader, _READ))
 
 
 def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = REVISIT_BYTES) -> None:
     """Convert the ARC files below ``arc_path`` into WARC files at ``warc_path``."""
-    read_arc(spark, arc_path, with_payload=False).groupBy("digest").agg(
-        F.max("page_id").alias("first"), F.max("size").alias("size")).write.parquet(path := scratch_dir(spark, "digests"))
-    firsts = spark.read.parquet(path)
-    records = read_arc(spark, arc_path)
-    for fits, most in _size_classes(F.col("size"), firsts.agg(F.max("size")).first()[0] or 0):
-        write_warc(records.where(fits), firsts.drop("size"), warc_path, least, most)
+    firsts = read_arc(spark, arc_path, with_payload=False).groupBy("digest").agg(F.max("page_id").alias("first"))
+    write_warc(read_arc(spark, arc_path), firsts, warc_path, least)
 
 
 def round_trip(pages: DataFrame, **columns: str) -> DataFrame:

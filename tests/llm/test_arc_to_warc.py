@@ -95,11 +95,13 @@ def test_plain_files_and_foreign_headers(spark, tmp):
 
 
 def test_files_are_bounded_by_bytes(spark, tmp, monkeypatch):
-    monkeypatch.setattr(A, "FILE_BYTES", 50_000)
-    monkeypatch.setattr(A, "SIZE_CLASSES", (1000, 20_000))
     pages = [(i, f"http://{i}/", "x" * (100 if i % 4 else 10_000 + i)) for i in range(200)] + [(500, "http://l/", "y" * 90_000)]
-    A.write_arc(table(spark, pages).coalesce(1), tmp, 1)
-    sizes = [sum(len(r.body) for r in A.arc_records(bytes(f["content"])))
-             for f in spark.read.format("binaryFile").load(tmp).collect()]
-    assert len(sizes) > 10 and max(sizes) < 92_000 and sorted(sizes)[-2] < 60_000
+    A.write_arc(table(spark, pages).coalesce(1), tmp, 1, file_bytes=50_000)
+    files = [list(A.arc_records(bytes(f["content"]))) for f in
+             spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(tmp).collect()]
+    sizes = [sum(len(r.body) for r in f[:-1]) for f in files]
+    assert len(files) > 10 and max(sizes) <= 50_000 and all(f[0].described for f in files)
+    assert len({r["archive"] for r in A.read_arc(spark, tmp).collect()}) == len(files)
+    monkeypatch.setattr(A.write_arc, "__defaults__", (*A.write_arc.__defaults__[:-1], 50_000))
+    monkeypatch.setattr(A.write_warc, "__defaults__", (*A.write_warc.__defaults__[:-1], 50_000))
     assert Counter(tuple(r) for r in A.round_trip(table(spark, pages)).collect()) == brute(pages)
