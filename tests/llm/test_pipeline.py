@@ -80,10 +80,10 @@ def test_run_and_empty_documents(spark, sf):
 
 def test_every_operator_is_registered():
     names = E.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in names) == 1
     assert "pipeline" in names and set(queries.oracle_sql()) == {
-        "op1_link_graph", "op2_decontaminate", "op6_substring_dedup", "op7_arc_to_warc"}
+        "op1_link_graph", "op2_decontaminate", "op6_substring_dedup", "op7_arc_to_warc", "op11_merkle_manifest", "op13_bag_search"}
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
