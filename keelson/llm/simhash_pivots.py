@@ -3,20 +3,24 @@
 Each text gets a 64-bit SimHash over its word shingles. All distinct
 fingerprints get a row of Hamming distances to ``PIVOTS`` reference
 fingerprints: a base reference, and references that differ from it within one
-third of the bits. By the triangle inequality two fingerprints at distance
-``d`` differ by at most ``d`` in every coordinate.
+of five blocks of the bits. By the triangle inequality two fingerprints at
+distance ``d`` differ by at most ``d`` in every coordinate.
 
 Candidates meet without comparing all: two linked fingerprints differ in at
-most two bits, so in at least one third of the bits they agree, and there all
-their distances differ from the base's by equal amounts. Those differences are
-an equality key (a cell), three for each fingerprint. Pairs within a cell are
-discarded by the largest coordinate difference over the whole table, and the
-survivors verified by their exact distance.
-
-A cell of more than ``CELL`` fingerprints is not paired up: there each
-fingerprint is listed under all values one bit away from it outside the cell's
-third, at most 44; two of them are linked exactly if they share a value. A
-value has at most 44 fingerprints, whatever the size of the cell.
+most two bits, so in at least three of the five blocks they agree, and there
+all their distances differ from the base's by equal amounts. Those differences
+are an equality key (a cell) for each of the ten triples of blocks; the
+references are drawn so that the differences tell all values of a block apart,
+so fingerprints of one cell agree in 38 or 39 bits, and cells stay sparse up
+to some 10^11 fingerprints. Pairs within a cell are discarded by the largest
+coordinate difference over the whole table, and the survivors verified by
+their exact distance.
+
+More than ``CELL`` fingerprints that are equal in a triple's bits are not
+paired up: there each is listed under all values one bit away from it outside
+those blocks, at most 65 over all its triples; two of them are linked exactly
+if they share a value. A value has at most 65 fingerprints, however many are
+equal in those bits.
 
 Linked fingerprints form components (alternating stars, each round written to
 the shared folder); documents of equal text meet in one fingerprint first, so
@@ -32,6 +36,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -46,17 +51,30 @@ SHINGLE = 3
 SEED = 42
 MOST_BITS = 2
 CELL = 16
-_THIRDS = ((0, 22), (22, 43), (43, 64))
-_MASKS = 14
+_BLOCKS = ((0, 13), (13, 26), (26, 39), (39, 52), (52, 64))
+_TRIPLES = tuple(combinations(range(len(_BLOCKS)), 3))
+_MASKS = 10
+
+
+def _tells_apart(masks: list[int], bits: int) -> bool:
+    """Whether the counts of ones under the masks differ for all values of so many bits."""
+    values = np.arange(1 << bits, dtype=np.int64)
+    counts = np.zeros_like(values)
+    for m in masks:
+        counts = counts * (bits + 1) + np.bitwise_count(values & m)
+    return len(np.unique(counts)) == len(values)
 
 
 def _references(seed: int = 7) -> list[list[int]]:
-    """The base reference, alone, then for each third the references that differ from it there."""
+    """The base reference, alone, then for each block the references that differ from it there."""
     draw = random.Random(seed)
     base = draw.getrandbits(64)
     found = [[base]]
-    for lo, hi in _THIRDS:
-        found.append([base ^ (draw.getrandbits(hi - lo) << lo) for _ in range(_MASKS)])
+    for lo, hi in _BLOCKS:
+        masks: list[int] = []
+        while not (masks and _tells_apart(masks, hi - lo)):
+            masks = [draw.getrandbits(hi - lo) for _ in range(_MASKS)]
+        found.append([base ^ (m << lo) for m in masks])
     return found
 
 
@@ -112,13 +130,18 @@ def distance_table(fps: DataFrame) -> DataFrame:
 
 
 def _cells(table: DataFrame) -> DataFrame:
-    """Three rows for each fingerprint: its cell in each third."""
-    keys, at = [], 1
-    for g, group in enumerate(REFERENCES[1:]):
-        keys.append(F.struct(F.xxhash64(F.lit(g), *(F.col("dist")[at + j] - F.col("dist")[0] for j in range(len(group))))
-                             .alias("cell"), F.lit(g).alias("third")))
+    """Ten rows for each fingerprint: its cell in each triple of blocks, and the bits outside it."""
+    at, blocks = 1, {}
+    for k, group in enumerate(REFERENCES[1:]):
+        blocks[f"block{k}"] = F.xxhash64(*(F.col("dist")[at + j] - F.col("dist")[0] for j in range(len(group))))
         at += len(group)
-    return table.select("fp", "dist", F.explode(F.array(*keys)).alias("k")).select("fp", "dist", "k.cell", "k.third")
+    keys = []
+    for t, triple in enumerate(_TRIPLES):
+        free = sum((1 << hi) - (1 << lo) for k, (lo, hi) in enumerate(_BLOCKS) if k not in triple)
+        keys.append(F.struct(F.xxhash64(F.lit(t), *(F.col(f"block{k}") for k in triple)).alias("cell"),
+                             F.lit(_signed(free)).alias("free")))
+    return table.withColumns(blocks).select("fp", "dist", F.explode(F.array(*keys)).alias("k")).select(
+        "fp", "dist", "k.cell", "k.free")
 
 
 def _near(a: Column, b: Column) -> Column:
@@ -128,8 +151,8 @@ def _near(a: Column, b: Column) -> Column:
 
 def links(fps: DataFrame, cell: int = CELL) -> DataFrame:
     """Edges (a, b), a > b, that connect exactly the distinct fingerprints
-    ``fps`` at ``MOST_BITS`` or fewer differing bits: all pairs of small cells,
-    and in large cells a star for each shared value."""
+    ``fps`` at ``MOST_BITS`` or fewer differing bits: all pairs of sparse cells,
+    and in crowded ones a star for each shared value."""
     cells = _cells(distance_table(fps))
     sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     held = cells.join(sizes, "cell")
@@ -138,11 +161,10 @@ def links(fps: DataFrame, cell: int = CELL) -> DataFrame:
              .where(_near(F.col("x.dist"), F.col("y.dist")))
              .where(F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= MOST_BITS)
              .select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")))
-    flips = F.lit(None)
-    for g, (lo, hi) in enumerate(_THIRDS):
-        masks = [0] + [_signed(1 << b) for b in range(64) if not lo <= b < hi]
-        flips = F.when(F.col("third") == g, F.array(*map(F.lit, masks)).cast("array<bigint>")).otherwise(flips)
-    shared = (held.where(F.col("n") > cell).select("fp", F.explode(flips).alias("mask"))
+    flips = F.array(*(F.lit(_signed(1 << b)) for b in range(64)))
+    crowded = held.where(F.col("n") > cell).groupBy("fp").agg(F.bit_or("free").alias("free"))
+    masks = F.concat(F.array(F.lit(0).cast("bigint")), F.filter(flips, lambda m: m.bitwiseAND(F.col("free")) != 0))
+    shared = (crowded.select("fp", F.explode(masks).alias("mask"))
               .select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("value"))
               .groupBy("value").agg(F.collect_set("fp").alias("fps")).where(F.size("fps") > 1)
               .select(F.array_min("fps").alias("b"), F.explode("fps").alias("a")).where("a > b"))

@@ -1,6 +1,8 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pandas as pd
 import xxhash
 
 from keelson.llm import simhash_pivots as S
@@ -66,6 +68,48 @@ def test_links_connect_what_pairs_connect(spark):
         assert {p: roots.get(p, p) for p in prints} == want
 
 
+def test_many_fingerprints_in_few_cells(spark):
+    """100,000 fingerprints that are equal in three blocks of bits, up to three values, against all flips of the rest."""
+    free, draw = 26, np.random.default_rng(6)
+    heads = [0, 0x0A5A5A5A5A << free, 0x1FFFFFFFFF << free]
+    tails = [np.unique(draw.integers(0, 1 << free, size=33_400)) for _ in heads]
+    prints = np.concatenate([t | h for t, h in zip(tails, heads)])
+    number = np.full(len(heads) << free, -1, dtype=np.int64)
+    spots = np.concatenate([t + (k << free) for k, t in enumerate(tails)])
+    number[spots] = np.arange(len(spots))
+    edges = []
+    for flip in [1 << a for a in range(free)] + [1 << a | 1 << b for a in range(free) for b in range(a)]:
+        other = number[spots ^ flip]
+        edges += [(int(i), int(other[i])) for i in np.nonzero(other > np.arange(len(spots)))[0]]
+    parent = list(range(len(spots)))
+
+    def root(k):
+        while parent[k] != k:
+            parent[k] = parent[parent[k]]
+            k = parent[k]
+        return k
+    for i, j in edges:
+        x, y = root(i), root(j)
+        parent[max(x, y)] = min(x, y)
+    assert len(prints) >= 100_000 and len(edges) > 5_000
+    fps = spark.createDataFrame(pd.DataFrame({"fp": prints}))
+    roots = {r["node"]: r["root"] for r in connected(S.links(fps)).collect()}
+    assert [roots.get(p, p) for p in prints.tolist()] == [int(prints[root(i)]) for i in range(len(prints))]
+
+
+def test_cells_are_equal_blocks(spark):
+    """Fingerprints share a triple's cell exactly if they have the same bits in its blocks."""
+    draw = random.Random(8)
+    prints = [draw.getrandbits(64) for _ in range(40)]
+    prints += [p ^ sum(1 << b for b in draw.sample(range(64), draw.randint(1, 4))) for p in prints for _ in range(4)]
+    fps = spark.createDataFrame([(S._signed(p),) for p in set(prints)], "fp bigint")
+    rows = S._cells(S.distance_table(fps)).collect()
+    assert len(rows) == 10 * len(set(prints))
+    values = {(r["free"], r["fp"] & ~r["free"]) for r in rows}
+    assert len(values) == len({r["cell"] for r in rows}) == len({(r["cell"], r["free"], r["fp"] & ~r["free"]) for r in rows})
+    assert {(r["free"] % 2**64).bit_count() for r in rows} == {25, 26}
+
+
 def test_pivot_distances_bound_the_distance(spark):
     draw = random.Random(4)
     prints = [S._signed(draw.getrandbits(64)) for _ in range(20)]
