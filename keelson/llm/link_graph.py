@@ -13,8 +13,7 @@ ends there. ``converge``, which the registered query uses, hands on only what
 arrived in the step before, until no whole unit moves: a share of ``DAMPING``
 of it is left after each step, so that is after about 200 steps at most, and
 after the longest path where links form no circle. ``propagate`` takes a stated
-number of steps from the undamped seeds, the form that the SQL has; without
-links both give the same masses.
+number of steps from the undamped seeds. The SQL has the converged form.
 
 Defined cases: a null url or one without ``://`` has empty host and path, fits
 no rule, takes no part in the graph and is allowed; repeated pages are judged
@@ -25,7 +24,7 @@ other columns of the pages do not matter, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from keelson.session import scratch_dir
 
@@ -33,6 +32,7 @@ from keelson.session import scratch_dir
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 STEPS = 8
+FOLD = 16
 DAMPING = 0.85
 THRESHOLD = 1.0
 UNIT = 10**15
@@ -77,9 +77,13 @@ def _arcs(links: DataFrame) -> DataFrame:
     return _written(arcs, "arcs")
 
 
-def _written(table: DataFrame, name: str) -> DataFrame:
+def _saved(table: DataFrame, name: str) -> str:
     table.write.parquet(path := scratch_dir(table.sparkSession, name))
-    return table.sparkSession.read.parquet(path)
+    return path
+
+
+def _written(table: DataFrame, name: str) -> DataFrame:
+    return table.sparkSession.read.parquet(_saved(table, name))
 
 
 def _moved(now: DataFrame, arcs: DataFrame, damping: float) -> DataFrame:
@@ -108,17 +112,32 @@ def propagate(seeds: DataFrame, links: DataFrame, steps: int = STEPS, damping: f
 
 
 def converge(seeds: DataFrame, links: DataFrame, damping: float = DAMPING) -> DataFrame:
-    """(kind, host, mass) when no whole unit moves any more; otherwise as ``propagate``."""
-    arcs = _arcs(links)
-    total = fresh = _written(_damped(seeds, damping), "masses")
+    """(kind, host, mass) when no whole unit moves any more; otherwise as ``propagate``.
+
+    One table a step, of the hosts that mass still reaches; they are summed
+    once at the end, and every ``FOLD`` steps into one table, after which the
+    ones summed are deleted."""
+    spark, arcs = seeds.sparkSession, _arcs(links)
+    moved = [_saved(_damped(seeds, damping), "moved")]
     if arcs.isEmpty():
-        return total
-    while True:
-        fresh = _written(_moved(fresh, arcs, damping).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
-                         .where("mass > 0"), "moved")
-        if fresh.isEmpty():
-            return total
-        total = _written(total.unionByName(fresh).groupBy("kind", "host").agg(F.sum("mass").alias("mass")), "masses")
+        return spark.read.parquet(*moved)
+    while not (fresh := spark.read.parquet(moved[-1])).isEmpty():
+        if len(moved) > FOLD:
+            done, moved = moved[:-1], moved[-1:]
+            moved.insert(0, _saved(_summed(spark.read.parquet(*done)), "masses"))
+            for path in done:
+                _delete(spark, path)
+        moved.append(_saved(_summed(_moved(fresh, arcs, damping)).where("mass > 0"), "moved"))
+    return _summed(spark.read.parquet(*moved))
+
+
+def _summed(masses: DataFrame) -> DataFrame:
+    return masses.groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def judge(pages: DataFrame, rules=RULES, url_col: str = "url", html_col: str = "html", steps: int | None = STEPS,

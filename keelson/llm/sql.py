@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from keelson.llm.link_graph import DAMPING, LINK, RULES, STEPS, THRESHOLD, UNIT
+from keelson.llm.link_graph import DAMPING, LINK, RULES, THRESHOLD, UNIT
 
 _LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PLAIN = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
@@ -61,20 +61,14 @@ FROM digests JOIN firsts USING (payload_digest)
 
 
 def _op1() -> str:
-    """The link graph's steps, each a table of its own."""
+    """The link graph, step by step until no whole unit moves."""
     rest = "CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END"
     link = LINK.replace("'", "''")
     fits = {f"{h}{p}": (f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')", v) for v, h, p in RULES}
     longest = sorted(fits, key=lambda r: -len(r))
     case = lambda value: "CASE " + " ".join(f"WHEN {fits[r][0]} THEN '{value(r)}'" for r in longest) + " END"
-    steps = "".join(f""",
-m{k + 1} AS MATERIALIZED (SELECT kind, host, CAST(sum(mass) AS BIGINT) AS mass FROM (
-    SELECT kind, next AS host, CAST(floor(CAST(mass AS DOUBLE) * CAST({DAMPING} AS DOUBLE) * part) AS BIGINT) AS mass
-    FROM m{k} JOIN arcs USING (kind, host)
-    UNION ALL SELECT kind, host, CAST(floor(CAST(mass AS DOUBLE) * (CAST(1 AS DOUBLE) - CAST({DAMPING} AS DOUBLE))) AS BIGINT)
-    FROM m0) GROUP BY ALL)""" for k in range(STEPS))
     return f"""
-WITH rest AS (SELECT page_id, html, coalesce({rest}, '') AS rest FROM pages),
+WITH RECURSIVE rest AS (SELECT page_id, html, coalesce({rest}, '') AS rest FROM pages),
 parts AS (SELECT page_id, html,
                  translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
                  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
@@ -88,9 +82,15 @@ arcs AS MATERIALIZED (SELECT kind, host, next, CAST(n AS DOUBLE) / sum(n) OVER (
 counts AS (SELECT CASE WHEN said = 'allow' THEN 'trust' ELSE 'distrust' END AS kind, host, count(*) AS n
            FROM ruled WHERE rule IS NOT NULL GROUP BY ALL),
 m0 AS MATERIALIZED (SELECT kind, host, CAST(floor(CAST({UNIT} AS DOUBLE) * n / sum(n) OVER (PARTITION BY kind)) AS BIGINT) AS mass
-                    FROM counts){steps},
+                    FROM counts),
+moved(step, kind, host, mass) AS (
+    SELECT 0, kind, host, CAST(floor(CAST(mass AS DOUBLE) * (CAST(1 AS DOUBLE) - CAST({DAMPING} AS DOUBLE))) AS BIGINT) FROM m0
+    UNION ALL
+    SELECT step + 1, kind, next, CAST(sum(
+        CAST(floor(CAST(mass AS DOUBLE) * CAST({DAMPING} AS DOUBLE) * part) AS BIGINT)) AS BIGINT) AS came
+    FROM moved JOIN arcs USING (kind, host) GROUP BY step, kind, next HAVING came > 0),
 hosts AS (SELECT host, CAST(sum(CASE WHEN kind = 'trust' THEN mass ELSE 0 END) AS BIGINT) AS trust,
-                 CAST(sum(CASE WHEN kind = 'distrust' THEN mass ELSE 0 END) AS BIGINT) AS distrust FROM m{STEPS} GROUP BY host)
+                 CAST(sum(CASE WHEN kind = 'distrust' THEN mass ELSE 0 END) AS BIGINT) AS distrust FROM moved GROUP BY host)
 SELECT page_id, host, path, rule,
        coalesce(said, CASE WHEN coalesce(distrust, 0) > coalesce(trust, 0) * CAST({THRESHOLD} AS DOUBLE) THEN 'block' ELSE 'allow' END) AS verdict,
        coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust

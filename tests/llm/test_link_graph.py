@@ -1,7 +1,9 @@
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
+import duckdb
 import pytest
 
 from keelson.llm import link_graph as L
@@ -135,6 +137,26 @@ def test_distrust_and_trust_reach_the_end_of_a_long_chain(spark, tmp):
     assert got[12]["verdict"] == "block" and got[111]["trust"] > 0
 
 
+def test_query_matches_its_sql_on_linked_pages(spark, tmp, pages):
+    """Circles, hubs and chains among given and drawn pages: the registered query against the SQL, ranks included."""
+    from keelson.llm import queries
+    draw = random.Random(12)
+    hosts = [f"h{i}.{end}" for i in range(60) for end in ("net", "com", "org")] + ["example.org", "a.example.org"]
+    paths = ["/", "/es/x", "/en/12", "/fr/", "/de/1"]
+    many = [(100 + i, f"http://{draw.choice(hosts)}{draw.choice(paths)}",
+             "".join(f'<a href="//{h}/">t</a>' for h in draw.sample(hosts, draw.randint(0, 4)))) for i in range(600)]
+    many += [(800 + i, f"http://{draw.choice(hosts)}/q", '<a href="http://h7.net/">hub</a>') for i in range(200)]
+    linked = [p for p in pages if p[0] is not None] + many
+    spark.createDataFrame(linked, "page_id bigint, url string, html string").write.parquet(f"{tmp}/pages.parquet")
+    columns = ["page_id", "host", "path", "rule", "verdict", "trust", "distrust"]
+    got = [tuple(r) for r in queries.op1_link_graph(spark, tmp).select(columns).collect()]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp}/pages.parquet/*.parquet')")
+    want = con.execute(f"SELECT {', '.join(columns)} FROM ({queries.oracle_sql()['op1_link_graph']})").fetchall()
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert sum(r[5] > 0 for r in got) > 100 and sum(r[3] is None and r[4] == "block" for r in got) > 20
+
+
 def test_circles_of_links_converge(spark):
     seeds = spark.createDataFrame([("trust", "a", 10**9)], "kind string, host string, start bigint")
     links = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "src string, dst string, pages bigint")
