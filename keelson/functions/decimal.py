@@ -88,6 +88,25 @@ def limb_sums(units, prefix: str) -> list[Column]:
             F.sum(u.bitwiseAND(F.lit(_MASK))).alias(f"{prefix}_lo")]
 
 
+def product_limb_sums(a, b, prefix: str) -> list[Column]:
+    """:func:`limb_sums` of ``a * b`` for whole numbers below 2^53. A product
+    beyond a long is put together from the factors' own limbs, in longs too;
+    only a group's total of over 4e31 is an overflow error."""
+    a, b = _c(a).cast("bigint"), _c(b).cast("bigint")
+    product = F.try_multiply(a, b)
+    limbs = lambda u: (u.bitwiseAND(F.lit(_MASK)), F.shiftright(u, _LIMB).bitwiseAND(F.lit(_MASK)),
+                       F.shiftright(u, 2 * _LIMB))
+    a0, a1, a2 = limbs(a)
+    b0, b1, b2 = limbs(b)
+    low = a0 * b0
+    mid = a0 * b1 + a1 * b0 + F.shiftright(low, _LIMB)
+    high = (a0 * b2 + a1 * b1 + a2 * b0 + F.shiftright(mid, _LIMB)
+            + (a1 * b2 + a2 * b1) * F.lit(1 << _LIMB) + a2 * b2 * F.lit(1 << (2 * _LIMB)))
+    wide = (low.bitwiseAND(F.lit(_MASK)), mid.bitwiseAND(F.lit(_MASK)), high)
+    return [F.sum(F.when(product.isNotNull(), short).otherwise(long)).alias(f"{prefix}_{name}")
+            for name, short, long in zip(("lo", "mid", "hi"), limbs(product), wide)]
+
+
 def limb_total(prefix: str, scale: int = 0) -> Column:
     """Recombine :func:`limb_sums` into ``decimal(38, scale)``."""
     d = "decimal(38,0)"

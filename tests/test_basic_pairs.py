@@ -88,3 +88,14 @@ def test_revenue_of_three_digit_prices_is_exact(spark):
     from keelson.operators import basic
     df = spark.createDataFrame([("a", 0.257 if i % 2 else 0.256, 1.0) for i in range(100)], "k string, p double, q double")
     assert [tuple(r) for r in basic.revenue_by(df, "k", "p", "q").collect()] == [("a", 25.65)]
+
+
+def test_revenue_of_products_beyond_a_long(spark):
+    from keelson.operators import basic
+    rows = [("a", 1e7, 1e6), ("a", 0.001, 0.001), ("b", -4e9, 8e11), ("b", 4e9, 8e11), ("b", 2.5, 2.0), ("c", -6e12, 6e12),
+            ("d", None, 9e12), ("d", 3.0, None), ("e", 9e12, None)]
+    df = spark.createDataFrame(rows, "k string, p double, q double")
+    got = {r.k: r.revenue for r in basic.revenue_by(df, "k", "p", "q", wide=True).collect()}
+    assert got == {"a": 1e13, "b": 5.0, "c": -3.6e25, "d": None, "e": None}
+    with pytest.raises(Exception, match="ARITHMETIC_OVERFLOW"):
+        basic.revenue_by(df, "k", "p", "q").collect()

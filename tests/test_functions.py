@@ -132,3 +132,15 @@ def test_units_never_round(spark):
     assert [r.u for r in df.select(units("x", 3).alias("u")).collect()] == [100, 1005, None, -2125]
     with pytest.raises(Exception, match="more than 2 decimals"):
         df.select(units("x", 2).alias("u")).collect()
+
+
+def test_product_limbs_equal_plain_products(spark):
+    import random
+    from keelson.functions.decimal import limb_total, product_limb_sums
+    draw = random.Random(7)
+    some = lambda: draw.choice((-1, 1)) * draw.randrange(1 << draw.choice((3, 20, 31, 43, 52)))
+    rows = [(i % 5, some(), some()) for i in range(2000)] + [(9, None, 1 << 52), (9, 1 << 52, None), (9, -(1 << 52), (1 << 52) - 1)]
+    df = spark.createDataFrame(rows, "g int, a long, b long")
+    out = df.groupBy("g").agg(*product_limb_sums("a", "b", "x")).select("g", limb_total("x").alias("t"))
+    want = {g: sum(a * b for k, a, b in rows if k == g and a is not None and b is not None) for g in (0, 1, 2, 3, 4, 9)}
+    assert {r.g: int(r.t) for r in out.collect()} == want
