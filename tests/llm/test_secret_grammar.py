@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from keelson.llm import secret_grammar as S
 from keelson.llm.grammar import infer
 
@@ -108,3 +110,20 @@ def test_many_credentials_in_one_text_are_linear():
     assert list(S.candidates(few, taken)) == [(m.start(), m.end(), m[0]) for m in S._CANDIDATE.finditer(few)
                                               if not any(s < m.end() and m.start() < e for s, _, e, _ in taken)]
     assert len(found) == 49_990       # "word0" to "word9" are too short
+
+
+def test_held_out_credentials_of_the_given_documents_are_recognised(spark):
+    """Formats from one half of the documents accept the other half's labelled strings, bare, and no ordinary candidate of it."""
+    texts = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    for side in (0, 1):
+        formats = S.fit_formats(texts.where(F.col("doc_id") % 2 == side))
+        known, held, ordinary = set(), set(), set()
+        for doc_id, text in texts.toLocalIterator():
+            base = S.base_spans(text or "")
+            (known if doc_id % 2 == side else held).update((S.KINDS[k], x) for _, k, _, x in base)
+            if doc_id % 2 != side:
+                ordinary.update(x for _, _, x in S.candidates(text or "", base))
+        for kind in ("assign", "hex"):
+            fresh = [x for k, x in held - known if k == kind]
+            assert len(fresh) > 40 and sum(map(formats.accepts, fresh)) >= 0.9 * len(fresh), (kind, side)
+        assert not any(map(formats.accepts, ordinary))
