@@ -80,3 +80,45 @@ def test_late_rows_are_dropped_and_the_session_keeps_its_store(spark):
     got = _stream(spark, parts, lambda s: timed.velocity_events(s, "user", "ts", "id", "amount"), "late")
     assert {r["id"]: r["velocity"] for r in got if r["id"] < 4} == {1: 1, 2: 1}
     assert spark.conf.get(timed.STORE[0]) == before
+
+
+def test_state_follows_buckets_and_not_users(spark, tmp):
+    """3000 users of an event each, numbers beyond 2^53 with a null among them."""
+    base = 2 ** 60
+    rows = [(i, base + i if i else None, T0 + dt.timedelta(milliseconds=i), Decimal(1)) for i in range(3000)]
+    spark.createDataFrame(rows, KIND).write.parquet(f"{tmp}/in")
+    stream = spark.readStream.schema(KIND).parquet(f"{tmp}/in")
+    with timed.state_store(spark):
+        q = run.start(timed.velocity_events(stream, "user", "ts", "id", "amount"), checkpoint=f"{tmp}/ck",
+                      trigger={"availableNow": True}, foreach_batch=run.batch_writer(f"{tmp}/out"))
+        run.finish(q)
+        assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 6 * timed.BUCKETS
+        spark.createDataFrame([(-1, None, T0 + dt.timedelta(days=1), Decimal(1))], KIND).write.mode("append").parquet(f"{tmp}/in")
+        run.finish(run.start(timed.velocity_events(spark.readStream.schema(KIND).parquet(f"{tmp}/in"), "user", "ts", "id", "amount"),
+                             checkpoint=f"{tmp}/ck", trigger={"availableNow": True}, foreach_batch=run.batch_writer(f"{tmp}/out")))
+    got = spark.read.parquet(f"{tmp}/out").collect()
+    assert len(got) == len(rows)
+    assert {(r["id"], r["user"], r["velocity"]) for r in got} == {(r[0], r[1], 1) for r in rows}
+
+
+def test_several_portions_of_slices_give_the_same(spark, monkeypatch):
+    """Slices taken a few rows at a time, in order."""
+    handle = timed._Sliced._portions
+
+    class Held:
+        def __init__(self, rows):
+            self.rows = rows
+
+        def getValue(self, k):
+            return self.rows[k]
+
+        def removeKey(self, k):
+            del self.rows[k]
+
+    keys = [(s, p) for s in range(4) for p in range(3)]
+    sliced = timed._Sliced(1000)
+    sliced.waiting = Held({k: ([str(k)] * 2, b"", b"", b"") for k in keys})
+    monkeypatch.setattr(timed, "AT_ONCE", 5)
+    found = list(handle(sliced, keys))
+    assert [x[0][0] for part in found for x in part] == [str(k) for k in keys]
+    assert len(found) == 4 and not sliced.waiting.rows
