@@ -2,8 +2,8 @@
 
 Words and word pairs are hashed into ``BUCKETS`` cells. Two multinomials are
 estimated over the cells: the raw corpus (every document) and the trusted
-target (labelled good documents, at most ``trusted_rows`` of them), the latter
-smoothed towards the former. A document's score is the mean log-likelihood
+target (the documents labelled good, all of them), the latter smoothed towards
+the former. A document's score is the mean log-likelihood
 ratio of its n-grams, target against raw, so length does not enter. The target
 is fitted on one half of the trusted documents, and the threshold lies below
 nearly all scores of the other half, which the fit has not seen; every document
@@ -26,8 +26,10 @@ from pyspark.sql import DataFrame, functions as F
 from keelson.llm import text as W
 
 BUCKETS = 1 << 16
-#: Bound on the trusted documents that the target is fitted on (smallest hash first).
-TRUSTED_ROWS = 20_000
+#: Up to so many trusted ids are broadcast to the documents; more are joined by a shuffle.
+BROADCAST_IDS = 500_000
+#: Up to so many scores are looked at one by one for a quantile; more are counted in finer bins first.
+FEW_SCORES = 10_000
 #: Share of the unseen trusted documents below the quantile that the threshold starts from,
 #: and how much further down it lies, as a share of the way from their median to the quantile.
 BELOW = 0.002
@@ -65,20 +67,24 @@ def _histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def trusted_ids(labels: DataFrame, id_col: str = "doc_id", good: str = "quality = 1",
-                rows: int = TRUSTED_ROWS) -> DataFrame:
-    """At most ``rows`` ids labelled good: those with the smallest hash, so the
-    choice does not depend on order or partitions."""
+                rows: int | None = None) -> DataFrame:
+    """All ids labelled good, each once. Only a caller who names a number of
+    ``rows`` gets fewer: those with the smallest hash, so the choice does not
+    depend on order or partitions."""
     ids = labels.where(good).where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id")).distinct()
-    return ids.orderBy(F.xxhash64("id"), "id").limit(rows)
+    return ids if rows is None else ids.orderBy(F.xxhash64("id"), "id").limit(rows)
+
+
+def _to_join(ids: DataFrame) -> DataFrame:
+    """``ids`` as the small side of a join with the documents: few enough are broadcast."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
     """log(target / raw) of each cell: raw counts smoothed by one a cell, target
-    counts by ``PRIOR`` n-grams of the raw corpus.
-
-    ``trusted`` holds ``TRUSTED_ROWS`` ids at most, hence the broadcast."""
+    counts by ``PRIOR`` n-grams of the raw corpus."""
     marked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
-        F.broadcast(trusted.select("id", F.lit(True).alias("trusted"))), "id", "left").select(
+        _to_join(trusted.select("id", F.lit(True).alias("trusted"))), "id", "left").select(
         F.coalesce("trusted", F.lit(False)).alias("trusted"), "text")
     counts = (marked.mapInArrow(_histogram, "cell bigint, raw bigint, target bigint")
               .groupBy("cell").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow())
@@ -157,23 +163,26 @@ def base_failed():
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    good: str = "quality = 1", trusted_rows: int = TRUSTED_ROWS, below: float = BELOW) -> DataFrame:
+                    good: str = "quality = 1", trusted_rows: int | None = None, below: float = BELOW) -> DataFrame:
     """Every row of ``docs`` as struct ``doc`` with its counts, ``ratio`` (mean
     log-likelihood ratio), ``base_failed`` and ``kept``.
 
     ``good`` is a condition on the labels. ``labels`` may repeat ids or lack
-    them; ids that no document has are ignored."""
+    them; ids that no document has are ignored. All trusted documents count,
+    one half for the target and the other for the threshold, unless
+    ``trusted_rows`` bounds them."""
     spark = docs.sparkSession
-    # labels of other documents would use up the choice
-    trusted = trusted_ids(labels.join(docs.select(F.col(id_col)), id_col, "left_semi"), id_col, good, trusted_rows)
+    # labels of other documents would use up a caller's choice
+    trusted = trusted_ids(labels.join(docs.select(F.col(id_col)), id_col, "left_semi"), id_col, good, trusted_rows).persist()
     half = F.pmod(F.xxhash64(F.lit("half"), "id"), F.lit(2))
     table = spark.sparkContext.broadcast(log_ratios(docs, trusted.where(half == 0), id_col, text_col))
     at = docs.columns.index(text_col)
     names = [f"c{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*names)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
-    least = _threshold(plain.join(F.broadcast(trusted.where(half == 1)), F.col(names[docs.columns.index(id_col)]) == F.col("id"), "left_semi")
+    least = _threshold(plain.join(_to_join(trusted.where(half == 1)), F.col(names[docs.columns.index(id_col)]) == F.col("id"), "left_semi")
                        .mapInArrow(_judge(table, at), f"{schema}, {_SEEN}"), below)
+    trusted.unpersist()
     doc = F.struct(*(F.col(n).alias(c) for n, c in zip(names, docs.columns)))
     return (plain.mapInArrow(_judge(table, at), f"{schema}, {_SEEN}")
             .select(doc.alias("doc"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -184,13 +193,48 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 def _threshold(trusted: DataFrame, below: float) -> float:
     """From the ratios of the trusted documents that pass the base rules."""
-    row = trusted.where(~base_failed()).agg(F.percentile("ratio", F.array(F.lit(below), F.lit(0.5))).alias("at")).first()
-    if row["at"] is None:
+    scores = trusted.where(~base_failed()).select("ratio").persist()
+    found = quantiles(scores, "ratio", [below, 0.5])
+    scores.unpersist()
+    if found is None:
         return -1e9
-    low, middle = row["at"]
+    low, middle = found
     return round(low - SLACK * (middle - low), 6) - 1e-6
 
 
+def quantiles(rows: DataFrame, col: str, shares: list[float]) -> list[float] | None:
+    """The exact quantiles of ``col``, as SQL's ``percentile`` interpolates them;
+    None without rows. ``rows`` is read a few times: persist it."""
+    n = rows.where(F.col(col).isNotNull()).count()
+    if not n:
+        return None
+    at = [share * (n - 1) for share in shares]
+    value = {k: _at_rank(rows, col, k) for k in sorted({int(f(x)) for x in at for f in (np.floor, np.ceil)})}
+    low, high = ([value[int(f(x))] for x in at] for f in (np.floor, np.ceil))
+    return [a if x == int(x) else (np.ceil(x) - x) * a + (x - np.floor(x)) * b for x, a, b in zip(at, low, high)]
+
+
+def _at_rank(rows: DataFrame, col: str, rank: int) -> float:
+    """The value of rank ``rank`` (from 0). Values are counted in a thousand bins
+    between the least and the greatest, then those of the bin that holds the rank
+    likewise, until few are left to sort or all are equal; nothing is gathered but
+    counts and these few."""
+    rows = rows.where(F.col(col).isNotNull())
+    while True:
+        n, least, most = rows.agg(F.count(col), F.min(col), F.max(col)).first()
+        if least == most:
+            return least
+        if n <= FEW_SCORES:
+            return sorted(r[0] for r in rows.select(col).collect())[rank]
+        # the same bins however the rows lie; the last one is closed
+        bin_of = F.least(F.floor((F.col(col) - F.lit(least)) / F.lit(most - least) * 1000), F.lit(999))
+        for k, held in sorted(tuple(r) for r in rows.groupBy(bin_of.alias("bin")).count().collect()):
+            if rank < held:
+                break
+            rank -= held
+        rows = rows.where(bin_of == k)
+
+
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that pass."""
     return score_documents(docs, labels, **options).where("kept").select("doc.*")

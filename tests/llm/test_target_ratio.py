@@ -73,3 +73,31 @@ def test_labels_of_other_documents_do_not_use_up_the_choice(spark, docs_of, pros
         docs, spark.createDataFrame(labels, kind), trusted_rows=10).collect())
         for labels in (own, own + [(i, 1) for i in range(1000, 6000)]))
     assert few == many and any(r for _, r, _ in few)
+
+
+def test_every_good_document_is_trusted(spark, docs_of, prose):
+    """None is left out, however many there are."""
+    labels = spark.range(25_000).selectExpr("id AS doc_id", "1 AS quality")
+    assert Q.trusted_ids(labels).count() == 25_000
+
+
+def test_ids_joined_by_a_shuffle_give_the_same(spark, docs_of, prose, monkeypatch):
+    docs = docs_of([(i, prose(i, 60)) for i in range(60)] + [(None, prose(99, 60)), (3, prose(3, 60))])
+    labels = spark.createDataFrame([(i, i % 3 != 0) for i in range(60)], "doc_id bigint, good boolean")
+    rows = lambda: sorted((str(r["doc"]["doc_id"]), r["ratio"], r["kept"]) for r in Q.score_documents(docs, labels, good="good").collect())
+    few = rows()
+    monkeypatch.setattr(Q, "BROADCAST_IDS", 0)
+    assert rows() == few and any(r for _, r, _ in few)
+
+
+def test_quantiles_are_those_of_sql(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    rows = spark.range(5_000).select(F.expr("CASE WHEN id % 50 = 0 THEN NULL WHEN id % 3 = 0 THEN 0.25 "
+                                            "ELSE hash(id) / 1e9 * hash(id + 1) / 1e9 END").alias("x")).persist()
+    for few in (10_000, 10):
+        monkeypatch.setattr(Q, "FEW_SCORES", few)
+        for shares in ([0.002, 0.5], [0.0, 1.0], [0.3, 0.999]):
+            want = rows.agg(F.percentile("x", F.array(*map(F.lit, shares)))).first()[0]
+            assert np.allclose(Q.quantiles(rows, "x", shares), want, rtol=0, atol=1e-12)
+    assert Q.quantiles(rows.where("x > 1e9"), "x", [0.5]) is None
+    rows.unpersist()
