@@ -21,10 +21,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from keelson.functions.text import tokens
 from keelson.operators.segments import Segments
@@ -152,19 +154,48 @@ def token_bucket(token: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
 
 
+#: Rows of an index that a task gathers before it packs them by token.
+PACKED_ROWS = 500_000
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Index rows to one row for each token of every ``PACKED_ROWS`` rows, its other columns as lists."""
+    def pack(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+        table = pa.Table.from_batches(held)
+        others = [c for c in table.column_names if c != "token"]
+        found = table.group_by("token", use_threads=False).aggregate([(c, "list") for c in others])
+        return found.select(["token", *(f"{c}_list" for c in others)]).rename_columns(["token", *others]).to_batches(max_chunksize=10_000)
+
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= PACKED_ROWS:
+            yield from pack(held)
+            held, rows = [], 0
+    if rows:
+        yield from pack(held)
+
+
 def write_token_index(index: DataFrame, path: str, buckets: int = 16) -> None:
     """Hash-bucket the index by token into ``bucket=<b>`` folders, sorted by
     token inside each file: a lookup reads one folder (partition pruning)
     and, in it, only the row groups whose token range holds the term.
     Hashing needs no sampling pass over the data, unlike range partitioning.
 
-    A common word can hold a large share of all (token, id) rows, so the
-    shuffle is a ``rebalance`` on the bucket: AQE splits a skewed bucket over
-    several tasks (several files in its folder) and merges small ones."""
-    b = token_bucket(F.col("token"), buckets)
-    index.withColumn("bucket", b).hint("rebalance", buckets, "bucket") \
-        .sortWithinPartitions("bucket", "token").write.mode("overwrite") \
-        .partitionBy("bucket").parquet(path)
+    Tasks pack their rows by token before the shuffle, so a word travels once
+    for many rows, and unpack them after it. A common word can hold a large
+    share of all (token, id) rows, so the shuffle is a ``rebalance`` on the
+    bucket: AQE splits a skewed bucket over several tasks (several files in its
+    folder) and merges small ones."""
+    others = [f for f in index.schema.fields if f.name != "token"]
+    lists = StructType([StructField("token", StringType()), *(StructField(f.name, ArrayType(f.dataType)) for f in others)])
+    packed = index.select("token", *(f"`{f.name}`" for f in others)).mapInArrow(_packed, lists)
+    rows = (packed.withColumn("bucket", token_bucket(F.col("token"), buckets)).hint("rebalance", buckets, "bucket")
+            .select("bucket", "token", F.explode(F.arrays_zip(*(F.col(f"`{f.name}`").alias(f"c{k}") for k, f in enumerate(others)))).alias("row"))
+            .select("token", *(F.col(f"row.c{k}").alias(f.name) for k, f in enumerate(others)), "bucket"))
+    rows.select(*index.columns, "bucket").sortWithinPartitions("bucket", "token", *(f"`{f.name}`" for f in others)) \
+        .write.mode("overwrite").partitionBy("bucket").parquet(path, compression="zstd")
 
 
 def search_tokens(index: DataFrame, terms: Sequence[str], id_col: str,

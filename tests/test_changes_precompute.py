@@ -101,3 +101,17 @@ def test_change_with_a_value_of_another_type_is_dropped(spark):
     schema = after_schema([("id", LongType()), ("amount", "variant")])
     rows = read_changes(df, schema, decimals=["amount"]).collect()
     assert sorted((r.op, r.id, str(r.amount)) for r in rows) == [("c", 1, "2.50"), ("u", 3, "500.00")]
+
+
+def test_index_rows_travel_packed_by_word(spark, tmp, monkeypatch):
+    """Common words cross the shuffle once for many rows; what is stored are the rows themselves."""
+    rows = [("the", i if i % 9 else None, i % 3) for i in range(3000)] + [(f"w{i}", i, None) for i in range(50)] + [("the", 1, 1)] * 2
+    index = spark.createDataFrame(rows, "token string, `my id` long, c0 int").coalesce(1)
+    found = index.mapInArrow(precompute._packed, "token string, `my id` array<bigint>, c0 array<int>").collect()
+    assert len(found) == 51 and sum(len(r[1]) for r in found) == len(rows)
+    monkeypatch.setattr(precompute, "PACKED_ROWS", 100)
+    precompute.write_token_index(index, f"{tmp}/packed", 4)
+    stored = spark.read.parquet(f"{tmp}/packed")
+    assert stored.columns == ["token", "my id", "c0", "bucket"]
+    assert sorted((tuple(r)[:3] for r in stored.collect()), key=str) == sorted(rows, key=str)
+    precompute.write_token_index(index.filter("false"), f"{tmp}/none", 4)
